@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_scan"]
+MODULES = ["q_scan", "q_post"]
 
 
 def load() -> None:
