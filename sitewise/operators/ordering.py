@@ -24,14 +24,15 @@ def _names(order: list[str]) -> list[str]:
     return [c.lstrip("-") for c in order]
 
 
-def cumulative_counts(df: DataFrame, groups: list[str], order: list[str], small: int = SMALL_KEYS) -> DataFrame:
+def cumulative_counts(df: DataFrame, groups: list[str], order: list[str], small: int = SMALL_KEYS,
+                      weight: str | None = None) -> DataFrame:
     """Distinct ``groups + order`` keys with ``cnt``, ``before`` and the group ``total``.
 
-    Prefix an order column with ``-`` for descending order.  Rows with a NULL order
+    ``cnt`` is the number of rows, or the sum of ``weight`` when one is named.  Prefix an order column with ``-`` for descending order.  Rows with a NULL order
     value are the caller's business; drop them first when they must not be ranked.
     """
     keys = groups + _names(order)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    counted = df.groupBy(*keys).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt"))
     counted = checkpoint(counted)
     by_group = Window.partitionBy(*groups) if groups else Window.partitionBy()
     if counted.limit(small + 1).count() <= small:
