@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewise.functions.arrays import entries
 from sitewise.session import checkpoint
 
 SMALL_KEYS = 1_000_000
@@ -138,6 +139,40 @@ def rank_norm(df: DataFrame, value: str, out: str) -> DataFrame:
     return ranked.join(F.broadcast(top)).withColumn(out, (F.col("_r") - 1) / (F.col("_top") - 1)).drop("_r", "_top")
 
 
+def average_ranks(df: DataFrame, cols: list[str], prefix: str = "rank_", descending: bool = False) -> DataFrame:
+    """Average ranks of several columns from one shared sort; NULL values keep a NULL rank.
+
+    Values go long once, meet their ranks in one join and return to rows in one
+    aggregation, whatever the number of columns.
+    """
+    rows = checkpoint(df.withColumn("_id", F.monotonically_increasing_id()))
+    cells = F.inline(entries(["col", "v"], *[(c, F.col(c).cast("double")) for c in cols]))
+    long = rows.select("_id", cells).where("v IS NOT NULL")
+    keys = cumulative_counts(long, ["col"], ["-v" if descending else "v"])
+    ranks = keys.select("col", "v", (F.col("before") + (F.col("cnt") + 1) / 2).alias("r"))
+    wide = long.join(ranks, ["col", "v"]).groupBy("_id").agg(
+        *[F.max(F.when(F.col("col") == c, F.col("r"))).alias(prefix + c) for c in cols])
+    return rows.join(wide, "_id", "left").drop("_id")
+
+
+def bh_adjust(df: DataFrame, p: str, groups: list[str], out: str = "fdr") -> DataFrame:
+    """Benjamini-Hochberg adjustment of ``p`` inside each group.
+
+    ``min over larger p of p * m / rank``.  The running minimum works on distinct
+    p-values cut into ordered slices, so no task sees more than one slice.
+    """
+    keys = cumulative_counts(df.where(F.col(p).isNotNull()), groups, [p])
+    keys = keys.withColumn("_q", F.col(p) * F.col("total") / (F.col("before") + F.col("cnt")))
+    keys = keys.withColumn("_slice", F.floor(F.col("before") / SMALL_KEYS))
+    later = Window.partitionBy(*groups).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    slices = keys.groupBy(*groups, "_slice").agg(F.min("_q").alias("_m"))
+    slices = slices.withColumn("_later", F.min("_m").over(later)).drop("_m")
+    inside = Window.partitionBy(*groups, "_slice").orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
+    adj = keys.join(slices, groups + ["_slice"]).withColumn("_own", F.min("_q").over(inside))
+    adj = adj.select(*groups, p, F.least(F.col("_own"), F.col("_later"), F.lit(1.0)).alias(out))
+    return df.join(adj, groups + [p], "left")
+
+
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row aggregate to every row (read once, planned as literals)."""
     row = one_row.limit(1).collect()

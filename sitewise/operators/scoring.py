@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewise.functions.arrays import entries
@@ -12,12 +12,11 @@ from sitewise.functions.labels import SUBSTANTIVE, TRUE_WORDS_SCORE, as_bool, ro
 from sitewise.functions.schemes import WEIGHTS_INT, weight
 from sitewise.operators.ordering import (
     attach_scalars,
-    average_rank,
+    average_ranks,
     decile_score,
     quantiles,
-    top_n,
-    top_share,
 )
+from sitewise.session import checkpoint
 
 COMPONENTS = ["variability_score", "pattern_score", "asr_score", "convergence_score", "parallel_score"]
 # Score of one side by its change label; other labels are excluded.
@@ -199,6 +198,7 @@ def correlations(df: DataFrame, cols: list[str], ranks: bool = True) -> DataFram
     All Pearson values come from one aggregation pass; Spearman ranks are computed on
     the complete cases of each pair.
     """
+    df = checkpoint(df.select(*cols)) if ranks else df
     pairs = [(a, b) for a in cols for b in cols if a < b]
     aggs = []
     for i, (a, b) in enumerate(pairs):
@@ -214,21 +214,28 @@ def correlations(df: DataFrame, cols: list[str], ranks: bool = True) -> DataFram
     parts = []
     for a, b in pairs:
         both = df.select(a, b).where(F.col(a).isNotNull() & F.col(b).isNotNull())
-        ranked = average_rank(average_rank(both, a, "ra"), b, "rb")
-        parts.append(ranked.agg(F.lit(a).alias("score_a"), F.lit(b).alias("score_b"), F.corr("ra", "rb").alias("spearman_r")))
+        ranked = average_ranks(both, [a, b], "r_")
+        parts.append(ranked.agg(F.lit(a).alias("score_a"), F.lit(b).alias("score_b"), F.corr("r_" + a, "r_" + b).alias("spearman_r")))
     return out.join(reduce(DataFrame.unionByName, parts), ["score_a", "score_b"])
 
 
 def top_sets(df: DataFrame, cols: list[str], thresholds: dict[str, float], n: int, ids: list[str]) -> DataFrame:
-    """Long ``score, threshold, id`` membership of the top sets."""
-    parts = []
+    """Long ``score, threshold, id`` membership of the top sets.
+
+    All score columns share one sort for their quantiles; the fixed-size sets keep
+    ``n`` rows per score, which Spark prunes inside each task before the shuffle.
+    """
     ident = F.concat_ws("::", *[F.col(i).cast("string") for i in ids])
-    for c in cols:
-        for name, share in thresholds.items():
-            parts.append(top_share(df, c, share).select(F.lit(c).alias("score"), F.lit(name).alias("threshold"), ident.alias("id")))
-        best = top_n(df.where(F.col(c).isNotNull()), ["-" + c, *ids], n)
-        parts.append(best.select(F.lit(c).alias("score"), F.lit("topN").alias("threshold"), ident.alias("id")))
-    return reduce(DataFrame.unionByName, parts)
+    long = df.select(*ids, ident.alias("id"), F.inline(entries(["score", "v"], *[(c, F.col(c).cast("double")) for c in cols])))
+    long = checkpoint(long.where("v IS NOT NULL"))
+    cuts = quantiles(long, ["score"], "v", {name: 1 - share for name, share in thresholds.items()})
+    names = F.filter(
+        F.array(*[F.when(F.col("v") >= F.col(name), F.lit(name)) for name in thresholds]), lambda x: x.isNotNull()
+    )
+    pct = long.join(cuts, "score").select("score", F.explode(names).alias("threshold"), "id").distinct()
+    order = Window.partitionBy("score").orderBy(F.desc("v"), *ids)
+    best = long.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n)
+    return pct.unionByName(best.select("score", F.lit("topN").alias("threshold"), "id"))
 
 
 def set_overlaps(members: DataFrame, set_col: str, item_col: str, within: list[str], names: list[str]) -> DataFrame:
@@ -259,22 +266,22 @@ def set_overlaps(members: DataFrame, set_col: str, item_col: str, within: list[s
 
 def rank_shifts(df: DataFrame, base: str, variants: list[str]) -> DataFrame:
     """Mean, median and maximum absolute shift of the descending average rank against ``base``."""
-    parts = []
-    for v in variants:
-        ranked = average_rank(average_rank(df.select(base, v), base, "r0", descending=True), v, "r1", descending=True)
-        shift = ranked.withColumn("shift", F.abs(F.col("r0") - F.col("r1")))
-        med = quantiles(shift, [], "shift", {"median_abs_rank_shift": 0.5})
-        agg = shift.agg(F.lit(v).alias("variant"), F.avg("shift").alias("mean_abs_rank_shift"), F.max("shift").alias("max_abs_rank_shift"))
-        parts.append(agg.crossJoin(med))  # one row each
-    return reduce(DataFrame.unionByName, parts)
+    ranked = average_ranks(df.select(base, *variants), [base, *variants], "_r_", descending=True)
+    shifts = ranked.select(F.inline(entries(
+        ["variant", "shift"], *[(v, F.abs(F.col("_r_" + base) - F.col("_r_" + v))) for v in variants]
+    )))
+    shifts = checkpoint(shifts)
+    med = quantiles(shifts, ["variant"], "shift", {"median_abs_rank_shift": 0.5})
+    agg = shifts.groupBy("variant").agg(
+        F.avg("shift").alias("mean_abs_rank_shift"), F.max("shift").alias("max_abs_rank_shift"))
+    return agg.join(med, "variant")
 
 
 def rank_spread(df: DataFrame, cols: list[str], out: str = "rank_spread") -> DataFrame:
     """Largest minus smallest descending average rank over the given scores."""
-    for i, c in enumerate(cols):
-        df = average_rank(df, c, f"_r{i}", descending=True)
-    names = [f"_r{i}" for i in range(len(cols))]
-    return df.withColumn(out, F.greatest(*names) - F.least(*names)).drop(*names)
+    ranked = average_ranks(df, cols, "_r_", descending=True)
+    names = ["_r_" + c for c in cols]
+    return ranked.withColumn(out, F.greatest(*names) - F.least(*names)).drop(*names)
 
 
 def principal_component(df: DataFrame, cols: list[str], align: str) -> tuple[DataFrame, DataFrame]:

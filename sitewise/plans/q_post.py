@@ -611,8 +611,8 @@ def sc32(t):
     return t.terms.select("gene_list", L.side_from_name(F.col("gene_list")).alias("scenario")).distinct()
 
 
-@query("sc09", """SELECT DISTINCT coord, concat('chr', CAST(1 + Position % 3 AS VARCHAR)) AS chrom, CAST(Position * 100 AS BIGINT) AS start_bp,
-    CAST(CASE WHEN Position % 4 = 0 THEN Position * 100 ELSE Position * 100 + 2 END AS BIGINT) AS end_bp, substr(coord, length(coord), 1) AS ref FROM {queries}""")
+@query("sc09", """SELECT DISTINCT coord, concat('chr', CAST(1 + CAST(substr(Gene, 2) AS BIGINT) % 3 AS VARCHAR)) AS chrom, CAST(substr(Gene, 2) AS BIGINT) * 1500 + Position * 3 AS start_bp,
+    CAST(substr(Gene, 2) AS BIGINT) * 1500 + Position * 3 + CASE WHEN Position % 4 = 0 THEN 0 ELSE 2 END AS end_bp, substr(coord, length(coord), 1) AS ref FROM {queries}""")
 def sc09(t):
     """Codon range and reference residue parsing."""
     c, a, b = L.codon_range(F.col("coord"))

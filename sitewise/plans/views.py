@@ -95,6 +95,15 @@ VIEWS: dict[str, str] = {
                (p_partkey % 1000) * 150000 + p_size * 1000 + (p_size * 10 + 50) * 3 AS end_bp,
                CAST(p_size * 10 + 50 AS BIGINT) AS Length
         FROM {part} WHERE p_partkey % 97 <> 5""",
+    "acc_sites": """
+        SELECT Gene, CAST(Position % 20 AS INT) AS Position, CAAP_Group, min(change_side) AS change_side,
+               min(is_conserved_meta) AS is_conserved_meta, min(asr_is_conserved) AS asr_is_conserved,
+               min(concat('t', CAST(Position AS VARCHAR(20)))) AS tag
+        FROM {sites} GROUP BY Gene, CAST(Position % 20 AS INT), CAAP_Group""",
+    "draws": """
+        SELECT concat('G', CAST(l_partkey AS VARCHAR(20))) AS gene, l_suppkey % 20 AS rand, count(*) AS c,
+               CAST(sum(CASE WHEN l_quantity > 40 THEN 1 ELSE 0 END) AS BIGINT) AS hi
+        FROM {lineitem} GROUP BY l_partkey, l_suppkey % 20""",
     # --- gene-level side tables -------------------------------------------------
     "fade": f"""
         SELECT concat('G', CAST(o_custkey AS VARCHAR(20))) AS gene, CAST(o_orderkey % 500 AS INT) AS site,
@@ -151,13 +160,16 @@ VIEWS: dict[str, str] = {
                       '_', event_type), concat('term', CAST(event_id % 211 AS VARCHAR(20))), event_type""",
     # --- variants ----------------------------------------------------------------
     "variants": f"""
-        SELECT concat('chr', CAST(1 + user_id % 3 AS VARCHAR(20))) AS chr, event_id * 5 + user_id % 4 AS pos,
-               {_letter('user_id')} AS ref_aa, {_letter('event_id')} AS alt_aa, value AS score
-        FROM {{events}}""",
+        SELECT concat('chr', CAST(1 + l_partkey % 3 AS VARCHAR(20))) AS chr,
+               l_partkey * 1500 + (l_orderkey % 500) * 3 + l_linenumber % 4 AS pos,
+               CASE WHEN l_suppkey % 5 = 0 THEN 'A' ELSE {_letter('l_orderkey % 500')} END AS ref_aa,
+               {_letter('CAST(l_quantity AS BIGINT) + l_linenumber')} AS alt_aa, l_extendedprice AS score
+        FROM {{lineitem}}""",
     "queries": f"""
         SELECT concat(Gene, ':p.', CAST(Position AS VARCHAR(20))) AS query, Gene, Position, CAAP_Group, change_side, caas, amino_encoded,
-               concat('chr', CAST(1 + Position % 3 AS VARCHAR(20)), ':g.', CAST(Position * 100 AS VARCHAR(20)),
-                      CASE WHEN Position % 4 = 0 THEN '' ELSE concat('_', CAST(Position * 100 + 2 AS VARCHAR(20))) END,
+               concat('chr', CAST(1 + CAST(substr(Gene, 2) AS BIGINT) % 3 AS VARCHAR(20)), ':g.',
+                      CAST(CAST(substr(Gene, 2) AS BIGINT) * 1500 + Position * 3 AS VARCHAR(20)),
+                      CASE WHEN Position % 4 = 0 THEN '' ELSE concat('_', CAST(CAST(substr(Gene, 2) AS BIGINT) * 1500 + Position * 3 + 2 AS VARCHAR(20))) END,
                       '/c.1/p.', CAST(Position AS VARCHAR(20)), {_letter('Position')}) AS coord
         FROM {{sites}}""",
     # --- ancestral posteriors ------------------------------------------------------
