@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_scan", "q_post", "q_score", "q_enrich"]
+MODULES = ["q_scan", "q_post", "q_score", "q_enrich", "q_tree"]
 
 
 def load() -> None:
