@@ -103,15 +103,26 @@ def proportion_interval(x: float, n: float, level: float = 0.95, kind: str = "hi
     def log_density(t: float) -> float:
         return (a - 1) * math.log(max(t, 1e-300)) + (b - 1) * math.log(max(1 - t, 1e-300))
 
-    lo, hi = 0.0, alpha
-    for _ in range(60):
+    # Equal-density ends: for a lower end below the mode the upper end follows from the
+    # density, and the covered mass falls as the lower end rises.
+    mode = (a - 1) / (a + b - 2)
+
+    def upper(low: float) -> float:
+        target, lo, hi = log_density(low), mode, 1.0
+        for _ in range(60):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if log_density(mid) > target else (lo, mid)
+        return (lo + hi) / 2
+
+    lo, hi = 0.0, mode
+    for _ in range(50):
         mid = (lo + hi) / 2
-        left, right = beta_quantile(mid, a, b), beta_quantile(mid + level, a, b)
-        if log_density(left) < log_density(right):
+        if incomplete_beta(a, b, upper(mid)) - incomplete_beta(a, b, mid) > level:
             lo = mid
         else:
             hi = mid
-    return beta_quantile(lo, a, b), beta_quantile(lo + level, a, b)
+    low = (lo + hi) / 2
+    return low, upper(low)
 
 
 def normal_tail(z: float) -> float:
