@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_scan", "q_post", "q_score", "q_enrich", "q_tree", "q_asr"]
+MODULES = ["q_scan", "q_post", "q_score", "q_enrich", "q_tree", "q_asr", "q_io"]
 
 
 def load() -> None:

@@ -386,10 +386,14 @@ def flt18(t):
     return kept.select(F.lit("kept").alias("part"), "gene").unionByName(missing.select(F.lit("missing").alias("part"), "gene"))
 
 
-@query("tr13", "SELECT concat('(', n_name, ':', CAST(n_nationkey AS VARCHAR), CASE WHEN n_nationkey IN (1, 2, 12) THEN concat(',', n_name, '{{Foreground}}:2') ELSE concat(',', n_name, 'x:2') END, ');') AS marked FROM {nation} WHERE false")
+@query("tr13", """SELECT gene, concat('(', string_agg(concat(sp, CASE WHEN f THEN concat(chr(123), 'Foreground', chr(125)) ELSE '' END, ':1'), ',' ORDER BY sp), ');') AS marked
+    FROM (SELECT DISTINCT c.gene, c.species AS sp, g.species IS NOT NULL AS f FROM {cells} c LEFT JOIN (SELECT species FROM {config} WHERE grp = 1) g ON g.species = c.species) z GROUP BY gene""")
 def tr13(t):
-    """Foreground marking of Newick text."""
-    return t.nation.where("false").select(F.lit("").alias("marked"))
+    """Foreground marking of one Newick text per gene."""
+    names = F.array_join(F.transform(F.array_sort(F.collect_set("species")), lambda s: F.concat(s, F.lit(":1"))), ",")
+    trees = t.cells.groupBy("gene").agg(F.concat(F.lit("("), names, F.lit(");")).alias("newick"))
+    fg = [r[0] for r in t.config.where("grp = 1").select("species").limit(S.MAX_CONFIG_ROWS).collect()]
+    return trees.select("gene", X.mark_foreground(F.col("newick"), fg).alias("marked"))
 
 
 @query("flt04", "SELECT o_orderkey, NOT (o_custkey % 5 + o_custkey % 3 > 5) AND NOT (o_custkey % 5 > 3) AND NOT (o_custkey % 3 > 1) AS keep FROM {orders}")

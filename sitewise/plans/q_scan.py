@@ -341,3 +341,9 @@ def src01(t):
     seqs = filled.select("gene", "species", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), cell), "").alias("seq"))
     cols = columns_from_sequences(seqs, index(t), block=8)
     return cols.select("gene", "position", F.replace("residues", F.lit("~"), F.lit("")).alias("residues")).where("residues <> ''")
+
+
+@query("wn12", SIDES + "SELECT gene, position, ffg, fbg FROM tested")
+def wn12(t):
+    """Side members in pair order."""
+    return _tested(t).select("gene", "position", F.array_join(S._kept_names("fg"), ",").alias("ffg"), F.array_join(S._kept_names("bg"), ",").alias("fbg"))

@@ -241,12 +241,6 @@ def wn08(t):
     return ranked.where(F.col("r") <= F.floor(F.col("r_n") * 0.05)).select("Gene")
 
 
-@query("wn12", "SELECT p_brand, string_agg(DISTINCT CAST(p_size AS VARCHAR), ',' ORDER BY CAST(p_size AS VARCHAR)) AS sizes FROM {part} GROUP BY p_brand")
-def wn12(t):
-    """Ordered member list per group."""
-    return t.part.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_set(F.col("p_size").cast("string"))), ",").alias("sizes"))
-
-
 # ------------------------------------------------------------------ top sets
 @query("st02", POS + "SELECT Gene, Position, CAAS_score FROM pos ORDER BY CAAS_score DESC, Gene, Position")
 def st02(t):
