@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.operators.ordering import quantiles
+from sitewise.session import checkpoint
 
 KEYS = ["Trait", "CAAP_Group"]
 
@@ -15,14 +16,15 @@ def gene_density(sites: DataFrame, genes: DataFrame, keys: list[str] = KEYS) ->
 
     Sites collapse to one row per key and gene before they meet the gene lengths, so
     the join moves aggregates, not sites.  Rows with a NULL key or length drop out.
+    Thresholds and every later step read the result again, so it is written once.
     """
     every = keys + ["Gene", "Position"]
     clean = sites.select(*every).na.drop(subset=every)
     counts = clean.distinct().groupBy(*keys, "Gene").agg(F.count(F.lit(1)).alias("n_CAAS"))
     lengths = genes.select("Gene", "Length").where(F.col("Length").isNotNull())
-    return counts.join(lengths, "Gene").select(
+    return checkpoint(counts.join(lengths, "Gene").select(
         *keys, "Gene", "Length", "n_CAAS", (F.col("n_CAAS") / F.col("Length") * 100).alias("n_CAAS_per_length")
-    )
+    ))
 
 
 def density_thresholds(stats: DataFrame, percentile: float = 0.99, keys: list[str] = KEYS) -> DataFrame:
@@ -63,10 +65,10 @@ def merge_categories(extreme: DataFrame, dubious: DataFrame, keys: list[str] = K
     """One row per gene and key; flagged by both criteria becomes ``Both``."""
     both = extreme.unionByName(dubious)
     value_cols = [c for c in extreme.columns if c not in keys + ["Gene", "Category"]]
-    return both.groupBy(*keys, "Gene").agg(
+    return checkpoint(both.groupBy(*keys, "Gene").agg(
         *[F.min(c).alias(c) for c in value_cols],
         F.when(F.count(F.lit(1)) > 1, F.lit("Both")).otherwise(F.min("Category")).alias("Category"),
-    ).select(*extreme.columns)
+    ).select(*extreme.columns))
 
 
 def full_gene_stats(stats: DataFrame, removed: DataFrame, percentile: float = 0.99, multiplier: float = 3.0,

@@ -183,6 +183,7 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 def top_share(df: DataFrame, value: str, share: float) -> DataFrame:
     """Rows at or above the ``1 - share`` quantile."""
+    df = checkpoint(df)
     thr = quantiles(df, [], value, {"_thr": 1 - share})
     return attach_scalars(df, thr).where(F.col(value) >= F.col("_thr")).drop("_thr")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitewise.functions import patterns as P
 from sitewise.functions.pvalue import site_pvalue, symbol_counts
-from sitewise.functions.schemes import SCHEMES, encode, encode_keep, scheme_table, translate
+from sitewise.functions.schemes import AMBIGUOUS, RESIDUES, SCHEMES, encode, encode_keep, scheme_table, translate
 from sitewise.operators.columns import GAPS, SpeciesIndex, column_filter
 
 MAX_CONFIG_ROWS = 200_000
@@ -80,9 +80,13 @@ def load_contrasts(config: DataFrame) -> list[Contrast]:
 def contrast_table(contrasts: list[Contrast], index: SpeciesIndex) -> Column:
     """Literal ``array<struct>`` with one entry per trait.
 
-    Configured species that the index does not know still count as missing, so the
-    index must be built over the configuration as well.
+    Configured species absent from the alignment count as missing, so the index has to
+    be built over the configuration as well.
     """
+    unknown = sorted({s for c in contrasts for s, _ in c.fg + c.bg} - set(index.names))
+    if unknown:
+        raise ValueError(f"species missing from the index: {', '.join(unknown)}")
+
     def strings(items):
         return F.array(*[F.lit(x).cast("string") for x in items]) if items else F.array().cast("array<string>")
 
@@ -306,13 +310,25 @@ def resample_blocks(resamples: DataFrame, index: SpeciesIndex, n_blocks: int) ->
     )
 
 
+# Markers inside a full-width column string: gap, ambiguous, unmapped, not in the alignment.
+GAP, AMBIGUOUS_MARK, UNMAPPED, ABSENT = "-", "~", ".", "!"
+
+
+def _full_width(index: SpeciesIndex) -> Column:
+    """Residues of every indexed species in index order, ``!`` for absent ones."""
+    whole = translate(F.lit(index.symbols(index.names)), F.col("syms"), F.col("residues"))
+    return F.regexp_replace(whole, "[\ue000-\uf8ff\u3400-\u9fff]", ABSENT)
+
+
 def _replay(columns: DataFrame, discovery: DataFrame | None, resamples: DataFrame, index: SpeciesIndex,
             limits: Limits, max_conserved: int, admitted: tuple[str, ...], n_cycles: int) -> DataFrame:
-    """Column x cycle x scheme rows with a ``hit`` flag.
+    """Column x scheme x cycle rows with a ``hit`` flag.
 
-    Cycles travel in blocks of a few hundred: columns are expanded by block number
-    and meet the block by equi-join, so neither side is collected or cross joined and
-    Spark may broadcast the blocks only when they are small enough.
+    Everything that depends on the column alone (class codes, gap and absence markers)
+    is laid out once per column and scheme; a cycle then costs one lookup per side.
+    Cycles travel in blocks of a few hundred: columns are expanded by block number and
+    meet the block by equi-join, so neither side is collected or cross joined and Spark
+    may broadcast the blocks only when they are small enough.
     """
     if discovery is None:
         sites = columns.withColumn("schemes", F.array(*[F.lit(s) for s in SCHEMES]))
@@ -321,20 +337,34 @@ def _replay(columns: DataFrame, discovery: DataFrame | None, resamples: DataFram
     n_blocks = max(1, -(-n_cycles // 256))
     blocks = resample_blocks(resamples, index, n_blocks)
     by_scheme = F.filter(scheme_table(), lambda x: F.array_contains(F.col("schemes"), x["scheme"]))
+    marked = F.translate(F.regexp_replace(F.col("raw"), f"[^{RESIDUES}{AMBIGUOUS}{AMBIGUOUS.lower()}!-]", UNMAPPED),
+                         AMBIGUOUS + AMBIGUOUS.lower(), AMBIGUOUS_MARK * (2 * len(AMBIGUOUS)))
+    laid = sites.withColumn("raw", _full_width(index)).select(
+        "gene", "position", "raw", marked.alias("marked"), F.inline(by_scheme))
+    laid = laid.select("gene", "position", "raw", "scheme", encode_keep(F.col("marked"), F.col("codes")).alias("laid"))
     rows = (
-        sites.withColumn("tests", by_scheme)
-        .drop("schemes")
-        .withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+        laid.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
         .join(blocks, "blk")
-        .select("gene", "position", "syms", "residues", "tests", F.inline("cycles"))
+        .select("gene", "position", "raw", "scheme", "laid", F.inline("cycles"))
     )
-    rows = read_sides(rows).withColumn("ok", testable(limits))
-    rows = rows.select("gene", "position", "cycle", "fg", "bg", "ok", F.inline("tests"))
-    rows = rows.withColumn("fg_test", encode(F.col("fg"), F.col("codes")))
-    rows = rows.withColumn("bg_test", encode(F.col("bg"), F.col("codes")))
+    every = F.lit(index.symbols(index.names))
+    for side in ("fg", "bg"):
+        rows = rows.withColumn(f"{side}_all", translate(F.col(f"{side}_syms"), every, F.col("laid")))
+        rows = rows.withColumn(f"{side}_test", F.translate(f"{side}_all", GAP + AMBIGUOUS_MARK + UNMAPPED + ABSENT, ""))
+
+    def count(side: str, marks: str) -> Column:
+        return F.length(f"{side}_all") - F.length(F.translate(f"{side}_all", marks, ""))
+
+    gaps = {s: count(s, GAP + AMBIGUOUS_MARK) for s in ("fg", "bg")}
+    miss = {s: count(s, ABSENT) for s in ("fg", "bg")}
+    ok = _cap(gaps["fg"], limits.fg_gaps) & _cap(gaps["bg"], limits.bg_gaps) & _cap(gaps["fg"] + gaps["bg"], limits.all_gaps)
+    ok = ok & _cap(miss["fg"], limits.fg_miss) & _cap(miss["bg"], limits.bg_miss) & _cap(miss["fg"] + miss["bg"], limits.all_miss)
     fg, bg = F.col("fg_test"), F.col("bg_test")
-    hit = F.col("ok") & P.diverges(fg, bg, max_conserved) & P.pattern_class(fg, bg).isin(*admitted)
-    return rows.withColumn("hit", hit)
+    if set(admitted) == {"1", "2", "3"}:
+        hit = P.one_sided_hit(fg, bg, max_conserved)
+    else:
+        hit = P.diverges(fg, bg, max_conserved) & P.pattern_class(fg, bg).isin(*admitted)
+    return rows.withColumn("hit", hit & ok)
 
 
 def bootstrap(
@@ -368,7 +398,11 @@ def bootstrap_hits(columns, discovery, resamples, index, limits=None, max_conser
     """The per-cycle hits themselves (groups and permuted-discovery exports)."""
     n_cycles = resamples.count()
     rows = _replay(columns, discovery, resamples, index, limits or Limits(), max_conserved, admitted, n_cycles)
-    return rows.where("hit").select(
+    every = F.lit(index.symbols(index.names))
+    rows = rows.where("hit")
+    for side in ("fg", "bg"):
+        rows = rows.withColumn(side, F.translate(translate(F.col(f"{side}_syms"), every, F.col("raw")), GAPS + ABSENT, ""))
+    return rows.select(
         "cycle",
         F.col("gene").alias("Gene"),
         F.col("position").alias("Position"),

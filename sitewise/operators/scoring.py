@@ -26,9 +26,10 @@ SIDE_VALUE = {"convergent": 1.0, "codivergent": 0.5, "divergent": 0.25}
 def component_deciles(sites: DataFrame) -> DataFrame:
     """Decile scores of both p-values over all rows except the control scheme.
 
-    Ties are ordered by gene, position and scheme so that tiles are reproducible.
+    Ties are ordered by gene, position and scheme so that tiles are reproducible.  Both
+    tile passes and the result read the input, so it is written once first.
     """
-    df = sites.where("CAAP_Group <> 'GS0'")
+    df = checkpoint(sites.where("CAAP_Group <> 'GS0'"))
     df = decile_score(df, ["Pvalue", "Gene", "Position", "CAAP_Group"], "variability_score")
     return decile_score(df, ["pvalue_boot", "Gene", "Position", "CAAP_Group"], "pattern_score")
 
@@ -146,6 +147,7 @@ def gene_scores(pos: DataFrame) -> DataFrame:
 
 def top_flags(pos: DataFrame) -> DataFrame:
     """Top 10/5/1 percent flags per direction, from that direction's own thresholds."""
+    pos = checkpoint(pos)
     for name, sides in (("top", ("top", "both")), ("bot", ("bottom", "both"))):
         inside = F.col("change_side").isin(*sides)
         thr = quantiles(pos.where(inside), [], "CAAS_score", {"_t10": 0.90, "_t5": 0.95, "_t1": 0.99})
@@ -167,6 +169,7 @@ def accumulation_scores(pvals: DataFrame, weights: dict[str, float]) -> DataFram
     n = sum((F.col(f"accum_pval_{s}").isNotNull().cast("int") for s in weights), F.lit(0))
     s = sum((F.coalesce(F.col(f"accum_pval_{k}") * w, F.lit(0.0)) for k, w in weights.items()), F.lit(0.0))
     wide = wide.withColumn("gene_rand_score", F.when(n > 0, 1 - s / n))
+    wide = checkpoint(wide)
     thr = quantiles(wide, [], "gene_rand_score", {"_thr": 0.95})
     return attach_scalars(wide, thr).withColumn("accum_significant", F.col("gene_rand_score") >= F.col("_thr")).drop("_thr")
 
@@ -293,6 +296,7 @@ def principal_component(df: DataFrame, cols: list[str], align: str) -> tuple[Dat
     """
     import numpy as np
 
+    df = checkpoint(df)
     full = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*cols, align]]))
     stats = full.agg(*[f(c).alias(f"{t}_{c}") for c in cols for t, f in (("m", F.avg), ("s", F.stddev_samp))]).collect()[0]
     used = [c for c in cols if stats[f"s_{c}"]]

@@ -40,33 +40,29 @@ def letter_sets(caas: Column, encoded: Column, side: Column, group: Column) -> t
     return anc, der
 
 
-def query_entries(queries: DataFrame) -> DataFrame:
-    """One row per query and scheme with coordinates, reference, ancestral and alternative residues."""
+def query_coordinates(queries: DataFrame) -> DataFrame:
+    """Queries with parsed codon range and reference residue."""
     chrom, start, end = codon_range(F.col("coord"))
-    anc, der = letter_sets(F.col("caas"), F.col("amino_encoded"), F.col("change_side"), F.col("CAAP_Group"))
-    df = queries.withColumns({"chr": chrom, "start_bp": start, "end_bp": end, "ref": protein_ref(F.col("coord")), "anc": anc, "der": der})
-    alt = F.filter("der", lambda a: a != F.col("ref"))
-    return df.where("chr IS NOT NULL").withColumn("alt", F.when(F.size(alt) > 0, alt).otherwise(F.col("der"))).withColumn(
-        "scheme_weight", weight(F.col("CAAP_Group"), WEIGHTS_FRACTION))
+    return queries.withColumns({"chr": chrom, "start_bp": start, "end_bp": end, "ref": protein_ref(F.col("coord"))}).where("chr IS NOT NULL")
 
 
 def annotate(variants: DataFrame, queries: DataFrame) -> DataFrame:
     """Variants inside a query's codon whose substitution is derived and whose reference is ancestral.
 
     The range side expands to one row per base (a codon has three), which turns the
-    range probe into an equi-join on (chr, pos).  A codon hit by many schemes is
-    probed once: schemes travel as an array and unfold after the join.
+    range probe into an equi-join on (chr, pos, reference).  Letter sets are derived
+    after the join, for matches only.
     """
-    ent = query_entries(queries)
-    packed = ent.groupBy("query", "chr", "start_bp", "end_bp", "ref").agg(
-        F.collect_set(F.struct("CAAP_Group", "scheme_weight", "anc", "alt")).alias("schemes")  # at most one per scheme and pattern
-    ).withColumn("pos", F.explode(F.sequence("start_bp", "end_bp")))
-    hit = variants.join(packed, ["chr", "pos"]).where("ref_aa = ref")
-    out = hit.select(*variants.columns, "query", "ref", F.inline("schemes"))
-    ok = F.array_contains(F.col("alt"), F.col("alt_aa")) & ((F.size("anc") == 0) | F.array_contains(F.col("anc"), F.col("ref")))
-    return out.where(ok).select(
-        "query", F.col("ref").alias("hg38_ref_aa"), F.array_join("alt", "").alias("caas_alt_aas"),
-        F.col("CAAP_Group").alias("caap_group"), "scheme_weight", *variants.columns)
+    probe = query_coordinates(queries).withColumn("pos", F.explode(F.sequence("start_bp", "end_bp")))
+    probe = probe.select("chr", "pos", F.col("ref").alias("ref_aa"), "query", "CAAP_Group", "change_side", "caas", "amino_encoded")
+    anc, der = letter_sets(F.col("caas"), F.col("amino_encoded"), F.col("change_side"), F.col("CAAP_Group"))
+    hit = variants.join(probe, ["chr", "pos", "ref_aa"]).withColumn("anc", anc).withColumn("der", der)
+    alt = F.filter("der", lambda a: a != F.col("ref_aa"))
+    hit = hit.withColumn("alt", F.when(F.size(alt) > 0, alt).otherwise(F.col("der")))
+    ok = F.array_contains(F.col("alt"), F.col("alt_aa")) & ((F.size("anc") == 0) | F.array_contains(F.col("anc"), F.col("ref_aa")))
+    return hit.where(ok).select(
+        "query", F.col("ref_aa").alias("hg38_ref_aa"), F.array_join("alt", "").alias("caas_alt_aas"), F.col("CAAP_Group").alias("caap_group"),
+        weight(F.col("CAAP_Group"), WEIGHTS_FRACTION).alias("scheme_weight"), *[F.col(c) for c in variants.columns])
 
 
 def protein_score(annotated: DataFrame, score: str = "score") -> DataFrame:

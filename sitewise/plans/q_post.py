@@ -10,6 +10,7 @@ from sitewise.operators import gene_filter as G
 from sitewise.operators import postproc as P
 from sitewise.operators import significance as S
 from sitewise.plans.registry import query
+from sitewise.session import checkpoint
 
 GROUPS = ["US", "GS0", "GS1", "GS2", "GS3", "GS4"]
 
@@ -200,7 +201,7 @@ def flags(t, params=PARAMS):
 
 
 def one_flag(t):
-    return flags(t, [(3, 0.05)]).select("Gene", "CAAP_Group", "Position", "ClusteringFlag")
+    return checkpoint(flags(t, [(3, 0.05)]).select("Gene", "CAAP_Group", "Position", "ClusteringFlag"))
 
 
 @query("ca09", "WITH " + CLUSTER + "SELECT Gene, CAAP_Group, Position, ClusteringFlag FROM flg WHERE minlen = 3")

@@ -12,6 +12,7 @@ from sitewise.operators import genomic as N
 from sitewise.operators import ordering as O
 from sitewise.operators import scoring as S
 from sitewise.plans.registry import query
+from sitewise.session import checkpoint
 
 COMP = S.COMPONENTS
 
@@ -54,7 +55,7 @@ POS = f"""
                   ELSE least((3 - len(ids)) / 3e0 + {_asr_pair(1)} + {_asr_pair(2)} + {_asr_pair(3)}, 1e0) END AS asr_score
            FROM f1),
     pos AS (SELECT Gene, Position, CAST(wsum AS BIGINT) AS biochem_weight_sum, change_side, change_top, change_bottom, Pvalue, pvalue_boot,
-              variability_score, pattern_score, round(asr_score, 9) AS asr_score, convergence_score, parallel_score,
+              variability_score, pattern_score, round(asr_score, 6) AS asr_score, convergence_score, parallel_score,
               round({_rowmean(*COMP)}, 9) AS pre_score, round({_rowmean(*COMP)} * wsum / 10, 9) AS CAAS_score
             FROM f2)"""
 LOO = POS + ", loo AS (SELECT *, CAAS_score AS CAAS_current, pre_score AS CAAS_unweighted, " + ", ".join(
@@ -68,11 +69,12 @@ def rounded(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
 
 
 def pos(t) -> DataFrame:
-    return rounded(S.position_scores(t.sites), ["asr_score", "pre_score", "CAAS_score"])
+    # The oracle rounds at the same places, so that ties rank alike in both engines.
+    return rounded(rounded(S.position_scores(t.sites), ["pre_score", "CAAS_score"]), ["asr_score"], 6)
 
 
 def loo(t) -> DataFrame:
-    return rounded(S.leave_one_out(pos(t)), VARIANTS)
+    return checkpoint(rounded(S.leave_one_out(pos(t)), VARIANTS))
 
 
 @query("wn01", POS + "SELECT Gene, Position, CAAP_Group, round(variability_score, 6) AS variability_score, round(pattern_score, 6) AS pattern_score FROM dd")
@@ -304,7 +306,7 @@ def se01(t):
     UNION ALL SELECT direction, 'fade', c.Gene FROM caas c WHERE EXISTS (SELECT 1 FROM {fade} f WHERE f.gene = c.Gene AND f.direction = c.direction AND f.bayes_factor >= 100)""")
 def se04(t):
     """Intersections of top genes with the other tools, per direction."""
-    g = S.gene_scores(pos(t))
+    g = checkpoint(S.gene_scores(pos(t)))
     top = O.top_share(g, "gene_caas_score_top", 0.1).select(F.lit("top").alias("direction"), "Gene")
     bot = O.top_share(g, "gene_caas_score_bottom", 0.1).select(F.lit("bottom").alias("direction"), "Gene")
     caas = top.unionByName(bot)
