@@ -132,14 +132,9 @@ def combo(flags: dict[str, Column]) -> Column:
 
 def codon_range(coord: Column) -> tuple[Column, Column, Column]:
     """Chromosome, start and end of ``chr17:g.10_12/...`` or ``chr17:g.10/...``; NULLs otherwise."""
-    span, one = r"^(chr\w+):g\.(\d+)_(\d+)(?:[/\s]|$)", r"^(chr\w+):g\.(\d+)(?:[/\s]|$)"
-
-    def part(i: int, j: int) -> Column:
-        return F.coalesce(
-            F.nullif(F.regexp_extract(coord, span, i), F.lit("")), F.nullif(F.regexp_extract(coord, one, j), F.lit(""))
-        )
-
-    return part(1, 1), part(2, 2).cast("long"), part(3, 2).cast("long")
+    pattern = r"^(chr\w+):g\.(\d+)(?:_(\d+))?(?:[/\s]|$)"
+    chrom, start, end = (F.nullif(F.regexp_extract(coord, pattern, i), F.lit("")) for i in (1, 2, 3))
+    return chrom, start.cast("long"), F.coalesce(end, start).cast("long")
 
 
 def protein_ref(coord: Column) -> Column:

@@ -60,10 +60,20 @@ class SpeciesIndex:
         return "".join(self.symbol[n] for n in names if n in self.symbol)
 
 
+def settle(df: DataFrame, *names: str) -> DataFrame:
+    """Fix computed columns as row values.
+
+    A filter on a computed column is otherwise pushed below its projection with the whole
+    expression copied in at every use; behind a generator it reads the value instead.
+    """
+    keep = [c for c in df.columns if c not in names]
+    return df.select(*keep, F.inline(F.array(F.struct(*names))))
+
+
 def columns_from_cells(cells: DataFrame, index: SpeciesIndex) -> DataFrame:
     """Columns from long cells ``gene, position, species, residue`` (unique per species)."""
     members = F.sort_array(F.collect_list(F.struct("sym", "residue")))
-    return (
+    out = (
         index.attach(cells)
         .groupBy("gene", "position")
         .agg(members.alias("m"))
@@ -74,6 +84,7 @@ def columns_from_cells(cells: DataFrame, index: SpeciesIndex) -> DataFrame:
             F.array_join(F.transform("m", lambda x: x["residue"]), "").alias("residues"),
         )
     )
+    return settle(out, "syms", "residues")
 
 
 def columns_from_sequences(sequences: DataFrame, index: SpeciesIndex, block: int = 64) -> DataFrame:

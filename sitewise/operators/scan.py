@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.functions import patterns as P
+from sitewise.functions.arrays import entries
 from sitewise.functions.pvalue import site_pvalue, symbol_counts
-from sitewise.functions.schemes import AMBIGUOUS, RESIDUES, SCHEMES, encode, encode_keep, scheme_table, translate
-from sitewise.operators.columns import GAPS, SpeciesIndex, column_filter
+from sitewise.functions.schemes import AMBIGUOUS, RESIDUES, SCHEMES, codes, encode_keep, known_only, scheme_table, translate
+from sitewise.operators.columns import GAPS, SpeciesIndex, column_filter, settle
 
 MAX_CONFIG_ROWS = 200_000
 
@@ -115,12 +116,13 @@ def read_sides(df: DataFrame) -> DataFrame:
         present = translate(syms, F.col(f"{side}_missing"), F.lit(""))
         df = df.withColumn(f"{side}_seen", translate(present, F.col("syms"), F.col("residues")))
         df = df.withColumn(f"{side}", translate(F.col(f"{side}_seen"), F.lit(GAPS), F.lit("")))
-    return (
+    df = (
         df.withColumn("GFG", F.length("fg_seen") - F.length("fg"))
         .withColumn("GBG", F.length("bg_seen") - F.length("bg"))
         .withColumn("MFG", F.length("fg_missing"))
         .withColumn("MBG", F.length("bg_missing"))
     )
+    return settle(df, "fg_missing", "fg_seen", "fg", "bg_missing", "bg_seen", "bg", "GFG", "GBG", "MFG", "MBG")
 
 
 def _cap(value: Column, cap: int | None) -> Column:
@@ -204,6 +206,12 @@ def _missing_names() -> Column:
     return F.concat(names("fg"), names("bg"))
 
 
+def _admitted_hit(fg: Column, bg: Column, max_conserved: int, admitted: tuple[str, ...]) -> Column:
+    if set(admitted) == {"1", "2", "3"}:
+        return P.one_sided_hit(fg, bg, max_conserved)
+    return P.diverges(fg, bg, max_conserved) & P.pattern_class(fg, bg).isin(*admitted)
+
+
 def discover(
     tested: DataFrame,
     mode: str = "CAAP",
@@ -223,16 +231,18 @@ def discover(
         removed = P.matched_characters(F.col("fg"), F.col("bg"))
     else:
         df = tested.where((F.length("fg") > 0) & (F.length("bg") > 0))
-        df = df.select("*", F.inline(scheme_table(schemes))).withColumnRenamed("scheme", "CAAP_Group")
-        df = df.withColumn("fg_test", encode(F.col("fg"), F.col("codes")))
-        df = df.withColumn("bg_test", encode(F.col("bg"), F.col("codes")))
+        # Codes are constants inside each entry, so their lookup tables are built once.
+        df = df.withColumn("fg_known", known_only(F.col("fg"))).withColumn("bg_known", known_only(F.col("bg")))
+        df = df.select("*", F.inline(entries(
+            ["CAAP_Group", "codes", "fg_test", "bg_test"],
+            *[(s, codes(s), F.translate("fg_known", RESIDUES, codes(s)), F.translate("bg_known", RESIDUES, codes(s))) for s in schemes or SCHEMES])))
         population = encode_keep(F.upper(F.replace(F.col("residues"), F.lit("-"), F.lit(""))), F.col("codes"))
         removed = P.matched_characters(
             encode_keep(F.upper("fg"), F.col("codes")), encode_keep(F.upper("bg"), F.col("codes"))
         )
     fg, bg = F.col("fg_test"), F.col("bg_test")
-    hits = df.where(P.diverges(fg, bg, max_conserved)).withColumn("Pattern", P.pattern_class(fg, bg))
-    hits = hits.where(F.col("Pattern").isin(*admitted)).withColumn("population", population)
+    hits = df.where(_admitted_hit(fg, bg, max_conserved, admitted)).withColumn("Pattern", P.pattern_class(fg, bg))
+    hits = hits.withColumn("population", population)
     hits = hits.withColumn("removed", removed if max_conserved > 0 else F.lit(""))
     dropped = (F.length("removed") / 2).cast("int")
     hits = hits.withColumn("Pvalue", site_pvalue(
@@ -342,6 +352,9 @@ def _replay(columns: DataFrame, discovery: DataFrame | None, resamples: DataFram
     laid = sites.withColumn("raw", _full_width(index)).select(
         "gene", "position", "raw", marked.alias("marked"), F.inline(by_scheme))
     laid = laid.select("gene", "position", "raw", "scheme", encode_keep(F.col("marked"), F.col("codes")).alias("laid"))
+    # Few, small rows that each expand to every cycle: spread them by count, not by bytes.
+    tasks = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = laid.repartition(tasks, "gene", "position", "scheme")
     rows = (
         laid.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
         .join(blocks, "blk")
@@ -359,12 +372,7 @@ def _replay(columns: DataFrame, discovery: DataFrame | None, resamples: DataFram
     miss = {s: count(s, ABSENT) for s in ("fg", "bg")}
     ok = _cap(gaps["fg"], limits.fg_gaps) & _cap(gaps["bg"], limits.bg_gaps) & _cap(gaps["fg"] + gaps["bg"], limits.all_gaps)
     ok = ok & _cap(miss["fg"], limits.fg_miss) & _cap(miss["bg"], limits.bg_miss) & _cap(miss["fg"] + miss["bg"], limits.all_miss)
-    fg, bg = F.col("fg_test"), F.col("bg_test")
-    if set(admitted) == {"1", "2", "3"}:
-        hit = P.one_sided_hit(fg, bg, max_conserved)
-    else:
-        hit = P.diverges(fg, bg, max_conserved) & P.pattern_class(fg, bg).isin(*admitted)
-    return rows.withColumn("hit", hit & ok)
+    return rows.withColumn("hit", _admitted_hit(F.col("fg_test"), F.col("bg_test"), max_conserved, admitted) & ok)
 
 
 def bootstrap(
@@ -399,7 +407,7 @@ def bootstrap_hits(columns, discovery, resamples, index, limits=None, max_conser
     n_cycles = resamples.count()
     rows = _replay(columns, discovery, resamples, index, limits or Limits(), max_conserved, admitted, n_cycles)
     every = F.lit(index.symbols(index.names))
-    rows = rows.where("hit")
+    rows = settle(rows, "hit", "fg_test", "bg_test").where("hit")
     for side in ("fg", "bg"):
         rows = rows.withColumn(side, F.translate(translate(F.col(f"{side}_syms"), every, F.col("raw")), GAPS + ABSENT, ""))
     return rows.select(

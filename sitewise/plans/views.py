@@ -41,10 +41,10 @@ VIEWS: dict[str, str] = {
         SELECT concat('G', CAST(CAST((col_id - col_id % 20) / 20 AS BIGINT) AS VARCHAR(20))) AS gene,
                CAST(col_id % 20 AS INT) AS position,
                concat('NATION_', CAST(species_id AS VARCHAR(20))) AS species,
-               max(CASE WHEN q > 49 THEN '-' WHEN q > 48 THEN 'X'
+               chr(max(ascii(CASE WHEN q > 49 THEN '-' WHEN q > 48 THEN 'X'
                         WHEN q > 42 THEN {_letter('col_id + ln')}
                         WHEN col_id % 3 = 0 AND species_id < 10 AND species_id % 2 = 0 THEN {_letter('col_id + 7')}
-                        ELSE {_letter('col_id')} END) AS residue
+                        ELSE {_letter('col_id')} END))) AS residue
         FROM {{raw_cells}}
         GROUP BY col_id, species_id""",
     "resamples": """
@@ -58,7 +58,7 @@ VIEWS: dict[str, str] = {
     "site_base": """
         SELECT l_partkey AS pk, CAST(l_orderkey % 500 AS INT) AS pos, l_linenumber % 6 AS g,
                min(l_discount) AS d, min(l_tax) AS t, CAST(max(l_quantity) AS BIGINT) AS q,
-               min(l_suppkey) AS s, min(l_returnflag) AS rf, max(l_linestatus) AS ls
+               min(l_suppkey) AS s, chr(min(ascii(l_returnflag))) AS rf, chr(max(ascii(l_linestatus))) AS ls
         FROM {lineitem}
         GROUP BY l_partkey, CAST(l_orderkey % 500 AS INT), l_linenumber % 6""",
     "sites": f"""
