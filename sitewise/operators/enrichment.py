@@ -9,6 +9,7 @@ from sitewise.functions.arrays import entries
 from sitewise.functions.labels import side_from_name
 from sitewise.functions.numeric import fisher_udf, hypergeom_tail_udf, normal_tail_udf
 from sitewise.operators.ordering import average_rank, bh_adjust
+from sitewise.operators.trees import all_pairs
 
 
 def over_representation(lists: DataFrame, sets: DataFrame, background: DataFrame, min_size: int = 5, max_size: int = 500) -> DataFrame:
@@ -78,8 +79,7 @@ def term_overlap_matrix(terms: DataFrame, metric: str = "overlap") -> DataFrame:
     x = size.select(F.col("gene_list").alias("gene_list_x"), F.col("n").alias("nx"))
     y = size.select(F.col("gene_list").alias("gene_list_y"), F.col("n").alias("ny"))
     # One row per list on either side: the matrix itself is the result.
-    full = x.withColumn("_k", F.lit(1)).join(y.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    full = full.join(inter, ["gene_list_x", "gene_list_y"], "left").withColumn("inter", F.coalesce("inter", F.lit(0)))
+    full = all_pairs(x, y).join(inter, ["gene_list_x", "gene_list_y"], "left").withColumn("inter", F.coalesce("inter", F.lit(0)))
     denom = F.least("nx", "ny") if metric == "overlap" else F.col("nx") + F.col("ny") - F.col("inter")
     return full.select("gene_list_x", "gene_list_y", F.when(denom > 0, F.col("inter") / denom).otherwise(0.0).alias("overlap"))
 

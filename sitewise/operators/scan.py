@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitewise.functions import patterns as P
 from sitewise.functions.arrays import entries
-from sitewise.functions.pvalue import site_pvalue, symbol_counts
+from sitewise.functions.pvalue import site_pvalue, symbol_counts, total_of
 from sitewise.functions.schemes import AMBIGUOUS, RESIDUES, SCHEMES, codes, encode_keep, known_only, scheme_table, translate
 from sitewise.operators.columns import GAPS, SpeciesIndex, column_filter, settle
 
@@ -245,11 +245,10 @@ def discover(
     hits = hits.withColumn("population", population)
     hits = hits.withColumn("removed", removed if max_conserved > 0 else F.lit(""))
     dropped = (F.length("removed") / 2).cast("int")
-    hits = hits.withColumn("Pvalue", site_pvalue(
-        symbol_counts(F.col("population"), F.col("removed") if max_conserved > 0 else None),
-        F.length("fg") - dropped,
-        F.length("bg") - dropped,
-    ))
+    counts = symbol_counts(F.col("population"), F.col("removed") if max_conserved > 0 else None)
+    hits = hits.withColumns({"counts": counts, "n_fg": F.length("fg") - dropped, "n_bg": F.length("bg") - dropped})
+    hits = settle(settle(hits, "counts", "n_fg", "n_bg").withColumn("n_all", total_of(F.col("counts"))), "n_all")
+    hits = hits.withColumn("Pvalue", site_pvalue(F.col("counts"), F.col("n_fg"), F.col("n_bg"), F.col("n_all")))
     none = F.lit("NA" if mode == "CAAP" else "-")
     ms = F.array_join(_missing_names(), ",")
     out = [

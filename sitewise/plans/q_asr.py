@@ -404,21 +404,21 @@ def flt04(t):
     return df.select("o_orderkey", S.testable(S.Limits(fg_gaps=3, bg_gaps=1, all_gaps=5)).alias("keep"))
 
 
-@query("flt05", "SELECT count(DISTINCT pair) AS n_pairs, CAST(floor(count(DISTINCT pair) * 3e-1) AS BIGINT) AS cap, CAST(floor(count(DISTINCT pair) * 5e-1) AS BIGINT) AS max_conserved FROM {config}")
+@query("flt05", "SELECT count(DISTINCT sid - sid % 2) AS n_pairs, CAST(floor(count(DISTINCT sid - sid % 2) * 3e-1) AS BIGINT) AS cap, CAST(floor(count(DISTINCT sid - sid % 2) * 5e-1) AS BIGINT) AS max_conserved FROM {traits}")
 def flt05(t):
-    """Fraction thresholds from the pair count."""
-    n = t.config.select("pair").distinct().count()
+    """Fraction thresholds from the pair count of a configuration over all trait species."""
+    n = t.traits.select((F.col("sid") - F.col("sid") % 2).alias("pair")).distinct().count()
     lim = S.fraction_limits(n, gaps=0.3)
-    row = [(n, lim.fg_gaps, S.max_conserved_from_fraction(n, 0.5))]
-    return t.spark.createDataFrame(row, "n_pairs long, cap long, max_conserved long")
+    return t.spark.createDataFrame([(n, lim.fg_gaps, S.max_conserved_from_fraction(n, 0.5))], "n_pairs long, cap long, max_conserved long")
 
 
-@query("flt13", "SELECT count(*) >= 3 AS enough FROM {config} WHERE grp = 1")
+@query("flt13", "SELECT count(*) >= 3 AS enough FROM {traits} WHERE value > 0")
 def flt13(t):
-    """Minimum-contrast gate."""
+    """Minimum-contrast gate over all trait species."""
     from sitewise.operators.contrasts import enough_contrasts
 
-    return t.spark.createDataFrame([(enough_contrasts(t.config),)], "enough boolean")
+    cfg = t.traits.select("species", (F.col("value") > 0).cast("int").alias("grp"))
+    return t.spark.createDataFrame([(enough_contrasts(cfg),)], "enough boolean")
 
 
 @query("flt14")

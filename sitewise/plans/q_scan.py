@@ -22,7 +22,9 @@ LIMITS = S.Limits(fg_gaps=1, bg_gaps=1, fg_miss=3, bg_miss=3)
 
 
 def index(t) -> SpeciesIndex:
-    return SpeciesIndex.of(t.species)
+    if "index" not in t.__dict__:
+        t.__dict__["index"] = SpeciesIndex.of(t.species)
+    return t.__dict__["index"]
 
 
 def columns(t):
