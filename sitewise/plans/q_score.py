@@ -375,11 +375,12 @@ def wn10(t):
 
 @query("ag29", POS + LOC + """ SELECT chr_order, chr_label, CAST(floor(gene_mid / 1000000) AS BIGINT) AS win_id, count(*) AS n_positions,
       count(*) FILTER (CAAS_score >= 5e-1) AS n_top10_positions, count(*) FILTER (CAAS_score >= 6e-1) AS n_top5_positions,
-      round(count(*) FILTER (CAAS_score >= 5e-1) * 1e0 / count(*), 6) AS frac_top_positions, round(avg(CAAS_score), 6) AS mean_caas
+      round(count(*) FILTER (CAAS_score >= 5e-1) * 1e0 / count(*), 6) AS frac_top_positions, round(avg(CAAS_score) + 1e-9, 6) AS mean_caas
     FROM loc GROUP BY 1, 2, 3""")
 def ag29(t):
     """Genomic window accumulation of positions."""
     out = N.window_positions(located(t), {"top10": 0.5, "top5": 0.6})
+    out = out.withColumn("mean_caas", F.col("mean_caas") + 1e-9)  # exact decimal ties round alike
     return rounded(out, ["frac_top_positions", "mean_caas"], 6).drop("win_start")
 
 
