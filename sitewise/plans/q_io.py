@@ -219,7 +219,7 @@ def src19(t):
     tx = F.concat(F.lit("tx"), F.col("Position").cast("string"))
     bad = t.queries.select(F.lit(0).alias("line_no"), F.concat_ws("\t", "query", tx, F.lit("."), F.lit("."), F.lit("./././")).alias("line"))
     good = t.queries.select(F.lit(1).alias("line_no"), F.concat_ws("\t", "query", tx, F.lit("."), F.lit("."), "coord").alias("line"))
-    return R.transvar(bad.union(good)).select("query", "transcript", "chr", "start_bp")
+    return R.coordinates(bad.union(good)).select("query", "transcript", "chr", "start_bp")
 
 
 @query("src20", "SELECT CASE WHEN ps % 2 = 0 THEN 'selected' ELSE 'removed' END AS kind, CAST(a AS INT) AS position, count(*) AS n FROM (SELECT p_partkey AS ps, unnest(range(p_size, p_size + 3)) AS a FROM {part} UNION ALL SELECT p_partkey, p_size + 60 FROM {part}) z GROUP BY 1, 2")

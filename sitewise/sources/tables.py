@@ -184,7 +184,7 @@ def read_variants(spark: SparkSession, path: str) -> DataFrame:
     return variant_table(spark.read.csv(path, sep="\t", header=True))
 
 
-def transvar(lines: DataFrame) -> DataFrame:
+def coordinates(lines: DataFrame) -> DataFrame:
     """First parseable coordinate per query."""
     p = F.split("line", "\t")
     rows = lines.where(~F.col("line").startswith("input\t") & (F.size(p) >= 5)).select(
