@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewise.llm import sentencepiece
+from sitewise.llm import sentencepiece, simhash
 from sitewise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def tokenizer_path() -> str:
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.digest(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+@query("op3_simhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
