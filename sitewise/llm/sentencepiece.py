@@ -30,7 +30,7 @@ from sitewise.llm.common import Recent
 SPACE = "▁"
 #: Piece types of the model file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-SCAN, KEEP, LONG, BATCH_CHARS = 4096, 200_000, 64, 2_000_000
+SCAN, KEEP, LONG, BATCH_CHARS = 4096, 400_000, 64, 1_000_000
 #: Slots of the table of checked pairs, and the shift of a token in a pair's key.
 SLOTS, SHIFT = 1 << 20, 22
 
@@ -105,6 +105,7 @@ class Model:
             self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
         spans = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        self.by_word = self.prefix and not spans
         self.cut = re.compile(".+" if spans else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", re.S)
         self.pairs = Recent(lambda ab: self.merged(ab[0] + ab[1]) == [x for x in ab if x], KEEP)
         self._tables([p.piece if p.type == NORMAL else "" for p in proto.pieces])
@@ -250,13 +251,27 @@ class Model:
             while a < len(texts) and (not cut or chars < BATCH_CHARS):
                 text = texts[a] or ""
                 chars += len(text)
-                cut.append(self.cut.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE)) if text else [])
+                cut.append(self._cut(text))
                 a += 1
             ids = self._solved(set(chain.from_iterable(cut)))
             data += [b"".join(map(ids.__getitem__, parts)) for parts in cut]
         ends = np.cumsum([len(x) // 4 for x in data], dtype=np.int64)
         return np.frombuffer(b"".join(data), np.int32), ends
 
+    def _cut(self, text: str) -> list[str]:
+        """Keys of a text's parts: a word stands for itself after one space, a space for the part that follows it."""
+        if not text:
+            return []
+        words = text.split(" ")
+        if self.by_word and SPACE not in text and "" not in words:
+            return words
+        parts = self.cut.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE))
+        return [p[1:] if p[0] == SPACE and p[1:2] not in ("", SPACE) and self.by_word else " " + p for p in parts]
+
+    @staticmethod
+    def _part(key: str) -> str:
+        return key[1:] if key[0] == " " else SPACE + key
+
     def _solved(self, parts: set[str]) -> dict[str, bytes]:
         """Ids of each part as 32-bit numbers; the memo keeps two generations of at most ``KEEP`` parts."""
         new, old = self.memo
@@ -270,12 +285,12 @@ class Model:
                     if len(part) <= LONG:
                         missing.append(part)
                     else:
-                        here[part] = self._long(part)
+                        here[part] = self._long(self._part(part))
                     continue
                 new[part] = got
             here[part] = got
         if missing:
-            solved = dict(zip(missing, self._side_by_side(missing), strict=True))
+            solved = dict(zip(missing, self._side_by_side([self._part(p) for p in missing]), strict=True))
             here.update(solved)
             new.update(solved)
         if len(new) > KEEP:
@@ -361,10 +376,10 @@ def decoder(model_path: str):
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         model = load(blob)
-        flat = lists.flatten().to_numpy(zero_copy_only=False).tolist()
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
         out, at = [], 0
         for n in lists.value_lengths().fill_null(0).to_pylist():
-            out.append(model.decode(flat[at : at + n]))
+            out.append(model.decode(flat[at : at + n].tolist()))
             at += n
         return pa.array(out, pa.string())
 
