@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewise.llm import sentencepiece, simhash
+from sitewise.llm import neardup, sentencepiece, simhash
 from sitewise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op9_embedding_neardup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "embeddings"))
