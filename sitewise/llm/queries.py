@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewise.llm import neardup, sentencepiece, simhash
+from sitewise.llm import mixing, neardup, sentencepiece, simhash, sketches
 from sitewise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.digest(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
 
 
+@query("op2_mixing", mixing.oracle())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.words().alias("size"))
+    return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -42,3 +48,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_embedding_neardup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query("op10_fingerprints")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(read(spark, sf_dir, "documents"))
