@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewise.llm import mixing, neardup, sentencepiece, simhash, sketches
+from sitewise.llm import licenses, mixing, neardup, sentencepiece, simhash, sketches
 from sitewise.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op5_licenses", licenses.oracle())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(read(spark, sf_dir, "documents"))
+
+
 @query("op9_embedding_neardup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "embeddings"))
