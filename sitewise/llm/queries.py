@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewise.llm import licenses, mixing, neardup, sentencepiece, simhash, sketches
-from sitewise.llm.common import read
+from sitewise.llm import language, licenses, mixing, neardup, sentencepiece, simhash, sketches
+from sitewise.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,6 +50,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(read(spark, sf_dir, "documents"))
 
 
+@query("op8_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    apart = held_out("doc_id", 3, 1)
+    model = language.train(docs.where(~apart))
+    rows = docs.select("doc_id", "text", apart.alias("held_out"))
+    return language.predict(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query("op9_embedding_neardup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "embeddings"))
