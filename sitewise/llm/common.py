@@ -21,6 +21,16 @@ def held_out(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))
 
 
+def sampled(labels: DataFrame, key: str, label: str, rows: int, salt: str) -> DataFrame:
+    """(key, label) of about ``rows`` labelled rows, picked by a hash of the key: small enough to broadcast at any size of input.
+
+    Rows with a null key or label are left out.
+    """
+    known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(key, F.col(label).cast("int").alias("_label"))
+    share = min(1.0, rows / max(1, known.count()))
+    return known.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(salt)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+
+
 class Recent:
     """A bounded memo for ``make(key)``: two generations of at most ``size`` entries each."""
 

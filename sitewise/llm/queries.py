@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sitewise.llm import language, licenses, mixing, neardup, sentencepiece, simhash, sketches
+from sitewise.llm import language, licenses, mixing, neardup, quality, sentencepiece, simhash, sketches, toxicity
 from sitewise.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +46,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    known = read(spark, sf_dir, "labels").where(~held_out("doc_id", 5, 0))
+    return _judged(quality.score(docs, quality.train(docs, known, "quality")), 0.3)
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    known = read(spark, sf_dir, "labels").where(~held_out("doc_id", 5, 0))
+    return _judged(toxicity.scores(docs, known, "toxic"), 0.5)
+
+
 @query("op5_licenses", licenses.oracle())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(read(spark, sf_dir, "documents"))
