@@ -28,15 +28,26 @@ def local_session(cpus: int | None = None, app: str = "sitewise", **conf: str) -
     return spark
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is whatever the cluster names in ``spark.checkpoint.dir``.  Only
-    when nothing is configured (local tests) a temporary folder is used.
+    A machine-local folder would lose rows on a cluster, so a missing setting is an error;
+    ``local_session`` sets one.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sitewise-ckpt-"))
+    folder = sc.getCheckpointDir()
+    if folder is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local["):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="sitewise-ckpt-")
+        sc.setCheckpointDir(folder)
+        folder = sc.getCheckpointDir()
+    return folder
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
