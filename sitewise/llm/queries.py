@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewise.llm import language, licenses, mixing, neardup, quality, sentencepiece, simhash, sketches, toxicity
+from sitewise.llm import language, licenses, mixing, neardup, quality, secrets, sentencepiece, simhash, sketches, toxicity
 from sitewise.llm.common import held_out, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(read(spark, sf_dir, "documents"))
 
 
+@query("op7_secrets")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(docs, secrets.train(docs))
+
+
 @query("op8_language")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")

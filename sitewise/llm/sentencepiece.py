@@ -22,7 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.llm.common import Recent
@@ -401,16 +401,13 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids", out: str = "decoded
     return df.withColumn(out, decoder(model_path)(F.col(ids)))
 
 
+def digested(df: DataFrame, model_path: str, ids: str) -> DataFrame:
+    """Add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of a column of ids."""
+    decoded = decode(df, model_path, ids, "_decoded")
+    sha = {name: F.sha2(c.cast("binary"), 256) for name, c in (("ids_sha256", F.array_join(ids, ",")), ("decoded_sha256", F.col("_decoded")))}
+    return decoded.withColumns({"n_tokens": F.size(ids).cast("long"), **sha}).drop("_decoded")
+
+
 def digest(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every row, in place of its text."""
-    df = decode(encode(df, model_path, text, "_ids"), model_path, "_ids", "_decoded")
-
-    def sha(c: Column) -> Column:
-        return F.sha2(c.cast("binary"), 256)
-
-    return df.select(
-        *[F.col(c) for c in df.columns if c not in ("_ids", "_decoded", text, "n_tokens", "ids_sha256", "decoded_sha256")],
-        F.size("_ids").cast("long").alias("n_tokens"),
-        sha(F.array_join("_ids", ",")).alias("ids_sha256"),
-        sha(F.col("_decoded")).alias("decoded_sha256"),
-    )
+    """The digests of every row's ids in place of its text."""
+    return digested(encode(df, model_path, text, "_ids"), model_path, "_ids").drop("_ids", text)
