@@ -70,23 +70,24 @@ def with_next(df: DataFrame, order: str, carried: list[str]) -> DataFrame:
     """Add ``next_<column>`` of the row with the next larger integer id, after the last the first's.
 
     The rows are shuffled once, by blocks of 64 ids; only the last row of each block looks
-    for the first row of the next.  A null id has no next row.  Rows that repeat an id follow
+    for the first row of the next, and all three uses below read the same shuffle.  A null id has no next row.  Rows that repeat an id follow
     each other in the order of their values' hashes.
     """
-    ids = df.where(F.col(order).isNotNull()).withColumn("_block", F.shiftright(F.col(order).cast("long"), BITS))
-    by = Window.partitionBy("_block").orderBy(order, F.xxhash64(*carried))
-    here = F.struct(*carried)
-    placed = ids.withColumn("_next", F.lead(here).over(by)).withColumn("_at", F.row_number().over(by))
-    blocks = next_values(ids.select("_block").distinct(), "_block")
-    first = blocks.agg(F.min("_block").alias("_first"))
-    after = blocks.join(F.broadcast(first)).select("_block", F.coalesce("next", "_first").alias("_to"))  # one row is broadcast
-    heads = placed.where("_at = 1").select(F.col("_block").alias("_of"), here.alias("_head"))
-    heads = after.join(heads, F.col("_to") == F.col("_of")).select(F.col("_block").alias("_of"), "_head")
-    ends = placed.where("_next IS NULL").join(heads, F.col("_block") == F.col("_of")).withColumn("_next", F.col("_head"))
-    null = df.where(F.col(order).isNull()).withColumn("_next", F.lit(None).cast(placed.schema["_next"].dataType))
-    keep = [*df.columns, "_next"]
-    every = placed.where("_next IS NOT NULL").select(keep).unionByName(ends.select(keep)).unionByName(null.select(keep))
-    return every.select(*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carried])
+    tied = df.withColumn("_block", F.coalesce(F.shiftright(F.col(order).cast("long"), BITS), F.lit(0))).withColumn("_tie", F.xxhash64(*carried))
+    by = Window.partitionBy("_block").orderBy(order, "_tie")
+    # Plain columns in every window, so that the shuffle below holds no copies and is the same for each use; sketches come after it.
+    placed = tied.where(F.col(order).isNotNull()).withColumns({f"next_{c}": F.lead(c).over(by) for c in carried} | {"_after": F.lead(order).over(by), "_before": F.lag(order).over(by)})
+    blocks = next_values(df.where(F.col(order).isNotNull()).select(F.shiftright(F.col(order).cast("long"), BITS).alias("_at")).distinct(), "_at")
+    first = blocks.agg(F.min("_at").alias("_first"))
+    after = blocks.join(F.broadcast(first)).select("_at", F.coalesce("next", "_first").alias("_to"))  # one row is broadcast
+    heads = placed.where("_before IS NULL").select(F.col("_block").alias("_of"), *[F.col(c).alias(f"head_{c}") for c in carried])
+    heads = heads.join(after, F.col("_of") == F.col("_to")).select("_at", *[f"head_{c}" for c in carried])
+    names = [f"next_{c}" for c in carried]
+    inside = placed.where("_after IS NOT NULL").select(*df.columns, *names)
+    ends = placed.where("_after IS NULL").select(*df.columns, "_block").join(heads, F.col("_block") == F.col("_at"))
+    ends = ends.select(*df.columns, *[F.col(f"head_{c}").alias(f"next_{c}") for c in carried])
+    null = df.where(F.col(order).isNull()).withColumns({f"next_{c}": F.lit(None).cast(df.schema[c].dataType) for c in carried})
+    return inside.unionByName(ends).unionByName(null.select(*df.columns, *names))
 
 
 def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", one_in: int = ONE_IN) -> DataFrame:
@@ -98,14 +99,14 @@ def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", one_
     a null id has no next document, so nothing is put in place of its half and its
     ``near_next`` is null.  Repeated rows are each returned.
     """
-    base = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    base = base.withColumn("sketch", sketch(F.col("text"), one_in))
-    rows = with_next(base, "doc_id", ["text", "sketch"])
+    own = F.col(doc_id)
+    base = df.select(own if doc_id == "doc_id" else own.alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = with_next(base, "doc_id", ["text"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left(F.coalesce("next_text", F.lit("")), half))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch",
-                       (edited == F.col("text")).alias("same"), (F.col("next_text") == F.col("text")).alias("same_next"))
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), sketch(F.col("text"), one_in).alias("sketch"),
+                       F.when(F.col("next_text").isNotNull(), sketch(F.col("next_text"), one_in)).alias("next_sketch"), (edited == F.col("text")).alias("same"), (F.col("next_text") == F.col("text")).alias("same_next"))
     rows = rows.withColumn("edited_sketch", sketch(F.col("edited"), one_in))
 
     def near(other: str, same: str) -> Column:
