@@ -54,10 +54,10 @@ class Matches:
         found: list[list[int]] = [[1] for _ in range(size)]
         part = self.text[begin : begin + size + self.model.longest - 1]
         size_of = self.model.length
-        for end, i in self.model.automaton.iter(part):
+        for end, i in self.model.automaton.iter(part) if len(self.model.automaton) else ():
             length = int(size_of[i])
             start = end - length + 1
-            if length > 1 and start < size:
+            if start < size:
                 found[start].append(length)  # ends ascend, and so do the lengths at a start
         for x in found:
             x.reverse()
@@ -102,8 +102,10 @@ class Model:
         self.longest = max(map(len, self.ids), default=1)
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, i)
-        self.automaton.make_automaton()
+            if len(piece) > 1:
+                self.automaton.add_word(piece, i)
+        if len(self.automaton):
+            self.automaton.make_automaton()
         spans = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
         self.by_word = self.prefix and not spans
         self.cut = re.compile(".+" if spans else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", re.S)
@@ -157,6 +159,10 @@ class Model:
         alphabet = {c for p in self.ids for c in p}
         self.gap = next(c for c in map(chr, range(0x110000)) if c not in alphabet)
         self.length = np.array([len(p) or 1 for p in pieces], np.int64)
+        self.single = np.arange(self.size, self.size + 0x110000)  # the token of a character alone
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.single[ord(piece)] = i
         self.shorter = np.full(self.size, -1, np.int64)
         for piece, i in self.ids.items():
             for n in range(len(piece) - 1, 0, -1):
@@ -187,9 +193,9 @@ class Model:
     def _side_by_side(self, parts: list[str]) -> list[bytes]:
         """Ids of many short parts: what ``pieces`` does, for all of them at each step."""
         text = self.gap.join(parts)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        first = codes + self.size  # the longest piece from each position
-        hits = np.fromiter(chain.from_iterable(self.automaton.iter(text)), np.int64).reshape(-1, 2)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        first = self.single[codes]  # the longest piece from each position
+        hits = np.fromiter(chain.from_iterable(self.automaton.iter(text) if len(self.automaton) else ()), np.int64).reshape(-1, 2)
         first[hits[:, 0] - self.length[hits[:, 1]] + 1] = hits[:, 1]  # ends ascend: the longest is written last
         n = np.fromiter(map(len, parts), np.int64, len(parts))
         start = np.cumsum(n + 1) - n - 1
