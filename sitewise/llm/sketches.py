@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewise.session import checkpoint
+
 SHINGLE, ONE_IN = 5, 8
 #: Ids that share a block: the width of a window in ascending order.
 BITS = 6
@@ -54,11 +56,12 @@ def next_values(values: DataFrame, column: str) -> DataFrame:
         return values.select(column, F.col(column).alias("next"))
 
     def level(v: DataFrame, a: int, b: int) -> DataFrame:
-        up = v.select("x", F.shiftright("x", BITS).alias("up"))
+        last = {a >> BITS, b >> BITS} <= {-1, 0} or a >> BITS == b >> BITS  # at most two blocks are left
+        up = v.select("x", (F.lit(0) if last else F.shiftright("x", BITS)).alias("up"))
         inside = up.withColumn("next", F.lead("x").over(Window.partitionBy("up").orderBy("x")))
-        if a >> BITS == b >> BITS:
+        if last:
             return inside.select("x", "next")
-        firsts = up.groupBy("up").agg(F.min("x").alias("first"))
+        firsts = checkpoint(up.groupBy("up").agg(F.min("x").alias("first")))  # a block each, used twice
         after = level(firsts.select(F.col("up").alias("x")), a >> BITS, b >> BITS)
         heads = after.join(firsts, F.col("next") == F.col("up"), "left").select(F.col("x").alias("of"), "first")
         return inside.join(heads, F.col("up") == F.col("of"), "left").select("x", F.coalesce("next", "first").alias("next"))
