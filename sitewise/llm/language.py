@@ -214,10 +214,12 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     sample = rows.where(point < F.element_at(share, F.col(lang))).select(F.col(key).cast("string").alias("k"), F.col(text).alias("text"), F.col(lang).alias("lang"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        every = pd.concat(list(parts), ignore_index=True)
+        some = [p for p in parts if len(p)]
+        if not some:
+            return
+        every = pd.concat(some, ignore_index=True)
         every = every.sort_values(["k", "text", "lang"], na_position="first")
-        if len(every):
-            yield pd.DataFrame({"model": [fit(every["text"].tolist(), every["lang"].tolist()).dump()]})
+        yield pd.DataFrame({"model": [fit(every["text"].tolist(), every["lang"].tolist()).dump()]})
 
     found = sample.repartition(1).mapInPandas(run, "model binary").collect()  # one model
     return bytes(found[0]["model"]) if found else None

@@ -131,13 +131,15 @@ def train(df: DataFrame, labels: DataFrame, label: str = "label", text: str = "t
     sample = rows.select(F.col(key).cast("string").alias("k"), "text", F.col("_label").alias("label"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        every = pd.concat(list(parts), ignore_index=True)
+        some = [p for p in parts if len(p)]
+        if not some:
+            return
+        every = pd.concat(some, ignore_index=True)
         every = every.sort_values(["k", "text", "label"], na_position="first")
-        if len(every):
-            w, bias = fit(every["text"].tolist(), every["label"].tolist())
-            b = io.BytesIO()
-            np.savez_compressed(b, w=w.astype(np.float32), bias=bias)
-            yield pd.DataFrame({"model": [b.getvalue()]})
+        w, bias = fit(every["text"].tolist(), every["label"].tolist())
+        b = io.BytesIO()
+        np.savez_compressed(b, w=w.astype(np.float32), bias=bias)
+        yield pd.DataFrame({"model": [b.getvalue()]})
 
     found = sample.repartition(1).mapInPandas(run, "model binary").collect()  # one model
     return bytes(found[0]["model"]) if found else None

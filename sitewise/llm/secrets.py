@@ -163,8 +163,11 @@ def train(df: DataFrame, text: str = "text", key: str = "doc_id", documents: int
             yield pd.DataFrame(rows, columns=["k", "a", "x", "y"])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        every = pd.concat(list(parts), ignore_index=True)
-        if len(every) and every["y"].nunique() == 2:
+        some = [p for p in parts if len(p)]
+        if not some:
+            return
+        every = pd.concat(some, ignore_index=True)
+        if every["y"].nunique() == 2:
             every = every.sort_values(["k", "a"], na_position="first", kind="stable")
             forest = fit(np.stack(every["x"].to_numpy()), every["y"].to_numpy(np.int64))
             b = io.BytesIO()
