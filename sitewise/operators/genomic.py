@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewise.functions.labels import chromosome_order
-from sitewise.operators.ordering import SMALL_KEYS, cumulative_counts
+from sitewise.operators.ordering import cumulative_counts
 
 
 def with_chromosome_order(genes: DataFrame, other: int = 26) -> DataFrame:
@@ -23,11 +23,11 @@ def chromosome_offsets(located: DataFrame, gap: float = 5e6) -> DataFrame:
     return per.withColumn("offset", offset)
 
 
-def gene_offsets(genes: DataFrame, small: int = SMALL_KEYS) -> DataFrame:
+def gene_offsets(genes: DataFrame) -> DataFrame:
     """Global start of every gene: total length of the genes before it in genomic order."""
     order = with_chromosome_order(genes, other=1000)
     keys = ["chr_order", "chr_label", "start_bp", "Gene"]
-    return cumulative_counts(order, [], keys, small, weight="Length").select(
+    return cumulative_counts(order, [], keys, weight="Length").select(
         *keys, F.col("cnt").alias("Length"), F.col("before").alias("offset")
     )
 

@@ -1,9 +1,10 @@
 """Exact ranks, quantiles and tiles without a single-task global window.
 
 ``cumulative_counts`` is the one primitive: it turns a frame into its distinct
-ordered keys with the number of rows before each key.  Up to ``SMALL_KEYS`` keys a
-plain window does it; beyond that the keys are range partitioned, checkpointed and
-offset by per-partition totals, so a hot group or value spreads over many tasks.
+ordered keys with the number of rows before each key.  The keys are range partitioned,
+written, and offset by per-partition totals, at any size, so a hot group or value spreads
+over many tasks.  Results go back to rows by value; the few values that hold more than a
+thousandth of the rows are broadcast, so no task gathers a hot value.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from sitewise.functions.arrays import entries
 from sitewise.session import checkpoint
 
-SMALL_KEYS = 1_000_000
+#: Rows of a slice of ``bh_adjust``; a value that holds over 1 / HEAVY of all rows is heavy, so there are fewer than HEAVY of them.
+SLICE, HEAVY = 100_000, 1000
 
 
 def _ordering(order: list[str]) -> list[Column]:
@@ -25,8 +27,7 @@ def _names(order: list[str]) -> list[str]:
     return [c.lstrip("-") for c in order]
 
 
-def cumulative_counts(df: DataFrame, groups: list[str], order: list[str], small: int = SMALL_KEYS,
-                      weight: str | None = None) -> DataFrame:
+def cumulative_counts(df: DataFrame, groups: list[str], order: list[str], weight: str | None = None) -> DataFrame:
     """Distinct ``groups + order`` keys with ``cnt``, ``before`` and the group ``total``.
 
     ``cnt`` is the number of rows, or the sum of ``weight`` when one is named.  Prefix an order column with ``-`` for descending order.  Rows with a NULL order
@@ -34,13 +35,8 @@ def cumulative_counts(df: DataFrame, groups: list[str], order: list[str], small:
     """
     keys = groups + _names(order)
     counted = df.groupBy(*keys).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt"))
-    counted = checkpoint(counted)
-    by_group = Window.partitionBy(*groups) if groups else Window.partitionBy()
-    if counted.limit(small + 1).count() <= small:
-        running = by_group.orderBy(*_ordering(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return counted.withColumn("before", F.sum("cnt").over(running) - F.col("cnt")).withColumn(
-            "total", F.sum("cnt").over(by_group)
-        )
+    counted = checkpoint(counted)  # the range bounds are sampled from it before it is dealt
+    by_group = Window.partitionBy(*groups)
     ranged = counted.repartitionByRange(*[F.col(g) for g in groups], *_ordering(order))
     parts = checkpoint(ranged.withColumn("part", F.spark_partition_id()))
     # One row per (group, partition) it touches: partitions + groups rows.
@@ -57,9 +53,9 @@ def cumulative_counts(df: DataFrame, groups: list[str], order: list[str], small:
     )
 
 
-def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float], small: int = SMALL_KEYS) -> DataFrame:
+def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact linear-interpolation quantiles; one row per group, one column per entry of ``probs``."""
-    keys = cumulative_counts(df.where(F.col(value).isNotNull()), groups, [value], small)
+    keys = cumulative_counts(df.where(F.col(value).isNotNull()), groups, [value])
     aggs, outs = [], []
     for name, p in probs.items():
         h = (F.col("total") - 1) * F.lit(float(p))
@@ -114,22 +110,39 @@ def decile_score(df: DataFrame, order: list[str], out: str, lower_better: bool =
     return df.withColumn(out, 1 - score if lower_better else score).drop("_tile")
 
 
+def _attach(df: DataFrame, keys: DataFrame, on: list[str], value: str) -> DataFrame:
+    """``df`` (written) left-joined with ``keys`` on ``on``; ``keys`` has ``cnt``, which is dropped.
+
+    Heavy values are joined by broadcast, NULL values not at all, the rest by shuffle.
+    """
+    keys = checkpoint(keys)
+    n = keys.agg(F.sum("cnt")).first()[0] or 0
+    heavy = F.broadcast(keys.where(F.col("cnt") * HEAVY > n).drop("cnt"))
+    light = keys.where(F.col("cnt") * HEAVY <= n).drop("cnt")
+    known = df.where(F.col(value).isNotNull())
+    new = [F.lit(None).cast(f.dataType).alias(f.name) for f in light.schema.fields if f.name not in on]
+    out = known.join(heavy, on).unionByName(known.join(heavy.select(on), on, "left_anti").join(light, on, "left"))
+    return out.unionByName(df.where(F.col(value).isNull()).select("*", *new))
+
+
 def average_rank(df: DataFrame, value: str, out: str, groups: list[str] | None = None, descending: bool = False) -> DataFrame:
     """Average rank over ties, 1-based; NULL values keep a NULL rank."""
     groups = groups or []
     order = ["-" + value] if descending else [value]
+    df = checkpoint(df)
     keys = cumulative_counts(df.where(F.col(value).isNotNull()), groups, order)
-    ranks = keys.select(*groups, value, (F.col("before") + (F.col("cnt") + 1) / 2).alias(out))
-    return df.join(ranks, groups + [value], "left")
+    ranks = keys.select(*groups, value, "cnt", (F.col("before") + (F.col("cnt") + 1) / 2).alias(out))
+    return _attach(df, ranks, groups + [value], value)
 
 
 def min_rank(df: DataFrame, value: str, out: str, groups: list[str] | None = None, descending: bool = False) -> DataFrame:
     """Smallest rank over ties plus the group size in ``<out>_n``."""
     groups = groups or []
     order = ["-" + value] if descending else [value]
+    df = checkpoint(df)
     keys = cumulative_counts(df.where(F.col(value).isNotNull()), groups, order)
-    ranks = keys.select(*groups, value, (F.col("before") + 1).alias(out), F.col("total").alias(out + "_n"))
-    return df.join(ranks, groups + [value], "left")
+    ranks = keys.select(*groups, value, "cnt", (F.col("before") + 1).alias(out), F.col("total").alias(out + "_n"))
+    return _attach(df, ranks, groups + [value], value)
 
 
 def rank_norm(df: DataFrame, value: str, out: str) -> DataFrame:
@@ -147,10 +160,10 @@ def average_ranks(df: DataFrame, cols: list[str], prefix: str = "rank_", descend
     """
     rows = checkpoint(df.withColumn("_id", F.monotonically_increasing_id()))
     cells = F.inline(entries(["col", "v"], *[(c, F.col(c).cast("double")) for c in cols]))
-    long = rows.select("_id", cells).where("v IS NOT NULL")
+    long = checkpoint(rows.select("_id", cells).where("v IS NOT NULL"))
     keys = cumulative_counts(long, ["col"], ["-v" if descending else "v"])
-    ranks = keys.select("col", "v", (F.col("before") + (F.col("cnt") + 1) / 2).alias("r"))
-    wide = long.join(ranks, ["col", "v"]).groupBy("_id").agg(
+    ranks = keys.select("col", "v", "cnt", (F.col("before") + (F.col("cnt") + 1) / 2).alias("r"))
+    wide = _attach(long, ranks, ["col", "v"], "v").groupBy("_id").agg(
         *[F.max(F.when(F.col("col") == c, F.col("r"))).alias(prefix + c) for c in cols])
     return rows.join(wide, "_id", "left").drop("_id")
 
@@ -161,16 +174,17 @@ def bh_adjust(df: DataFrame, p: str, groups: list[str], out: str = "fdr") -> Dat
     ``min over larger p of p * m / rank``.  The running minimum works on distinct
     p-values cut into ordered slices, so no task sees more than one slice.
     """
+    df = checkpoint(df)
     keys = cumulative_counts(df.where(F.col(p).isNotNull()), groups, [p])
     keys = keys.withColumn("_q", F.col(p) * F.col("total") / (F.col("before") + F.col("cnt")))
-    keys = keys.withColumn("_slice", F.floor(F.col("before") / SMALL_KEYS))
+    keys = keys.withColumn("_slice", F.floor(F.col("before") / SLICE))
     later = Window.partitionBy(*groups).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     slices = keys.groupBy(*groups, "_slice").agg(F.min("_q").alias("_m"))
     slices = slices.withColumn("_later", F.min("_m").over(later)).drop("_m")
     inside = Window.partitionBy(*groups, "_slice").orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
     adj = keys.join(slices, groups + ["_slice"]).withColumn("_own", F.min("_q").over(inside))
-    adj = adj.select(*groups, p, F.least(F.col("_own"), F.col("_later"), F.lit(1.0)).alias(out))
-    return df.join(adj, groups + [p], "left")
+    adj = adj.select(*groups, p, "cnt", F.least(F.col("_own"), F.col("_later"), F.lit(1.0)).alias(out))
+    return _attach(df, adj, groups + [p], p)
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -14,22 +14,20 @@ def frame(spark):
     return rows, spark.createDataFrame(rows, "g string, v double, i int").repartition(7)
 
 
-@pytest.mark.parametrize("small", [10**6, 20])
-def test_quantiles_match_numpy(frame, small):
+def test_quantiles_match_numpy(frame):
     rows, df = frame
-    got = {r["g"]: (r["a"], r["b"]) for r in O.quantiles(df, ["g"], "v", {"a": 0.9, "b": 0.37}, small).collect()}
+    got = {r["g"]: (r["a"], r["b"]) for r in O.quantiles(df, ["g"], "v", {"a": 0.9, "b": 0.37}).collect()}
     for g in {r[0] for r in rows}:
         v = [r[1] for r in rows if r[0] == g]
         assert got[g] == pytest.approx((np.quantile(v, 0.9), np.quantile(v, 0.37)), abs=1e-12)
-    whole = O.quantiles(df, [], "v", {"m": 0.5}, small).collect()[0]["m"]
+    whole = O.quantiles(df, [], "v", {"m": 0.5}).collect()[0]["m"]
     assert whole == pytest.approx(np.median([r[1] for r in rows]))
 
 
-@pytest.mark.parametrize("small", [10**6, 20])
-def test_cumulative_counts_both_paths(frame, small):
+def test_cumulative_counts(frame):
     rows, df = frame
     for order, sign in ((["v"], 1), (["-v"], -1)):
-        got = {(r["g"], r["v"]): (r["before"], r["cnt"], r["total"]) for r in O.cumulative_counts(df, ["g"], order, small).collect()}
+        got = {(r["g"], r["v"]): (r["before"], r["cnt"], r["total"]) for r in O.cumulative_counts(df, ["g"], order).collect()}
         for (g, v), (before, cnt, total) in got.items():
             vals = [r[1] for r in rows if r[0] == g]
             assert (before, cnt, total) == (sum(sign * x < sign * v for x in vals), vals.count(v), len(vals))
@@ -72,6 +70,19 @@ def test_average_ranks_and_bh(spark, frame, monkeypatch):
         want[i] = low
     want = {i: min(want[j] for j in want if ps[j] == ps[i]) for i in want}
     for limit in (10**6, 17):
-        monkeypatch.setattr(O, "SMALL_KEYS", limit)
+        monkeypatch.setattr(O, "SLICE", limit)
         got = {r["i"]: r["q"] for r in O.bh_adjust(pdf, "p", [], "q").collect()}
         assert got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("heavy", [1, 3, 10**6])
+def test_ranks_of_heavy_light_and_null_values(spark, frame, monkeypatch, heavy):
+    monkeypatch.setattr(O, "HEAVY", heavy)
+    rows, df = frame
+    more = df.unionByName(spark.createDataFrame([("hot", None, -1), (None, 0.5, -2)], "g string, v double, i int"))
+    got = {r["i"]: (r["a"], r["m"]) for r in O.min_rank(O.average_rank(more, "v", "a", ["g"]), "v", "m", ["g"]).collect()}
+    assert got[-1] == (None, None) and len(got) == len(rows) + 2
+    for g, v, i in rows[:200]:
+        vals = [r[1] for r in rows if r[0] == g]
+        below, ties = sum(x < v for x in vals), vals.count(v)
+        assert got[i] == (below + (ties + 1) / 2, below + 1)
