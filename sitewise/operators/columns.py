@@ -22,6 +22,14 @@ MAX_SPECIES = _FIRST_RANGE[1] + _SECOND_RANGE[1]
 GAPS = "-XBZJUxbzju"
 
 
+def species_names(df: DataFrame, col: str = "species") -> list[str]:
+    """Distinct names of a species dimension; more than the symbols can hold is an error, never a cut."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_SPECIES + 1).collect()
+    if len(rows) > MAX_SPECIES:
+        raise ValueError(f"more than {MAX_SPECIES} species")
+    return sorted(r[0] for r in rows)
+
+
 class SpeciesIndex:
     """Bounded, sorted dictionary species -> symbol character."""
 
@@ -39,8 +47,7 @@ class SpeciesIndex:
 
     @classmethod
     def of(cls, df: DataFrame, col: str = "species") -> "SpeciesIndex":
-        rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(MAX_SPECIES + 1).collect()
-        return cls([r[0] for r in rows])
+        return cls(species_names(df, col))
 
     def frame(self, spark) -> DataFrame:
         """Two-column dimension, at most ``MAX_SPECIES`` short rows."""

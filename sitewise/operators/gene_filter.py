@@ -11,6 +11,10 @@ from sitewise.session import checkpoint
 KEYS = ["Trait", "CAAP_Group"]
 
 
+#: Parts into which a background is cut where it meets the schemes.
+SALTS = 64
+
+
 def gene_density(sites: DataFrame, genes: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Distinct sites per gene and their density per 100 positions.
 
@@ -118,9 +122,10 @@ def cleaned_background(background: DataFrame, removed: DataFrame) -> DataFrame:
     """Background genes per scheme without that scheme's removed genes."""
     groups = removed.select("CAAP_Group").distinct()
     gone = removed.select("CAAP_Group", "Gene").where(F.col("Gene").isNotNull()).distinct()
-    # Schemes are a handful of labels: expand each gene by the list, not by a join.
-    names = [r[0] for r in groups.orderBy("CAAP_Group").limit(1000).collect()] or ["US"]
-    expanded = background.select("Gene", F.explode(F.array(*[F.lit(n) for n in names])).alias("CAAP_Group"))
+    # Every gene meets every scheme: genes keep a salt, schemes are repeated for each salt.
+    salted = background.select("Gene", F.pmod(F.xxhash64("Gene"), F.lit(SALTS)).cast("int").alias("_salt"))
+    schemes = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    expanded = salted.join(schemes, "_salt").select("Gene", "CAAP_Group")
     return expanded.join(gone, ["CAAP_Group", "Gene"], "left_anti")
 
 

@@ -13,18 +13,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewise.operators.columns import MAX_SPECIES
+from sitewise.operators.columns import MAX_SPECIES, species_names
 
 
 def cycles(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(1, n + 1).select(F.concat(F.lit("b_"), F.col("id").cast("string")).alias("cycle"))
 
 
-def _names(species: DataFrame) -> list[str]:
-    rows = species.select("species").distinct().limit(MAX_SPECIES + 1).collect()
+def _bounded(df: DataFrame) -> list:
+    """Rows of a species-sized table; more than the species bound is an error, never a cut."""
+    rows = df.limit(MAX_SPECIES + 1).collect()
     if len(rows) > MAX_SPECIES:
-        raise ValueError("species dimension exceeds its bound")
-    return sorted(r[0] for r in rows)
+        raise ValueError(f"more than {MAX_SPECIES} species rows")
+    return rows
 
 
 def _shuffled(names: Column, seed: int) -> Column:
@@ -34,7 +35,10 @@ def _shuffled(names: Column, seed: int) -> Column:
 
 def random_labels(cycle_df: DataFrame, species: DataFrame, n_fg: int, n_bg: int, seed: int = 1) -> DataFrame:
     """Foreground and background drawn without replacement from all species."""
-    names = F.array(*[F.lit(s) for s in _names(species)])
+    found = species_names(species)
+    if n_fg + n_bg > len(found):
+        raise ValueError(f"{n_fg} + {n_bg} labels asked of {len(found)} species")
+    names = F.array(*[F.lit(s) for s in found])
     drawn = cycle_df.withColumn("_o", _shuffled(names, seed))
     return drawn.select("cycle", F.array_sort(F.slice("_o", 1, n_fg)).alias("fg"), F.array_sort(F.slice("_o", n_fg + 1, n_bg)).alias("bg"))
 
@@ -48,7 +52,7 @@ def family_labels(cycle_df: DataFrame, template: DataFrame, families: DataFrame,
     members = families.groupBy("family").agg(F.array_sort(F.collect_set("species")).alias("members"))
     want = template.join(families, "species").groupBy("family").agg(
         F.count_if(F.col("grp") == 1).alias("n_fg"), F.count_if(F.col("grp") == 0).alias("n_bg"))
-    rows = want.join(members, "family").limit(MAX_SPECIES + 1).collect()
+    rows = _bounded(want.join(members, "family"))
     short = [r["family"] for r in rows if r["n_fg"] + r["n_bg"] > len(r["members"])]
     if short:
         raise ValueError(f"families too small for the template: {', '.join(sorted(short))}")
@@ -67,8 +71,7 @@ def permulated_labels(cycle_df: DataFrame, paths: DataFrame, values: DataFrame,
     of the simulated values are used, so the rate constant does not matter.  Foreground
     labels go to species now holding a foreground value, background likewise.
     """
-    rows = paths.join(values.where("value IS NOT NULL"), F.col("name") == F.col("species")).select(
-        "species", "value", "path").limit(MAX_SPECIES + 1).collect()
+    rows = _bounded(paths.join(values.where("value IS NOT NULL"), F.col("name") == F.col("species")).select("species", "value", "path"))
     rows = sorted(rows, key=lambda r: r["species"])
     names = np.array([r["species"] for r in rows], dtype=object)
     real = np.sort(np.array([r["value"] for r in rows], dtype=float))
@@ -83,7 +86,7 @@ def permulated_labels(cycle_df: DataFrame, paths: DataFrame, values: DataFrame,
     for i, r in enumerate(rows):
         for step in r["path"][1:]:
             load[i, col[step["node"]]] = edges[step["node"]] ** 0.5
-    cfg = config.select("species", "grp").limit(MAX_SPECIES + 1).collect()
+    cfg = _bounded(config.select("species", "grp"))
     fg_values = np.array([own[r["species"]] for r in cfg if r["grp"] == 1 and r["species"] in own])
     bg_values = np.array([own[r["species"]] for r in cfg if r["grp"] == 0 and r["species"] in own])
     if not len(fg_values) or not len(bg_values):

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewise.operators.columns import species_names
 from sitewise.operators import accumulation, clusters, contrasts, disambiguation, gene_filter, postproc, resampling, scan, scoring, significance
 from sitewise.operators.columns import SpeciesIndex, columns_from_sequences
 from sitewise.operators.trees import root_paths
@@ -138,7 +139,7 @@ def run(inputs: Inputs, s: Settings | None = None) -> dict[str, DataFrame]:
     out["filtered"] = filtered
 
     if inputs.genes is not None and inputs.pair_states is not None:
-        target = index.symbols([r[0] for r in config.select("species").limit(scan.MAX_CONFIG_ROWS).collect()])
+        target = index.symbols(species_names(config))
         usable = filtered.withColumn("is_conserved_meta", F.lit("false")).withColumn("asr_is_conserved", F.lit("true"))
         grid = accumulation.grid(columns, inputs.genes, usable, target)
         law = accumulation.expected_draws(accumulation.eligible_rows(grid, usable), F.array(F.lit("all"), F.lower("CAAP_Group")))

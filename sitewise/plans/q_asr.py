@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sitewise.operators.columns import species_names
 from sitewise.functions import labels as L
 from sitewise.functions.schemes import PARTITIONS, RESIDUES, codes
 from sitewise.operators import disambiguation as D
@@ -146,13 +147,13 @@ def sc34(t):
     return t.pair_states.select("gene", "site", "pair_id", L.transition_text(F.col("focal_state"), F.col("top_tip")).alias("txt"))
 
 
-@query("sc26", "SELECT gene, site, coalesce(string_agg(a, '+' ORDER BY mp), '?') AS shown FROM (SELECT gene, site, upper(top_tip) AS a, min(pair_id) AS mp FROM {pair_states} WHERE top_tip NOT IN ('-','X','?') GROUP BY 1, 2, 3) z GROUP BY 1, 2")
+@query("sc26", "SELECT gene, site, coalesce(string_agg(a, '+' ORDER BY mp) FILTER (a NOT IN ('-','X','?')), '?') AS shown FROM (SELECT gene, site, upper(top_tip) AS a, min(pair_id) AS mp FROM {pair_states} WHERE top_tip IS NOT NULL GROUP BY 1, 2, 3) z GROUP BY 1, 2")
 def sc26(t):
     """Residue list normalisation and display."""
     m = F.array_sort(F.collect_list(F.struct("pair_id", "top_tip")))
     df = t.pair_states.where("top_tip IS NOT NULL").groupBy("gene", "site").agg(m.alias("m"))
     shown = D.shown_residues(D.normal_residues(F.transform("m", lambda x: F.lower(x["top_tip"]))))
-    return df.select("gene", "site", shown.alias("shown")).where("shown <> '?'")
+    return df.select("gene", "site", shown.alias("shown"))
 
 
 _GS3 = codes("GS3")
@@ -392,7 +393,7 @@ def tr13(t):
     """Foreground marking of one Newick text per gene."""
     names = F.array_join(F.transform(F.array_sort(F.collect_set("species")), lambda s: F.concat(s, F.lit(":1"))), ",")
     trees = t.cells.groupBy("gene").agg(F.concat(F.lit("("), names, F.lit(");")).alias("newick"))
-    fg = [r[0] for r in t.config.where("grp = 1").select("species").limit(S.MAX_CONFIG_ROWS).collect()]
+    fg = species_names(t.config.where("grp = 1"))
     return trees.select("gene", X.mark_foreground(F.col("newick"), fg).alias("marked"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sitewise.operators.columns import species_names
 from sitewise.operators import accumulation as A
 from sitewise.operators import enrichment as E
 from sitewise.operators import ordering as O
@@ -34,7 +35,7 @@ def meta(t):
 
 def grid(t):
     idx = index(t)
-    target = idx.symbols([r[0] for r in t.config.select("species").limit(S.MAX_CONFIG_ROWS).collect()])
+    target = idx.symbols(species_names(t.config))
     return A.grid(columns(t), t.genes, meta(t), target).withColumn("cons_idx", F.round("cons_idx", 6))
 
 
@@ -204,11 +205,11 @@ def jn27(t):
 
 TERMS = """
     std AS (SELECT gene_list, fdr AS FDR_std, db AS database_std, term AS term_std, round(-log10(greatest(fdr, 22250738585072014e-324)), 6) AS neglog10FDR,
-        CASE WHEN gene_list LIKE '%top%' THEN 'top' WHEN gene_list LIKE '%bottom%' THEN 'bottom' ELSE 'global' END AS scenario FROM {terms} WHERE fdr < 2e-2)"""
+        CASE WHEN gene_list LIKE '%top%' THEN 'top' WHEN gene_list LIKE '%bottom%' THEN 'bottom' ELSE 'global' END AS scenario FROM {terms})"""
 
 
 def terms(t):
-    return E.standard_terms(t.terms.where("fdr < 0.02"))
+    return E.standard_terms(t.terms)
 
 
 @query("sc31", "WITH" + TERMS + " SELECT gene_list, term_std, database_std, scenario, neglog10FDR FROM std")

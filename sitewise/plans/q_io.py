@@ -191,13 +191,14 @@ def src16(t):
     return R.posterior_jsonl(per_node.select("gene", F.to_json(F.struct("node_id", "positions")).alias("line")), [100, 102])
 
 
-FADE = "fx AS (SELECT gene, target_aa, site, max(bayes_factor) AS bf FROM {fade} WHERE direction = 'top' AND bayes_factor IS NOT NULL GROUP BY 1, 2, 3)"
+FADE = "fx AS (SELECT gene, direction, target_aa, site, max(bayes_factor) AS bf FROM {fade} WHERE bayes_factor IS NOT NULL GROUP BY 1, 2, 3, 4)"
 
 
-@query("src17", "WITH " + FADE + " SELECT gene, target_aa, CAST(row_number() OVER (PARTITION BY gene, target_aa ORDER BY site) AS INT) AS site, bf AS bayes_factor FROM fx")
+@query("src17", "WITH " + FADE + " SELECT concat(gene, '.', direction) AS gene, target_aa, CAST(row_number() OVER (PARTITION BY gene, direction, target_aa ORDER BY site) AS INT) AS site, bf AS bayes_factor FROM fx")
 def src17(t):
-    """Bayes-factor JSON documents."""
-    f = t.fade.where("direction = 'top' AND bayes_factor IS NOT NULL").groupBy("gene", "target_aa", "site").agg(F.max("bayes_factor").alias("bf"))
+    """Bayes-factor JSON documents, one for each gene and direction."""
+    named = F.concat_ws(".", "gene", "direction").alias("gene")
+    f = t.fade.where("bayes_factor IS NOT NULL").select(named, "target_aa", "site", "bayes_factor").groupBy("gene", "target_aa", "site").agg(F.max("bayes_factor").alias("bf"))
     reps = F.transform(F.array_sort(F.collect_list(F.struct("site", "bf"))), lambda x: F.array(F.lit(0.0), F.lit(1.0), x["bf"]))
     per = f.groupBy("gene", "target_aa").agg(reps.alias("r")).select("gene", "target_aa", F.create_map(F.lit("0"), "r").alias("parts"))
     doc = per.groupBy("gene").agg(F.map_from_entries(F.collect_list(F.struct("target_aa", "parts"))).alias("content"))

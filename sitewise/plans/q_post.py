@@ -530,7 +530,7 @@ def se12(t):
 
 
 @query("se05", COMBO.replace("WITH ", "WITH " + NORM + ", ", 1) + """,
-    pre AS (SELECT DISTINCT gene AS Gene FROM low WHERE low AND position % 7 = 0), cl AS (SELECT DISTINCT Gene FROM cmb WHERE Cluster_removed),
+    pre AS (SELECT DISTINCT gene AS Gene FROM low WHERE low), cl AS (SELECT DISTINCT Gene FROM cmb WHERE Cluster_removed),
     gf AS (SELECT DISTINCT Gene FROM cmb WHERE Extreme OR Dubious), anyf AS (SELECT DISTINCT Gene FROM cmb WHERE filter_combo <> 'None'),
     sg AS (SELECT DISTINCT gene AS Gene FROM std WHERE sig_both),
     post AS (SELECT Gene FROM cl UNION SELECT Gene FROM gf),
@@ -542,7 +542,7 @@ def se12(t):
 def se05(t):
     """Six exclusion lists."""
     s = std(t)
-    pre = s.where(P.low_posterior(s, 0.2) & (F.col("position") % 7 == 0)).select(F.col("gene").alias("Gene"))
+    pre = s.where(P.low_posterior(s, 0.2)).select(F.col("gene").alias("Gene"))
     return P.exclusion_lists(combo_flags(t), s, pre)
 
 
@@ -555,10 +555,10 @@ def ag35(t):
 
 
 # ------------------------------------------------------------------ scalar functions
-@query("sc07", "SELECT concat(Gene, '_', CAST(Position AS VARCHAR)) AS tok, Gene AS gene, Position AS pos, Gene AS gene_at, Position AS pos_at FROM {sites} WHERE CAAP_Group = 'US'")
+@query("sc07", "SELECT concat(Gene, '_', CAST(Position AS VARCHAR)) AS tok, Gene AS gene, Position AS pos, Gene AS gene_at, Position AS pos_at FROM {sites}")
 def sc07(t):
     """Gene/position tokens parsed in both spellings."""
-    df = t.sites.where("CAAP_Group = 'US'").select(
+    df = t.sites.select(
         F.concat_ws("_", "Gene", F.col("Position").cast("string")).alias("tok"),
         F.concat_ws("@", "Gene", F.col("Position").cast("string")).alias("at"))
     g, p = L.gene_pos_underscore(F.col("tok"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sitewise.operators.columns import species_names
 from sitewise.functions import patterns as P
 from sitewise.functions.pvalue import site_pvalue, symbol_counts
 from sitewise.functions.schemes import PARTITIONS, RESIDUES, codes
@@ -328,7 +329,7 @@ def ag01(t):
 def ag02(t):
     """Columns masked by a gap in a contrast species."""
     idx = index(t)
-    target = idx.symbols([r[0] for r in t.config.select("species").limit(S.MAX_CONFIG_ROWS).collect()])
+    target = idx.symbols(species_names(t.config))
     return masked(columns(t), target).select("gene", "position", "masked")
 
 

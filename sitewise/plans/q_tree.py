@@ -174,12 +174,12 @@ def ps20(t):
 CLO = """WITH RECURSIVE anc(node, ancestor, up, dist) AS (
       SELECT node_id, node_id, 0, CAST(0 AS DOUBLE) FROM {tree} UNION ALL
       SELECT a.node, e.parent_id, a.up + 1, a.dist + e.branch_length FROM anc a JOIN {tree} e ON a.ancestor = e.node_id WHERE e.parent_id IS NOT NULL)"""
-MEM = "mem AS (SELECT clade AS set_id, species FROM {traits} WHERE sid % 3 = 0)"
+MEM = "mem AS (SELECT clade AS set_id, species FROM {traits})"
 _MR = ", nt AS (SELECT set_id, count(*) AS n_tips FROM mem GROUP BY 1), dep AS (SELECT node, max(up) AS depth FROM anc GROUP BY 1), cm AS (SELECT m.set_id, a.ancestor, count(*) AS k FROM mem m JOIN {tree} e ON e.name = m.species JOIN anc a ON a.node = e.node_id GROUP BY 1, 2), mr AS (SELECT c.set_id, arg_max(c.ancestor, d.depth) AS m FROM cm c JOIN nt ON nt.set_id = c.set_id AND nt.n_tips = c.k JOIN dep d ON d.node = c.ancestor GROUP BY 1)"
 
 
 def members(t):
-    return t.traits.where("sid % 3 = 0").select(F.col("clade").alias("set_id"), "species")
+    return t.traits.select(F.col("clade").alias("set_id"), "species")
 
 
 @query("tr01", "SELECT name, branch_length FROM {tree} WHERE node_id NOT IN (SELECT parent_id FROM {tree} WHERE parent_id IS NOT NULL)")
@@ -201,13 +201,13 @@ def tr02(t):
     return T.mrca(t.tree, members(t))
 
 
-MEM2 = "mem AS (SELECT taxon AS set_id, species FROM {traits} WHERE sid % 5 = 0)"
+MEM2 = "mem AS (SELECT taxon AS set_id, species FROM {traits})"
 
 
 @query("ag34", CLO + ", " + MEM2 + _MR + " SELECT nt.set_id, n_tips, CASE WHEN n_tips >= 2 THEN m ELSE (SELECT min(e.node_id) FROM mem JOIN {tree} e ON e.name = mem.species WHERE mem.set_id = nt.set_id) END AS node FROM nt LEFT JOIN mr ON mr.set_id = nt.set_id")
 def ag34(t):
     """Tips and node per taxon, single species mapped to its tip."""
-    return T.taxon_mrca(t.tree, t.traits.where("sid % 5 = 0").select(F.col("taxon").alias("set_id"), "species"))
+    return T.taxon_mrca(t.tree, t.traits.select(F.col("taxon").alias("set_id"), "species"))
 
 
 @query("tr04", CLO + """, kt AS (SELECT e.node_id FROM {tree} e JOIN {traits} t ON t.species = e.name WHERE t.sid % 4 = 0),
@@ -246,14 +246,14 @@ def tr05_between(t):
     return T.node_path(t.tree, pairs).select("species1", "species2", "mrca", F.array_join(F.transform("nodes", lambda x: x.cast("string")), ",").alias("nodes"))
 
 
-@query("tr06", CLO + ", mem AS (SELECT CAST(sid % 7 AS INT) AS set_id, species FROM {traits} WHERE clade = 'ASIA' OR sid % 7 < 3)" + _MR + """,
+@query("tr06", CLO + ", mem AS (SELECT CAST(sid % 7 AS INT) AS set_id, species FROM {traits})" + _MR + """,
     fo AS (SELECT nt.set_id AS pair_id, CASE WHEN n_tips >= 2 THEN m ELSE (SELECT min(e.node_id) FROM mem JOIN {tree} e ON e.name = mem.species WHERE mem.set_id = nt.set_id) END AS focal_node FROM nt LEFT JOIN mr ON mr.set_id = nt.set_id),
     bt AS (SELECT DISTINCT a.node FROM anc a JOIN fo ON fo.focal_node = a.ancestor WHERE a.node NOT IN (SELECT parent_id FROM {tree} WHERE parent_id IS NOT NULL)),
     cc AS (SELECT arg_max(a.ancestor, d.depth) AS mc FROM (SELECT a.ancestor, count(*) AS k FROM anc a JOIN bt ON bt.node = a.node GROUP BY 1) a JOIN dep d ON d.node = a.ancestor WHERE a.k = (SELECT count(*) FROM bt))
     SELECT pair_id, focal_node, mc AS mrca_contrast FROM fo CROSS JOIN cc""")
 def tr06(t):
     """Focal node per pair and the contrast node."""
-    pairs = t.traits.where("clade = 'ASIA' OR sid % 7 < 3").select((F.col("sid") % 7).cast("int").alias("pair_id"), "species")
+    pairs = t.traits.select((F.col("sid") % 7).cast("int").alias("pair_id"), "species")
     return T.focal_nodes(t.tree, pairs)
 
 
@@ -265,18 +265,18 @@ def tr15(t):
     return T.contrast_map(t.tree, members(t)).select("set_id", "species", "mrca", F.array_join(F.transform("nodes", lambda x: x.cast("string")), ",").alias("nodes"))
 
 
-@query("jn16", "SELECT coalesce(e.name, t.species) AS label, e.node_id, t.value FROM {tree} e FULL JOIN (SELECT * FROM {traits} WHERE sid % 2 = 0) t ON t.species = e.name")
+@query("jn16", "SELECT coalesce(e.name, t.species) AS label, e.node_id, t.value FROM {tree} e FULL JOIN (SELECT * FROM {traits}) t ON t.species = e.name")
 def jn16(t):
     """Tree table full outer joined to traits."""
-    tr = t.traits.where("sid % 2 = 0").select(F.col("species").alias("name"), "value")
+    tr = t.traits.select(F.col("species").alias("name"), "value")
     return t.tree.join(tr, "name", "full").select(F.col("name").alias("label"), "node_id", "value")
 
 
-TAX = "tax AS (SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS species, CAST(s_suppkey % 40 AS BIGINT) AS tax_id FROM {supplier} WHERE s_suppkey % 9 <> 0), ali AS (SELECT species FROM {traits} WHERE sid % 3 <> 1)"
+TAX = "tax AS (SELECT concat('S', CAST(s_suppkey AS VARCHAR)) AS species, CAST(s_suppkey % 40 AS BIGINT) AS tax_id FROM {supplier}), ali AS (SELECT species FROM {traits} WHERE sid % 3 <> 1)"
 
 
 def tax(t):
-    return t.supplier.where("s_suppkey % 9 <> 0").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("species"), (F.col("s_suppkey") % 40).alias("tax_id"))
+    return t.supplier.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("species"), (F.col("s_suppkey") % 40).alias("tax_id"))
 
 
 def ali(t):

@@ -94,7 +94,7 @@ VIEWS: dict[str, str] = {
                (p_partkey % 1000) * 150000 + p_size * 1000 AS start_bp,
                (p_partkey % 1000) * 150000 + p_size * 1000 + (p_size * 10 + 50) * 3 AS end_bp,
                CAST(p_size * 10 + 50 AS BIGINT) AS Length
-        FROM {part} WHERE p_partkey % 97 <> 5""",
+        FROM {part}""",
     "acc_sites": """
         SELECT Gene, CAST(Position % 20 AS INT) AS Position, CAAP_Group, min(change_side) AS change_side,
                min(is_conserved_meta) AS is_conserved_meta, min(asr_is_conserved) AS asr_is_conserved,
