@@ -99,16 +99,19 @@ def columns_from_sequences(sequences: DataFrame, index: SpeciesIndex, block: int
 
     Sequences are cut into blocks before the shuffle, so one residue travels as one
     byte and a very long gene spreads over as many groups as it has blocks; a group
-    never holds more than ``species x block`` residues.
+    never holds more than ``species x block`` residues.  Sequences of a gene that differ in
+    length are an error.
     """
     last = F.floor((F.length("seq") - 1) / block).cast("int")
     chunks = (
         index.attach(sequences.where(F.length("seq") > 0))
         .select("gene", "sym", F.explode(F.sequence(F.lit(0), last)).alias("blk"), "seq")
-        .select("gene", "sym", "blk", F.expr(f"substring(seq, blk * {block} + 1, {block})").alias("chunk"))
+        .select("gene", "sym", "blk", F.expr(f"substring(seq, blk * {block} + 1, {block})").alias("chunk"), F.length("seq").alias("n"))
     )
-    grouped = chunks.groupBy("gene", "blk").agg(F.sort_array(F.collect_list(F.struct("sym", "chunk"))).alias("m"))
-    width = F.array_max(F.transform("m", lambda x: F.length(x["chunk"])))
+    grouped = chunks.groupBy("gene", "blk").agg(F.sort_array(F.collect_list(F.struct("sym", "chunk"))).alias("m"), F.min("n").alias("short"), F.max("n").alias("long"))
+    # The first block holds every sequence, so one that ends early shows there.
+    ragged = F.raise_error(F.concat(F.lit("sequences of unequal length in gene "), F.col("gene").cast("string"))).cast("int")
+    width = F.when(F.col("short") < F.col("long"), ragged).otherwise(F.array_max(F.transform("m", lambda x: F.length(x["chunk"]))))
     cols = F.transform(
         F.sequence(F.lit(1), width),
         lambda i: F.struct(

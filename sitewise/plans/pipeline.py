@@ -35,6 +35,7 @@ class Inputs:
     genes: DataFrame | None = None
     resamples: DataFrame | None = None
     pair_states: DataFrame | None = None
+    families: DataFrame | None = None
 
 
 @dataclass
@@ -79,6 +80,12 @@ def resample_stage(inputs: Inputs, config: DataFrame, s: Settings) -> DataFrame:
     cycle_df = resampling.cycles(spark, s.cycles)
     if s.resample_strategy == "tree":
         out = resampling.permulated_labels(cycle_df, root_paths(inputs.tree), inputs.traits.select("species", "value"), config, s.seed)
+    elif s.resample_strategy == "family":
+        if inputs.families is None:
+            raise ValueError("resampling by family needs a table of families")
+        out = resampling.family_labels(cycle_df, config.select("species", "grp"), inputs.families, s.seed)
+    elif s.resample_strategy != "random":
+        raise ValueError(f"unknown resampling strategy {s.resample_strategy!r}")
     else:
         n_fg, n_bg = (config.where(F.col("grp") == g).count() for g in (1, 0))
         species = inputs.traits if inputs.traits is not None else inputs.sequences

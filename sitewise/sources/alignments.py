@@ -91,10 +91,19 @@ def nexus(text: Column) -> Column:
 
 
 def maf(text: Column) -> Column:
-    """Alignment blocks of ``s`` lines; blocks are appended per source."""
-    body = F.filter(_lines(text), lambda x: x.rlike(r"^s\s"))
-    return _merge(F.transform(body, lambda x: F.struct(
-        F.regexp_extract(x, r"^s\s+(\S+)", 1).alias("name"), F.regexp_extract(x, r"(\S+)\s*$", 1).alias("chunk"))))
+    """Alignment blocks of ``s`` lines; a source that a block lacks is gaps as wide as the block."""
+    def block(part: Column) -> Column:
+        rows = F.transform(F.filter(_lines(part), lambda x: x.rlike(r"^s\s")), lambda x: F.struct(
+            F.regexp_extract(x, r"^s\s+(\S+)", 1).alias("name"), F.regexp_extract(x, r"(\S+)\s*$", 1).alias("chunk")))
+        return F.struct(rows.alias("rows"), F.array_max(F.transform(rows, lambda r: F.length(r["chunk"]))).alias("width"))
+
+    blocks = F.filter(F.transform(F.split(text, r"(?m)^a(?=\s|$)"), block), lambda b: F.size(b["rows"]) > 0)
+    names = F.array_distinct(F.flatten(F.transform(blocks, lambda b: F.transform(b["rows"], lambda r: r["name"]))))
+
+    def chunk(b: Column, name: Column) -> Column:
+        return F.coalesce(F.get(F.filter(b["rows"], lambda r: r["name"] == name), F.lit(0))["chunk"], F.repeat(F.lit("-"), b["width"]))
+
+    return F.transform(names, lambda n: F.struct(n.alias("species"), F.array_join(F.transform(blocks, lambda b: chunk(b, n)), "").alias("seq")))
 
 
 PARSERS = {
@@ -104,9 +113,9 @@ PARSERS = {
 
 
 def parse(texts: DataFrame, fmt: str) -> DataFrame:
-    """``gene, species, seq``; the first record of a repeated name wins."""
+    """``gene, species, seq``; the last record of a repeated name wins."""
     rows = texts.select("gene", F.posexplode(PARSERS[fmt](F.col("text")))).select("gene", "pos", "col.species", "col.seq")
-    return rows.groupBy("gene", "species").agg(F.min_by("seq", "pos").alias("seq"))
+    return rows.groupBy("gene", "species").agg(F.max_by("seq", "pos").alias("seq"))
 
 
 def read_alignments(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame:
