@@ -14,6 +14,10 @@ from sitewise.operators.ordering import attach_scalars, cumulative_counts, quant
 POOL = ["US", "GS0", "GS1", "GS2", "GS3", "GS4"]
 
 
+#: Parts into which the genes are cut where they meet the draws of a bin.
+SALTS = 64
+
+
 def metadata(sites: DataFrame, order: str | None = None) -> DataFrame:
     """Usable site metadata: control scheme and dubious-conserved rows dropped, last row wins.
 
@@ -89,8 +93,10 @@ def expected_draws(rows: DataFrame, category: Column, direction: str = "all", bi
     hits = rows.where(pool & side & ~dubious).select("gene", "bin", F.explode(category).alias("category"))
     drawn = hits.groupBy("category", "bin").agg(F.count(F.lit(1)).alias("n"))
     observed = hits.groupBy("category", "gene").agg(F.count(F.lit(1)).alias("actual"))
-    # per_bin and drawn have at most bins x categories rows; the planner broadcasts them.
-    law = per_gene.join(per_bin, "bin").join(drawn, "bin").withColumn("p", F.col("e_g") / F.col("e"))
+    # One row a bin is broadcast; genes meet the draws of a bin by salt, for a bin is a hot key.
+    salted = drawn.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    genes = per_gene.join(F.broadcast(per_bin), "bin").withColumn("_salt", F.pmod(F.xxhash64("gene"), F.lit(SALTS)).cast("int"))
+    law = genes.join(salted, ["bin", "_salt"]).withColumn("p", F.col("e_g") / F.col("e"))
     law = law.groupBy("category", "gene").agg(
         F.collect_list(F.struct("bin", "n", "p")).alias("l")  # at most one entry per bin
     ).select("category", "gene", F.expr("transform(array_sort(l), x -> x.n)").alias("ns"), F.expr("transform(array_sort(l), x -> x.p)").alias("ps"))

@@ -14,6 +14,8 @@ from sitewise.functions.schemes import AMBIGUOUS, RESIDUES, SCHEMES, codes, enco
 from sitewise.operators.columns import GAPS, SpeciesIndex, column_filter, settle
 
 MAX_CONFIG_ROWS = 200_000
+#: Parts into which the columns are cut where they meet a block of cycles.
+SALTS = 64
 
 
 @dataclass
@@ -354,9 +356,12 @@ def _replay(columns: DataFrame, discovery: DataFrame | None, resamples: DataFram
     # Few, small rows that each expand to every cycle: spread them by count, not by bytes.
     tasks = int(columns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid = laid.repartition(tasks, "gene", "position", "scheme")
+    # A few block numbers would be a few hot keys: columns keep a salt, blocks are repeated for each salt.
+    salted = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    laid = laid.withColumn("salt", F.pmod(F.xxhash64("gene", "position", "scheme"), F.lit(SALTS)).cast("int"))
     rows = (
         laid.withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-        .join(blocks, "blk")
+        .join(salted, ["blk", "salt"])
         .select("gene", "position", "raw", "scheme", "laid", F.inline("cycles"))
     )
     every = F.lit(index.symbols(index.names))
