@@ -21,7 +21,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import Recent, sampled
+from sitewise.llm.common import sampled
 from sitewise.session import checkpoint
 
 #: The bound of the training sample; lexicon sizes and least numbers of texts; the trees; words that count as near.
@@ -32,7 +32,9 @@ NAMES = ["strong", "strong_words", "strong_share", "some", "some_words", "near_y
 #: Second persons of the languages at hand, and signs that stand for letters.
 SECOND = frozenset("you your yours yourself du dich dir dein deine ihr euch tu toi te ton ta tes vous votre vos usted ustedes tú ti tus vosotros".split())
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "*": ""})
+STRONGLY, SOMEWHAT, PERSON = 1, 2, 4
 _WORD = re.compile(r"[^\W_]+")
+_SIGN = re.compile(r"[0-9@$*](?=[^\W\d_])")
 _MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$*]+[^\W\d_]+)+")
 
 
@@ -54,14 +56,24 @@ def lexicons(rows: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
 
 
 class Lexicon:
-    """Classes of words (2: strong, 1: some, 0: neither) by the word or its beginnings, with a bounded memo."""
+    """Kinds of words by the word or its beginnings, with a bounded memo."""
 
     def __init__(self, strong: frozenset[str], some: frozenset[str]):
-        def kind(word: str) -> int:
-            keys = {word, *(f"{word[:k]}-" for k in STEMS if len(word) > k)}
-            return 2 if keys & strong else 1 if keys & some else 0
+        self.strong, self.some = strong, some
+        self.known: dict[str, int] = {}
 
-        self.kind = Recent(kind, KEEP)
+    def kind(self, word: str) -> int:
+        """STRONGLY or SOMEWHAT or neither, and PERSON for a second person."""
+        keys = {word, *(f"{word[:k]}-" for k in STEMS if len(word) > k)}
+        return (STRONGLY if keys & self.strong else SOMEWHAT if keys & self.some else 0) | (PERSON if word in SECOND else 0)
+
+    def kinds(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > KEEP:
+            self.known = {}
+        known = self.known
+        for w in set(words).difference(known):
+            known[w] = self.kind(w)
+        return np.frombuffer(bytes(map(known.__getitem__, words)), np.uint8)
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
@@ -71,24 +83,21 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
     low = text.lower()
     words = _WORD.findall(low)
     n = max(1, len(words))
-    kinds = [lexicon.kind[w] for w in words]
-    hits = [i for i, k in enumerate(kinds) if k == 2]
-    some = [i for i, k in enumerate(kinds) if k == 1]
-    you = np.array([i for i, w in enumerate(words) if w in SECOND], np.int64)
+    kinds = lexicon.kinds(words)
+    hits, some, you = (np.flatnonzero(kinds & k) for k in (STRONGLY, SOMEWHAT, PERSON))
     near = 0
-    if hits and len(you):
-        at = np.array(hits)
-        after = np.searchsorted(you, at)
-        left, right = np.abs(at - you[np.maximum(after - 1, 0)]), np.abs(you[np.minimum(after, len(you) - 1)] - at)
+    if len(hits) and len(you):
+        after = np.searchsorted(you, hits)
+        left, right = np.abs(hits - you[np.maximum(after - 1, 0)]), np.abs(you[np.minimum(after, len(you) - 1)] - hits)
         near = int((np.minimum(left, right) <= NEAR).sum())
-    mixed = _MIXED.findall(low)
-    hidden = sum(lexicon.kind[m.translate(SIGNS)] == 2 for m in mixed)
+    mixed = _MIXED.findall(low) if _SIGN.search(low) else []
+    hidden = sum(lexicon.kind(m.translate(SIGNS)) & STRONGLY > 0 for m in mixed)
     byte = np.bincount(np.frombuffer(text.encode("latin-1", "replace"), np.uint8), minlength=256)
     upper = byte[65:91].sum() + byte[192:223].sum() - byte[215]
     letters = max(1, upper + byte[97:123].sum() + byte[223:256].sum() - byte[247])
     marks = byte[33:48].sum() + byte[58:65].sum() + byte[91:97].sum() + byte[123:127].sum()
-    held = {words[i] for i in hits}
-    return [float(len(hits)), float(len(held)), len(hits) / n, len(some) / n, float(len({words[i] for i in some})), float(near), len(you) / n, upper / letters,
+    held = {words[i] for i in hits.tolist()}
+    return [float(len(hits)), float(len(held)), len(hits) / n, len(some) / n, float(len({words[i] for i in some.tolist()})), float(near), len(you) / n, upper / letters,
             float(upper / letters > 0.5), byte[33] / n, byte[63] / n, marks / n, len(mixed) / n, float(hidden), byte[48:58].sum() / n, math.log1p(n)]
 
 
