@@ -58,7 +58,7 @@ def test_alignment_folder(spark, tmp_path):
     (tmp_path / "G2.phy").write_text("2 4\na  AC\nb  DE\n\n  GH\n  IK\n")
     (tmp_path / "notes.txt").write_text("no alignment")
     got = sorted(map(tuple, A.read_alignments(spark, str(tmp_path)).collect()))
-    assert got == [("G1", "a", "ACD"), ("G1", "b", "AC-"), ("G2", "a", "ACGH"), ("G2", "b", "DEIK")]
+    assert got == [("G1", "a", "KKK"), ("G1", "b", "AC-"), ("G2", "a", "ACGH"), ("G2", "b", "DEIK")]
     assert A.infer_format("x.fasta") == "fasta" and A.infer_format("x.aln") == "phylip-relaxed"
 
 
