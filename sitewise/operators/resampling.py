@@ -34,9 +34,12 @@ def _shuffled(names: Column, seed: int) -> Column:
 
 
 def random_labels(cycle_df: DataFrame, species: DataFrame, n_fg: int, n_bg: int, seed: int = 1) -> DataFrame:
-    """Foreground and background drawn without replacement from all species."""
+    """Foreground and background drawn without replacement from all species.
+
+    Fewer species than labels are an error; no species at all give empty draws.
+    """
     found = species_names(species)
-    if n_fg + n_bg > len(found):
+    if found and n_fg + n_bg > len(found):
         raise ValueError(f"{n_fg} + {n_bg} labels asked of {len(found)} species")
     names = F.array(*[F.lit(s) for s in found])
     drawn = cycle_df.withColumn("_o", _shuffled(names, seed))
