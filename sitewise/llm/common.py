@@ -31,6 +31,17 @@ def sampled(labels: DataFrame, key: str, label: str, rows: int, salt: str) -> Da
     return known.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(salt)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key: tuple, make: Callable):
+    """``make()``, kept for the next tasks of this Python worker; another key lets go of it, so a worker holds one model."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
 class Recent:
     """A bounded memo for ``make(key)``: two generations of at most ``size`` entries each."""
 

@@ -9,6 +9,7 @@ recursion, which runs over all chains of a batch at once.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 from collections.abc import Iterator
@@ -18,7 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHAIN, BUCKETS, KEEP, WORDS = 64, 1 << 16, 200_000, 400_000
+from sitewise.llm.common import resident
+
+CHAIN, BUCKETS, KEEP, WORDS = 64, 1 << 16, 200_000, 200_000
 #: The bound of the training sample: about so many documents of each language and at most so many chains of each document.
 DOCUMENTS, CHAINS, EPOCHS, BATCH, RATE, DECAY = 600, 12, 3, 64, 0.3, 1e-6
 MOST_LANGUAGES = 200
@@ -239,7 +242,7 @@ def predict(df: DataFrame, model: bytes | None, text: str = "text") -> DataFrame
 
     @F.pandas_udf("lang_pred string, score double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        field = Field.load(blob.value)
+        field = resident(("language", hashlib.sha256(blob.value).digest()), lambda: Field.load(blob.value))
         names = np.array([*field.languages, UNKNOWN], object)
         for texts in batches:
             found, values, waiting, n = [], [], [], 0

@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import Recent
+from sitewise.llm.common import Recent, resident
 
 SPACE = "▁"
 #: Piece types of the model file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-SCAN, KEEP, LONG, BATCH_CHARS = 4096, 400_000, 64, 1_000_000
+SCAN, KEEP, LONG, BATCH_CHARS = 4096, 250_000, 64, 1_000_000
 #: Slots of the table of checked pairs, and the shift of a token in a pair's key.
 SLOTS, SHIFT = 1 << 20, 22
 
@@ -340,16 +340,9 @@ class Model:
         return "".join(out)
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def load(blob: bytes) -> Model:
     """One model for each Python worker and file."""
-    key = hashlib.sha256(blob).hexdigest()
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(blob)
-    return _MODELS[key]
+    return resident(("pieces", hashlib.sha256(blob).digest()), lambda: Model(blob))
 
 
 def _blob(model_path: str) -> bytes:
