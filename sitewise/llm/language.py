@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import io
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sitewise.llm.common import resident
 
-CHAIN, BUCKETS, KEEP, WORDS = 64, 1 << 16, 200_000, 200_000
+CHAIN, BUCKETS, KEEP, WORDS, PART = 64, 1 << 16, 200_000, 200_000, 20_000
 #: The bound of the training sample: about so many documents of each language and at most so many chains of each document.
 DOCUMENTS, CHAINS, EPOCHS, BATCH, RATE, DECAY = 600, 12, 3, 64, 0.3, 1e-6
 MOST_LANGUAGES = 200
@@ -37,6 +38,10 @@ def words_of(text: str | None) -> list[str]:
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, begin): hashed features of the words one after the other, and where each word's begin."""
+    if len(words) > PART:  # the arrays below hold dozens of bytes for each character
+        parts = [features(words[a : a + PART]) for a in range(0, len(words), PART)]
+        sizes = np.cumsum([0] + [len(p[0]) for p in parts])
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] + n for p, n in zip(parts, sizes)])
     text = "".join(f"\x02{w}\x03" for w in words)
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
@@ -60,7 +65,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         every = (every * prime) >> np.uint64(64 - 16)
     order = np.argsort(owners, kind="stable")
     counts = np.bincount(owners, minlength=len(words))
-    return every[order].astype(np.int64), np.cumsum(counts) - counts
+    return every[order].astype(np.uint16), np.cumsum(counts) - counts
 
 
 def chains(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,16 +162,19 @@ def fit(texts: list[str], langs: list[str]) -> Field:
     """A field from whole texts whose words all carry the text's language; adaptive gradient steps over batches of chains."""
     languages = sorted(set(langs))
     place = {x: i for i, x in enumerate(languages)}
-    lists = [words_of(t) for t in texts]
     number: dict[str, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for x in lists for w in x], np.int64)
+    every, ends = array("q"), [0]
+    for t in texts:
+        every.extend([number.setdefault(w, len(number)) for w in words_of(t)])
+        ends.append(len(every))
+    ids = np.array(every, np.int64)
     weight = np.zeros((BUCKETS, len(languages)))
     transition = np.zeros((len(languages), len(languages)))
     if not len(ids):
         return Field(languages, weight, transition)
     bucket, start = features(list(number))
     stop = np.append(start[1:], len(bucket))
-    text, begin, length = chains(np.array([len(x) for x in lists], np.int64))
+    text, begin, length = chains(np.diff(np.array(ends, np.int64)))
     rng = np.random.default_rng(7)
     random = rng.random(len(text))
     order = np.lexsort((random, text))
@@ -217,6 +225,7 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     sample = rows.where(point < F.element_at(share, F.col(lang))).select(F.col(key).cast("string").alias("k"), F.col(text).alias("text"), F.col(lang).alias("lang"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resident(("language", "fit"), dict)  # what the worker held before goes
         some = [p for p in parts if len(p)]
         if not some:
             return

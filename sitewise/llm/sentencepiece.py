@@ -30,7 +30,7 @@ from sitewise.llm.common import Recent, resident
 SPACE = "▁"
 #: Piece types of the model file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-SCAN, KEEP, LONG, BATCH_CHARS = 4096, 250_000, 64, 1_000_000
+SCAN, KEEP, LONG, BATCH_CHARS = 4096, 150_000, 64, 1_000_000
 #: Slots of the table of checked pairs, and the shift of a token in a pair's key.
 SLOTS, SHIFT = 1 << 20, 22
 
