@@ -205,3 +205,158 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius:
         return kept
     again = kept.join(copies, F.col(doc_id) == F.col("_again"), "left_semi").dropDuplicates([doc_id])
     return kept.join(copies, F.col(doc_id) == F.col("_again"), "left_anti").unionByName(again)
+
+
+#: Near copies by their words: shingle width, least Jaccard of the shingle sets, and the widths in bits within which pairs are verified.
+#: At Jaccard 0.8 prints of 256 bits differ in 39 +- 6 and their halves in 19 +- 4; unrelated ones in 128 +- 8 and 64 +- 6.
+WIDTH, SIMILAR, HALF_APART, APART = 5, 0.8, 44, 64
+#: Distinct texts at home in a leaf: the least, and the part of all; pairs compared at once.
+PART, PARTS, BLOCK = 1024, 48, 1 << 20
+SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+BITS = [f"w{k}" for k in range(len(SALTS))]
+
+
+def shingles(text: str | None) -> set[bytes]:
+    """The distinct runs of ``WIDTH`` words; fewer words are one run, no words none."""
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[k : k + WIDTH]) for k in range(max(1, len(words) - WIDTH + 1))} if words else set()
+
+
+def jaccard(a: str | None, b: str | None) -> float:
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def wide_print(text: str | None) -> tuple[int, np.ndarray]:
+    """Number of distinct shingles and the majority bits of their hashes, 64 for each salt; no words: zeros."""
+    import xxhash
+
+    digest = xxhash.xxh64_intdigest
+    hashes = np.unique(np.array([digest(s, SEED) for s in shingles(text)], np.uint64))
+    ones = np.zeros(64 * len(SALTS), np.int64)
+    for at in range(0, len(hashes), 255):  # sums of bytes
+        x = hashes[at : at + 255, None] + SALTS
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        ones += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return len(hashes), np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")
+
+
+def similar_prints(points: np.ndarray, size: np.ndarray, mine: np.ndarray, asking: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of (asking, mine) whose prints and sizes allow Jaccard ``SIMILAR``; both lists of indices rise with size."""
+    own, step = size[mine], max(1, BLOCK // max(1, len(mine)))
+    for at in range(0, len(asking), step):
+        part = asking[at : at + step]
+        low, high = np.searchsorted(own, SIMILAR * size[part[0]] - 1), np.searchsorted(own, size[part[-1]] / SIMILAR + 1)
+        some = mine[low:high]
+        half = distance(points[part, 0][:, None], points[some, 0]) + distance(points[part, 1][:, None], points[some, 1])
+        i, j = np.nonzero(half <= HALF_APART)
+        i, j = part[i], some[j]
+        d = distance(points[i], points[j]).sum(1, dtype=np.int64)
+        ok = (i != j) & (d <= APART) & (np.minimum(size[i], size[j]) >= SIMILAR * np.maximum(size[i], size[j]) - 1e-6)
+        if ok.any():
+            yield i[ok], j[ok]
+
+
+def _leaf(part: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    part = part.sort_values(["home", "n", "h"], ascending=[False, True, True], ignore_index=True)
+    return part, np.ascontiguousarray(part[BITS].to_numpy(np.int64)).view(np.uint64), part["n"].to_numpy(np.int64)
+
+
+def _stars(part: pd.DataFrame) -> pd.DataFrame:
+    """A pair for each text and the first of its local group."""
+    part, points, size = _leaf(part)
+    k = int(part["home"].sum())
+    runs = [np.arange(k), np.arange(k, len(part))]
+    label = local_groups(len(part), (p for run in runs for p in similar_prints(points, size, runs[0], run)))
+    moved = label != np.arange(len(part))
+    h = part["h"].to_numpy()
+    return pd.DataFrame({"band": part["band"][moved], "part": part["part"][moved], "a": h[moved], "b": h[label[moved]]})
+
+
+def _all_pairs(part: pd.DataFrame) -> pd.DataFrame:
+    """All pairs of the texts that are not like the first of their local group."""
+    part, points, size = _leaf(part)
+    order = np.argsort(size, kind="stable")
+    found = list(similar_prints(points, size, order, order[part["open"].to_numpy(bool)[order]]))
+    h = part["h"].to_numpy()
+    i, j = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
+    return pd.DataFrame({"band": part["band"].iloc[0], "part": part["part"].iloc[0], "a": h[i], "b": h[j]})
+
+
+def near_copies(df: DataFrame, text: str = "text") -> DataFrame:
+    """(h, component) of the distinct texts, by ``xxhash64``, that are linked: Jaccard of the five-word sets at least ``SIMILAR``.
+
+    Texts are dealt by the number of their shingles, since sizes more than ``SIMILAR`` apart
+    can't be linked; within that every pair of prints is compared, as at this radius a vantage
+    point rules out none.  Candidates are verified on the texts: first each with the first of its
+    local group, then those that are unlike it with all others.  So a large group costs a row for
+    each member, and no link among the candidates is lost.
+    """
+
+    @F.pandas_udf("n int, w0 long, w1 long, w2 long, w3 long")
+    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([(n, *w.tolist()) for n, w in map(wide_print, texts)], columns=["n", *BITS])
+
+    @F.pandas_udf("double")
+    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for x, y in batches:
+            yield pd.Series([jaccard(a, b) for a, b in zip(x, y)], dtype=float)
+
+    keyed = df.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    one = keyed.select("h", prints("text").alias("p")).groupBy("h").agg(F.min("p").alias("p"))
+    size = F.floor(F.log(F.greatest(F.col("p.n"), F.lit(1)).cast("double")) / F.lit(math.log(1 / SIMILAR + 1e-7)))
+    classes = checkpoint(one.select("h", "p.*", F.when(F.col("p.n") > 0, size).otherwise(-2).cast("int").alias("band")))
+    counts = {r["band"]: r["count"] for r in classes.groupBy("band").count().collect()}  # a row for each band of sizes
+    most = max(PART, sum(counts.values()) // PARTS)
+    parts = {k: math.ceil(n / most) for k, n in counts.items()}
+    if not parts:
+        return classes.select("h", F.col("h").alias("component"))
+    number = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv])
+    own = F.pmod(F.xxhash64("h"), F.element_at(number, F.col("band"))).cast("int")
+
+    def leaves(first, n, shift: int):
+        leaf = lambda k: F.struct((F.col("band") + shift).alias("band"), k.cast("int").alias("part"), (F.lit(shift == 0) & (k == F.col("own"))).alias("home"))
+        return F.when(n > first, F.transform(F.sequence(F.lit(first), n - 1), leaf)).otherwise(F.array().cast("array<struct<band:int,part:int,home:boolean>>"))
+
+    above = F.coalesce(F.try_element_at(number, F.col("band") + 1), F.lit(0))
+    dealt = classes.withColumn("own", own).withColumn("to", F.explode(F.concat(leaves(0, F.col("own") + 1, 0), leaves(0, above, 1))))
+    dealt = dealt.select("to.*", "h", "n", *BITS)
+    kind = "band int, part int, a long, b long"
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        pairs = checkpoint(pairs)
+        named = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+        texts = checkpoint(keyed.join(named, "h", "left_semi").dropDuplicates(["h"]))
+        full = pairs.join(texts.select(F.col("h").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("text").alias("y")), "b")
+        return checkpoint(full.select("band", "part", "a", "b", (alike("x", "y") >= SIMILAR).alias("like")))
+
+    stars = judged(dealt.groupBy("band", "part").applyInPandas(_stars, kind))
+    unlike = stars.where("NOT like").select("band", "part", F.col("a").alias("h")).distinct()
+    found = stars.where("like").select("a", "b")
+    if not unlike.isEmpty():
+        leaf = dealt.join(unlike.select("band", "part").distinct(), ["band", "part"], "left_semi")
+        marked = leaf.join(unlike.withColumn("open", F.lit(True)), ["band", "part", "h"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+        rest = marked.groupBy("band", "part").applyInPandas(_all_pairs, kind)
+        rest = rest.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("band").alias("band"), F.min("part").alias("part"))
+        found = found.unionByName(judged(rest).where("like").select("a", "b"))
+    return components(found).select(F.col("node").alias("h"), "component")
+
+
+def keep_one_copy(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``df`` without all but one of each group of near copies: that of the smallest id, then of a hash of the row.
+
+    A null id comes last; rows are told apart by id and text, so an id with two texts loses only the copied one.
+    """
+    groups = checkpoint(near_copies(df, text))
+    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(*df.columns).alias("row"), F.col("_h").alias("h"))
+    rows = df.withColumn("_h", F.xxhash64(text))
+    named = rows.select("_h", first.alias("_first")).join(groups, F.col("_h") == F.col("h"), "left")
+    firsts = named.groupBy(F.coalesce("component", "_h").alias("g")).agg(F.min("_first").alias("f"), F.count(F.lit(1)).alias("n"))
+    firsts = checkpoint(firsts.where("n > 1").select("g", "f"))
+    grouped = checkpoint(named.select(F.coalesce("component", "_h").alias("g"), "_h").distinct().join(firsts, "g").select(F.col("_h").alias("_k"), F.col("f").alias("_f")))
+    single = rows.join(grouped, F.col("_h") == F.col("_k"), "left_anti").drop("_h")
+    best = rows.withColumn("_first", first).join(grouped, F.col("_h") == F.col("_k")).where("_first <=> _f").dropDuplicates(["_f"])
+    return single.unionByName(best.select(df.columns))
