@@ -3,9 +3,9 @@
 Candidates are long runs of the characters that keys are written in.  The forest reads their
 length, how characters follow each other (against the transitions of common words), how much
 of them the dictionary covers, whether they look like paths, and the words and signs around
-them.  It is trained from labelled findings: those of a bounded sample of documents, labelled by
-fixed rules for assignments to a credential's name and for known key prefixes.  In half of the
-training rows what stands around is blanked, so that the characters must tell as well.
+them.  It is trained from labelled findings: those of all documents, a bounded number of either
+label, labelled by fixed rules for assignments to a credential's name and for known key
+prefixes.  In half of the training rows what stands around is blanked, so that the characters must tell as well.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from sitewise.session import checkpoint
 
-#: The bound of the training sample, the dictionary, and the forest.
-DOCUMENTS, DICTIONARY, TREES, DEPTH, LEAF, ROWS = 20_000, 5_000, 25, 8, 3, 40_000
+#: The dictionary, the forest, and the bound of the labelled findings, half for either label; hash bins by which they are bounded.
+DICTIONARY, TREES, DEPTH, LEAF, ROWS, BINS = 5_000, 25, 8, 3, 40_000, 4096
 THRESHOLD, MASK, AROUND = 0.5, "[SECRET]", 48
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Names that credentials are assigned to, and prefixes of known kinds of keys.
@@ -145,22 +145,28 @@ def fit(x: np.ndarray, y: np.ndarray) -> Forest:
     return Forest(trees)
 
 
-def train(df: DataFrame, text: str = "text", key: str = "doc_id", documents: int = DOCUMENTS) -> tuple[list[str], bytes | None]:
-    """(dictionary, forest) from about ``documents`` documents picked by a hash of ``key``; no text reaches the driver.
+def train(df: DataFrame, text: str = "text", key: str = "doc_id", rows: int = ROWS // 2) -> tuple[list[str], bytes | None]:
+    """(dictionary, forest): words counted over all documents, findings of all documents; no text reaches the driver.
 
-    The forest is None if the sample's findings don't have both labels.
+    Of either label, about the ``rows`` findings of the smallest hashes train the forest.  It is
+    None if the findings don't have both labels.
     """
-    n = df.select(key).count()
-    point = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("secrets")), F.lit(1 << 30)) / (1 << 30)
-    sample = checkpoint(df.where(point < min(1.0, documents / max(1, n))).select(F.col(key).cast("string").alias("k"), F.col(text).alias("text")))
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0))).alias("w")).groupBy("w").count()
+    docs = df.select(F.col(key).cast("string").alias("k"), F.col(text).alias("text"))
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0))).alias("w")).groupBy("w").count()
     common = [r["w"] for r in words.orderBy(F.desc("count"), "w").limit(DICTIONARY).collect()]
 
     def extract(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
         speech = Speech(common)
+        least: dict[int, list[tuple]] = {0: [], 1: []}  # of each label, those that can be among the smallest of all
         for part in parts:
-            rows = [(k, a, x, y) for k, t in zip(part["k"], part["text"]) for a, _, x, y in findings(t, speech)]
-            yield pd.DataFrame(rows, columns=["k", "a", "x", "y"])
+            for k, t in zip(part["k"], part["text"]):
+                for a, b, x, y in findings(t, speech):
+                    least[y].append((xxhash.xxh64_intdigest(f"{k}|{a}|{t[a:b]}") >> 1, k, a, x, y))
+                    if len(least[y]) >= 2 * rows + 1000:
+                        least[y] = sorted(least[y], key=lambda r: r[0])[:rows]
+        yield pd.DataFrame([r for y in least for r in sorted(least[y], key=lambda r: r[0])[:rows]], columns=["point", "k", "a", "x", "y"])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         some = [p for p in parts if len(p)]
@@ -168,14 +174,22 @@ def train(df: DataFrame, text: str = "text", key: str = "doc_id", documents: int
             return
         every = pd.concat(some, ignore_index=True)
         if every["y"].nunique() == 2:
-            every = every.sort_values(["k", "a"], na_position="first", kind="stable")
+            every = every.sort_values(["k", "a", "point"], na_position="first", kind="stable")
             forest = fit(np.stack(every["x"].to_numpy()), every["y"].to_numpy(np.int64))
             b = io.BytesIO()
             np.savez_compressed(b, *forest.trees)
             yield pd.DataFrame({"model": [b.getvalue()]})
 
-    labelled = sample.mapInPandas(extract, "k string, a long, x array<double>, y int")
-    found = labelled.repartition(1).mapInPandas(run, "model binary").collect()  # one model
+    labelled = checkpoint(docs.mapInPandas(extract, "point long, k string, a long, x array<double>, y int"))
+    part = F.shiftright("point", 63 - BINS.bit_length() + 1).alias("bin")
+    last = {0: -1, 1: -1}
+    total = {0: 0, 1: 0}
+    for r in labelled.groupBy("y", part).count().orderBy("y", "bin").collect():  # at most BINS of each label
+        total[r["y"]] += r["count"]
+        if total[r["y"]] <= rows or last[r["y"]] < 0:
+            last[r["y"]] = r["bin"]
+    kept = labelled.where(part <= F.when(F.col("y") == 1, last[1]).otherwise(last[0]))
+    found = kept.repartition(1).mapInPandas(run, "model binary").collect()  # one model
     return common, bytes(found[0]["model"]) if found else None
 
 
