@@ -191,20 +191,32 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     return prints.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _first_rows(df: DataFrame, groups: DataFrame, doc_id: str, text: str, nulls_apart: bool) -> DataFrame:
+    """One row of each group of texts, from (h, component) by ``xxhash64`` of the text: that of the smallest id, then of a hash of the row.
+
+    A null id comes last; with ``nulls_apart`` the rows with a null id are a group of their own.
+    """
+    none = F.col(doc_id).isNull() if nulls_apart else F.lit(False)
+    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(*df.columns).alias("row"), F.col("_h").alias("h"))
+    rows = df.withColumn("_h", F.xxhash64(text)).withColumn("_none", none)
+    named = rows.select("_h", "_none", first.alias("_first")).join(groups, F.col("_h") == F.col("h"), "left").withColumn("g", F.coalesce("component", "_h"))
+    firsts = named.groupBy("g", "_none").agg(F.min("_first").alias("_f"), F.count(F.lit(1)).alias("n"))
+    firsts = checkpoint(firsts.where("n > 1").drop("n"))
+    grouped = checkpoint(named.select("g", "_none", "_h").distinct().join(firsts, ["g", "_none"]).select("_h", "_none", "_f"))
+    single = rows.join(grouped, ["_h", "_none"], "left_anti")
+    best = rows.withColumn("_first", first).join(grouped, ["_h", "_none"]).where("_first <=> _f").dropDuplicates(["_f"])
+    return single.select(df.columns).unionByName(best.select(df.columns))
+
+
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of ``df`` without all but one of each group of near-duplicates.
 
-    The document with the smallest id stays, once if its row is repeated; rows with a null id
-    can't be told apart and stay.
+    The row with the smallest id stays, once if it is repeated, and of the rows with a null id
+    one more.  Rows are told apart by id and text, so an id with two texts loses only the copied one.
     """
-    found = near_duplicates(df, doc_id, text, radius)
-    dropped = checkpoint(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    kept = df.join(dropped, F.col(doc_id) == F.col("_gone"), "left_anti")
-    copies = checkpoint(found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again")))
-    if copies.isEmpty():
-        return kept
-    again = kept.join(copies, F.col(doc_id) == F.col("_again"), "left_semi").dropDuplicates([doc_id])
-    return kept.join(copies, F.col(doc_id) == F.col("_again"), "left_anti").unionByName(again)
+    found = near_duplicates(df.select(F.xxhash64(text).alias("h"), F.col(text).alias("text")), "h", "text", radius)
+    groups = checkpoint(found.select(F.col("doc_id").alias("h"), F.col("component_id").alias("component")).distinct())
+    return _first_rows(df, groups, doc_id, text, True)
 
 
 #: Near copies by their words: shingle width, least Jaccard of the shingle sets, and the widths in bits within which pairs are verified.
@@ -350,13 +362,4 @@ def keep_one_copy(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     A null id comes last; rows are told apart by id and text, so an id with two texts loses only the copied one.
     """
-    groups = checkpoint(near_copies(df, text))
-    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(*df.columns).alias("row"), F.col("_h").alias("h"))
-    rows = df.withColumn("_h", F.xxhash64(text))
-    named = rows.select("_h", first.alias("_first")).join(groups, F.col("_h") == F.col("h"), "left")
-    firsts = named.groupBy(F.coalesce("component", "_h").alias("g")).agg(F.min("_first").alias("f"), F.count(F.lit(1)).alias("n"))
-    firsts = checkpoint(firsts.where("n > 1").select("g", "f"))
-    grouped = checkpoint(named.select(F.coalesce("component", "_h").alias("g"), "_h").distinct().join(firsts, "g").select(F.col("_h").alias("_k"), F.col("f").alias("_f")))
-    single = rows.join(grouped, F.col("_h") == F.col("_k"), "left_anti").drop("_h")
-    best = rows.withColumn("_first", first).join(grouped, F.col("_h") == F.col("_k")).where("_first <=> _f").dropDuplicates(["_f"])
-    return single.unionByName(best.select(df.columns))
+    return _first_rows(df, checkpoint(near_copies(df, text)), doc_id, text, False)
