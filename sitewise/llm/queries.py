@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewise.llm import language, licenses, mixing, neardup, quality, secrets, sentencepiece, simhash, sketches, toxicity
+from sitewise.llm import language, licenses, mixing, neardup, quality, secrets, sentencepiece, simhash, sketches, toxicity, warc
 from sitewise.llm.common import held_out, read
+from sitewise.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +94,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op13_warc", warc.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(warc.deduplicated(read(spark, sf_dir, "pages")), archives)
+    return warc.page_records(spark, archives)
