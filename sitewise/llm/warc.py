@@ -182,8 +182,8 @@ class Inflated(Plain):
     def jump(self, n: int) -> None:
         self.base, self.buffer, self.at = self.base + len(self.buffer), b"", 0
         while n:
-            if self.inflate is not None and self.ends is not None and self.made <= self.length <= self.made + n:
-                n -= self.length - self.made
+            if self.inflate is not None and self.ends is not None and self.made <= self.length <= self.made + n + 4:  # the line ends behind a record are no record
+                n = max(0, n - (self.length - self.made))
                 self.base += self.length - self.made
                 self.raw.go(self.ends)
                 self.inflate, self.tail = None, b""

@@ -65,7 +65,7 @@ def test_empty_table(spark, tmp_path):
 def three(tmp_path, name="a.warc"):
     """A foreign archive: other line ends in blocks, folded and repeated headers, no length in its members."""
     one = lambda kind, uri, block, more="": (f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{uri}>\r\nWARC-Target-URI: {uri}\r\n{more}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n")
-    big = bytes(random.Random(1).randrange(256) for _ in range(300_000))
+    big = random.Random(1).randbytes(300_000)
     parts = [one("warcinfo", "i", b"software: x\r\n", "Content-Type: application/warc-fields\r\n"),
              one("response", "http://x/1", b"HTTP/1.1 404 Gone\r\nA: 1\r\nA: 2\r\n\r\nWARC/1.0\r\n\r\n" + big, "Content-Type: application/http; msgtype=response\r\nX-Long: one\r\n two\r\n"),
              one("request", "http://x/1", b"GET / HTTP/1.1\r\nHost: x\r\n", "Content-Type: application/http; msgtype=request\r\n"),
@@ -108,7 +108,7 @@ def test_filters_are_pushed_and_right(spark, tmp_path):
 
 
 def test_unwanted_payloads_are_not_inflated(tmp_path, monkeypatch):
-    body = b"".join(W.member(W.record({"warc_type": k, "payload": bytes(random.Random(i).randrange(256) for _ in range(400_000))}), 1) for i, k in enumerate(["response", "other", "response", "other"]))
+    body = b"".join(W.member(W.record({"warc_type": k, "payload": random.Random(i).randbytes(400_000)}), 1) for i, k in enumerate(["response", "other", "response", "other"]))
     (tmp_path / "a.warc.gz").write_bytes(body)
     made = []
     whole = W.Inflated.more
