@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewise.llm import language, licenses, mixing, neardup, quality, runs, secrets, sentencepiece, simhash, sketches, toxicity, warc
+from sitewise.llm import language, licenses, mixing, neardup, quality, runs, secrets, sentencepiece, simhash, sketches, toxicity, warc, whitening
 from sitewise.llm.common import held_out, read
 from sitewise.session import shared_folder
 
@@ -101,6 +101,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.with_repeats(read(spark, sf_dir, "documents")))
 
 
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.table(read(spark, sf_dir, "embeddings"))
+
+
 @query("op13_warc", warc.oracle())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
