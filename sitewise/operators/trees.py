@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewise.operators.ancestry import lifting, pair_ancestors, set_ancestors
 from sitewise.operators.ordering import cumulative_counts
 from sitewise.session import checkpoint
 
@@ -54,57 +55,36 @@ def tips(edges: DataFrame) -> DataFrame:
     return edges.join(inner, "node_id", "left_anti").select("node_id", "name", "branch_length")
 
 
-def path_distance(a: Column, b: Column) -> Column:
-    """Patristic distance between the ends of two root paths."""
-    shared = F.array_max(F.zip_with(a, b, lambda x, y: F.when(x["node"] == y["node"], x["dist"])))
-    return F.element_at(a, -1)["dist"] + F.element_at(b, -1)["dist"] - 2 * shared
-
-
 def path_mrca(a: Column, b: Column) -> Column:
     """Deepest node on both root paths."""
     shared = F.filter(F.zip_with(a, b, lambda x, y: F.when(x["node"] == y["node"], x["node"])), lambda x: x.isNotNull())
     return F.element_at(shared, -1)
 
 
-def all_pairs(left: DataFrame, right: DataFrame, salts: int = 16) -> DataFrame:
-    """Every (left, right) combination as a salted equi-join.
+def all_pairs(left: DataFrame, right: DataFrame, block: int = 512) -> DataFrame:
+    """Every (left, right) combination, where all of them are the result, as an equi-join.
 
-    The left side is spread over ``salts`` keys and the right side is repeated once per
-    key, so the work distributes without a nested loop and nothing is broadcast.
+    Both sides are dealt into blocks of about ``block`` rows and each two blocks meet under a
+    key of their own, so tasks grow in number with the rows, not in size.
     """
-    a = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    b = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return a.join(b, "_salt").drop("_salt")
+    a, b = (max(1, -(-df.count() // block)) for df in (left, right))
+    dealt = lambda df, own, n, other, m: df.withColumn(own, F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+    return dealt(left, "_i", a, "_j", b).join(dealt(right, "_j", b, "_i", a), ["_i", "_j"]).drop("_i", "_j")
 
 
 def patristic(edges: DataFrame, species: DataFrame) -> DataFrame:
     """Distance between every ordered pair of distinct species found in the tree."""
-    p = root_paths(edges).join(species.select("species").distinct(), F.col("name") == F.col("species"))
-    a = p.select(F.col("species").alias("species1"), F.col("path").alias("p1"))
-    b = p.select(F.col("species").alias("species2"), F.col("path").alias("p2"))
-    return all_pairs(a, b).where("species1 <> species2").select(
-        "species1", "species2", path_distance(F.col("p1"), F.col("p2")).alias("distance"))
-
-
-def farthest(distances: DataFrame) -> DataFrame:
-    """The farthest species of every species."""
-    best = F.max(F.struct("distance", "species2"))
-    return distances.groupBy("species1").agg(best.alias("b")).select("species1", F.col("b.species2").alias("farthest"), "b.distance")
+    tree = lifting(edges)
+    p = tree.nodes.join(species.select(F.col("species").alias("name")).distinct(), "name", "left_semi")
+    side = lambda k: p.select(F.col("name").alias(f"species{k}"), F.col("node").alias(f"node{k}"))
+    return pair_ancestors(tree, all_pairs(side(1), side(2)).where("species1 <> species2")).select("species1", "species2", "distance")
 
 
 def mrca(edges: DataFrame, members: DataFrame) -> DataFrame:
     """Deepest common ancestor per ``set_id`` of ``set_id, species``; NULL below two tips."""
-    c = closure(edges)
-    depth = c.groupBy("node").agg(F.max("up").alias("depth"))
-    m = members.select("set_id", "species").distinct()
-    n = m.join(tips(edges).select(F.col("name").alias("species")), "species").groupBy("set_id").agg(F.count(F.lit(1)).alias("n_tips"))
-    common = (
-        m.join(c, m["species"] == c["name"]).groupBy("set_id", "ancestor").agg(F.count(F.lit(1)).alias("k"))
-        .join(n, "set_id").where("k = n_tips")
-        .join(depth.withColumnRenamed("node", "ancestor"), "ancestor")
-    )
-    best = common.groupBy("set_id").agg(F.max_by("ancestor", "depth").alias("m"))
-    return n.join(best, "set_id", "left").select("set_id", "n_tips", F.when(F.col("n_tips") >= 2, F.col("m")).alias("mrca"))
+    leaves = tips(edges).select(F.col("name").alias("species"), F.col("node_id").alias("node"))
+    found = set_ancestors(lifting(edges), members.select("set_id", "species").distinct().join(leaves, "species"))
+    return found.select("set_id", F.col("n").alias("n_tips"), F.when(F.col("n") >= 2, F.col("ancestor")).alias("mrca"))
 
 
 def taxon_mrca(edges: DataFrame, members: DataFrame) -> DataFrame:

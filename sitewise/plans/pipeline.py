@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sitewise.operators.columns import species_names
 from sitewise.operators import accumulation, clusters, contrasts, disambiguation, gene_filter, postproc, resampling, scan, scoring, significance
 from sitewise.operators.columns import SpeciesIndex, columns_from_sequences
+from sitewise.operators.ancestry import lifting
 from sitewise.operators.trees import root_paths
 from sitewise.session import checkpoint
 from sitewise.sinks.tables import empty
@@ -69,7 +70,8 @@ def contrast_stage(inputs: Inputs, s: Settings) -> DataFrame:
     one = contrasts.thresholds(inputs.traits, s.method)
     with_counts = {"n_population", "n_cases"} <= set(inputs.traits.columns)
     table = contrasts.discrete(inputs.traits, one)
-    chosen = contrasts.select_pairs(contrasts.candidates(table, inputs.tree, "n_population" if with_counts else None))
+    tree = lifting(inputs.tree)
+    chosen = contrasts.select_pairs(contrasts.candidates(table, tree, "n_population" if with_counts else None), tree)
     return contrasts.trait_config(inputs.sequences.sparkSession, chosen)
 
 

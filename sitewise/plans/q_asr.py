@@ -10,6 +10,7 @@ from sitewise.functions.schemes import PARTITIONS, RESIDUES, codes
 from sitewise.operators import disambiguation as D
 from sitewise.operators import postproc as P
 from sitewise.operators import scan as S
+from sitewise.operators import permutation as P
 from sitewise.operators import selection as X
 from sitewise.plans.registry import query
 
@@ -359,6 +360,56 @@ def ps19_corr(t):
     return X.rate_correlation(X.relative_rates(lengths(t)), tv, 5).select("gene", *rnd("Rho", digits=5), "N")
 
 
+# Permuted traits come as a table: a permutation is an order's hundred, its value on a branch an average price.
+PERM = "tv AS (SELECT s_nationkey AS branch, avg(s_acctbal) AS value FROM {supplier} GROUP BY 1), pm AS (SELECT o_orderkey % 128 AS perm, o_custkey % 25 AS branch, avg(o_totalprice) AS value FROM {orders} GROUP BY 1, 2)"
+_PP = """ob AS (SELECT gene, corr(rer, value) AS rho, count(*) AS n FROM rt JOIN tv ON tv.branch = rt.branch GROUP BY gene),
+    nl AS (SELECT gene, perm, corr(rer, value) AS r FROM rt JOIN pm ON pm.branch = rt.branch GROUP BY gene, perm)
+    SELECT o.gene, round(any_value(rho), 5) AS "Rho", any_value(n) AS "N", count(*) FILTER (abs(r) >= abs(rho) - 1e-9) AS exceedances, count(r) AS n_perms,
+      round(count(*) FILTER (abs(r) >= abs(rho) - 1e-9) * 1e0 / count(r), 5) AS p_perm FROM ob o JOIN nl ON nl.gene = o.gene WHERE n >= 5 GROUP BY o.gene"""
+
+
+def permuted(t):
+    tv = t.supplier.groupBy(F.col("s_nationkey").alias("branch")).agg(F.avg("s_acctbal").alias("value"))
+    pm = t.orders.groupBy((F.col("o_orderkey") % 128).alias("perm"), (F.col("o_custkey") % 25).alias("branch")).agg(F.avg("o_totalprice").alias("value"))
+    return tv, pm
+
+
+@query("ps19_perm", RATES + ", " + PERM + ", " + _PP)
+def ps19_perm(t):
+    """Rate correlation and its permutation p-value, continuous trait."""
+    return P.permutation_test(X.relative_rates(lengths(t)), *permuted(t), min_branches=5).select("gene", *rnd("Rho", digits=5), "N", "exceedances", "n_perms", *rnd("p_perm", digits=5))
+
+
+# Tau-b by its definition, over pairs of branches; rates are rounded, so that ties are ties on both sides.
+_KB = """rr AS (SELECT gene, branch, round(rer, 2) AS rer FROM rt), tb AS (SELECT branch, CASE WHEN value > 4e3 THEN 1 ELSE 0 END AS y FROM tv),
+    pb AS (SELECT perm, branch, CASE WHEN value > 150e3 THEN 1 ELSE 0 END AS y FROM pm),
+    px AS (SELECT perm, tb.branch, coalesce(pb.y, 0) AS y FROM (SELECT DISTINCT perm FROM pm) q CROSS JOIN tb LEFT JOIN pb USING (perm, branch)),
+    dd AS (SELECT a.gene, a.branch AS b1, b.branch AS b2, sign(a.rer - b.rer) AS s FROM rr a JOIN rr b ON a.gene = b.gene AND a.branch < b.branch WHERE a.branch IN (SELECT branch FROM tb) AND b.branch IN (SELECT branch FROM tb)),
+    ob AS (SELECT gene, sum(s * (u.y - v.y)) / nullif(sqrt(sum(abs(s)) * sum(abs(u.y - v.y))), 0) AS rho FROM dd JOIN tb u ON u.branch = b1 JOIN tb v ON v.branch = b2 GROUP BY gene),
+    cn AS (SELECT gene, count(*) AS n, sum(y) AS pos FROM rr JOIN tb ON tb.branch = rr.branch GROUP BY gene),
+    nl AS (SELECT gene, u.perm, sum(s * (u.y - v.y)) / nullif(sqrt(sum(abs(s)) * sum(abs(u.y - v.y))), 0) AS r FROM dd JOIN px u ON u.branch = b1 JOIN px v ON v.branch = b2 AND v.perm = u.perm GROUP BY gene, u.perm)
+    SELECT o.gene, round(any_value(rho), 5) AS "Rho", any_value(n) AS "N", CASE WHEN any_value(rho) IS NOT NULL THEN count(*) FILTER (abs(r) >= abs(rho) - 1e-9) END AS exceedances, count(r) AS n_perms,
+      round(CASE WHEN any_value(rho) IS NOT NULL THEN count(*) FILTER (abs(r) >= abs(rho) - 1e-9) * 1e0 / count(r) END, 5) AS p_perm
+    FROM ob o JOIN cn ON cn.gene = o.gene JOIN nl ON nl.gene = o.gene WHERE n >= 5 AND pos >= 2 GROUP BY o.gene"""
+
+
+@query("ps19_binary_perm", RATES + ", " + PERM + ", " + _KB)
+def ps19_binary_perm(t):
+    """Rank correlation with a 0/1 trait and its permutation p-value."""
+    tv, pm = permuted(t)
+    out = P.permutation_test(X.relative_rates(lengths(t)).withColumn("rer", F.round("rer", 2)), tv.select("branch", (F.col("value") > 4000).cast("int").alias("value")),
+                             pm.select("perm", "branch", (F.col("value") > 150000).cast("int").alias("value")), "binary", 5, 2)
+    return out.select("gene", *rnd("Rho", digits=5), "N", "exceedances", "n_perms", *rnd("p_perm", digits=5))
+
+
+@query("ps19_winsor", RATES + """, rk AS (SELECT *, row_number() OVER (PARTITION BY gene ORDER BY rer) AS k, count(*) OVER (PARTITION BY gene) AS n FROM rt),
+    bd AS (SELECT gene, min(rer) AS lo, max(rer) AS hi FROM rk WHERE k > 2 AND k <= n - 2 GROUP BY gene)
+    SELECT rt.gene, branch, round(CASE WHEN lo IS NULL THEN rer ELSE greatest(least(rer, hi), lo) END, 5) AS rer FROM rt LEFT JOIN bd ON bd.gene = rt.gene""")
+def ps19_winsor(t):
+    """Residuals whose two extremes on either side are drawn inwards."""
+    return P.winsorised(X.relative_rates(lengths(t)), 2).select("gene", "branch", *rnd("rer", digits=5))
+
+
 SEQ = "sq AS (SELECT gene, species, string_agg(residue, '' ORDER BY position) AS seq FROM {cells} GROUP BY 1, 2)"
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sitewise.operators import ancestry as A
 from sitewise.operators import contrasts as C
+from sitewise.operators import intervals as I
 from sitewise.operators import resampling as R
 from sitewise.operators import trees as T
 from sitewise.plans.registry import query
@@ -91,9 +93,31 @@ def jn08(t):
     return C.pairwise(cat(t), use_counts=False).select("species1", "species2", *rnd("trait_diff"), "trait_overlap")
 
 
-@query("jn09", "WITH b AS (SELECT species, value, value - 5e2 AS lb, value + 5e2 AS ub FROM {traits}) SELECT x.species AS species1, y.species AS species2, x.lb <= y.ub AND y.lb <= x.ub AS trait_overlap FROM b x CROSS JOIN b y")
+JN09 = "b AS (SELECT species, value, value - {w} AS lb, value + {w} AS ub FROM {{traits}})"
+
+
+@query("jn09", "WITH " + JN09.format(w="(50 + sid % 7 * 40)") + " SELECT x.species AS species1, y.species AS species2, round(x.value - y.value, 6) AS trait_diff FROM b x JOIN b y ON x.lb <= y.ub AND y.lb <= x.ub")
 def jn09(t):
-    """Interval overlap of all species pairs."""
+    """Species pairs whose intervals overlap."""
+    w = 50 + F.col("sid") % 7 * 40
+    b = t.traits.select("species", "value", (F.col("value") - w).alias("lb"), (F.col("value") + w).alias("ub"))
+    side = lambda k: b.select(*[F.col(c).alias(f"{c}{k}") for c in b.columns])
+    out = I.overlapping(side(1), side(2), ("lb1", "ub1"), ("lb2", "ub2"))
+    return out.withColumn("trait_diff", F.col("value1") - F.col("value2")).select("species1", "species2", *rnd("trait_diff"))
+
+
+@query("jn09_events", "WITH a AS (SELECT event_id, value - user_id % 5 * 1e-2 AS lo, value + user_id % 5 * 1e-2 AS hi FROM {events}), g AS (SELECT o_orderkey, o_totalprice / 1e3 AS glo, o_totalprice / 1e3 + o_custkey % 3 * 1e-2 AS ghi FROM {orders}) SELECT o_orderkey, count(*) AS n, min(event_id) AS first_event FROM g JOIN a ON lo <= ghi AND glo <= hi GROUP BY 1")
+def jn09_events(t):
+    """Overlaps of two large interval tables of very different widths, counted."""
+    r = F.col("user_id") % 5 * 0.01
+    a = t.events.select("event_id", (F.col("value") - r).alias("lo"), (F.col("value") + r).alias("hi"))
+    g = t.orders.select("o_orderkey", (F.col("o_totalprice") / 1000).alias("glo"), (F.col("o_totalprice") / 1000 + F.col("o_custkey") % 3 * 0.01).alias("ghi"))
+    return I.overlapping(g, a, ("glo", "ghi"), ("lo", "hi")).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_event"))
+
+
+@query("jn09_matrix", "WITH " + JN09.format(w="5e2") + " SELECT x.species AS species1, y.species AS species2, x.lb <= y.ub AND y.lb <= x.ub AS trait_overlap FROM b x CROSS JOIN b y")
+def jn09_matrix(t):
+    """Interval overlap of all species pairs, as a flag."""
     b = t.traits.select("species", "value", (F.col("value") - 500).alias("trait_ci_lb"), (F.col("value") + 500).alias("trait_ci_ub"), F.lit("").alias("category"))
     return C.pairwise(b, use_counts=True).select("species1", "species2", "trait_overlap")
 
@@ -114,17 +138,33 @@ def tr03(t):
     return T.patristic(t.tree, t.traits)
 
 
-@query("ps07", "WITH " + DIST + f" SELECT species1, max(distance) AS distance FROM (SELECT a.species AS species1, {_d('a', 'b')} AS distance FROM dk a JOIN dk b ON a.species <> b.species) z GROUP BY 1")
+@query("tr03_pairs", "WITH " + DIST + f""", pr AS (SELECT DISTINCT x.l_suppkey AS s1, y.l_suppkey AS s2 FROM {{lineitem}} x JOIN {{lineitem}} y ON y.l_orderkey = x.l_orderkey AND y.l_linenumber = x.l_linenumber + 1)
+    SELECT a.species AS species1, b.species AS species2, {_d('a', 'b')} AS distance,
+      CASE WHEN a.s_suppkey = b.s_suppkey THEN 1000 + a.s_suppkey WHEN a.nk = b.nk THEN 100 + a.nk WHEN a.rk = b.rk THEN 1 + a.rk ELSE 0 END AS ancestor
+    FROM pr JOIN dk a ON a.s_suppkey = pr.s1 JOIN dk b ON b.s_suppkey = pr.s2""")
+def tr03_pairs(t):
+    """Common ancestor and distance of given species pairs: suppliers of neighbouring order lines."""
+    tree = A.lifting(t.tree)
+    x = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s1"))
+    y = t.lineitem.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_suppkey").alias("s2"))
+    pairs = x.join(y, ["l_orderkey", "l_linenumber"]).select("s1", "s2").distinct()
+    for k in (1, 2):
+        named = tree.nodes.select(F.col("name").alias(f"species{k}"), F.col("node").alias(f"node{k}"))
+        pairs = pairs.withColumn(f"species{k}", F.concat(F.lit("S"), F.col(f"s{k}").cast("string"))).join(named, f"species{k}")
+    return A.pair_ancestors(tree, pairs).select("species1", "species2", "distance", F.col("ancestor").cast("long").alias("ancestor"))
+
+
+@query("ps07", "WITH " + DIST + f" SELECT species1, arg_max(species2, row(distance, species2)) AS farthest, max(distance) AS distance FROM (SELECT a.species AS species1, b.species AS species2, {_d('a', 'b')} AS distance FROM dk a JOIN dk b ON a.species <> b.species) z GROUP BY 1")
 def ps07(t):
-    """Distance to the farthest species."""
-    return T.farthest(T.patristic(t.tree, t.traits)).select("species1", "distance")
+    """The farthest species of every species and its distance."""
+    return A.farthest_members(A.lifting(t.tree), t.traits.select("species"))
 
 
 @query("jn10", CAT + ", " + DIST + f""" SELECT a.species AS species1, b.species AS species2, round({_d('da', 'db')}, 4) AS distance, round(a.value - b.value, 4) AS abs_diff, CAST(a.n_population + b.n_population AS DOUBLE) AS pair_n
     FROM ct a JOIN ct b ON a.category = 'top' AND b.category = 'bottom' JOIN dk da ON da.species = a.species JOIN dk db ON db.species = b.species WHERE round(a.value - b.value, 4) > 0""")
 def jn10(t):
     """Candidate pairs: distance x trait x trait."""
-    return C.candidates(cat(t), t.tree, "n_population").drop("p1", "p2")
+    return C.candidates(cat(t), A.lifting(t.tree), "n_population").drop("node1", "node2", "exact")
 
 
 def _greedy() -> str:
@@ -145,7 +185,8 @@ def _greedy() -> str:
 @query("tr09", _greedy())
 def tr09(t):
     """Greedy independent pair selection."""
-    rows = C.select_pairs(C.candidates(cat(t), t.tree, "n_population"))
+    tree = A.lifting(t.tree)
+    rows = C.select_pairs(C.candidates(cat(t), tree, "n_population"), tree)
     return t.spark.createDataFrame([(r["species1"], r["species2"], r["cluster"], r["dunn"]) for r in rows],
                                    "species1 string, species2 string, cluster int, dunn double")
 
