@@ -128,7 +128,7 @@ def permutation_test(rates: DataFrame, trait: DataFrame, permuted: DataFrame, ki
         _, seen = matrix(0)
         _, y = matrix(2)
         if not genes or not len(seen):
-            return pd.DataFrame({"gene": [], "rho": [], "n": [], "pos": [], "exceed": [], "perms": []})
+            return pd.DataFrame({"gene": [None], "rho": [None], "n": [0], "pos": [0], "exceed": [0], "perms": [0]})
         both = ~np.isnan(x) & ~np.isnan(seen[0])
         rho = measure(x, seen)[:, 0]
         null = np.abs(measure(x, y)) if len(y) else np.zeros((len(x), 0))
@@ -137,7 +137,7 @@ def permutation_test(rates: DataFrame, trait: DataFrame, permuted: DataFrame, ki
 
     met = left.unionByName(right).unionByName(top).groupBy("gb", "pb").applyInPandas(meet, "gene string, rho double, n long, pos long, exceed long, perms long")
     # Rho, N and the positives are the same in every block.
-    out = met.groupBy("gene").agg(F.nanvl(F.max("rho"), F.lit(None).cast("double")).alias("Rho"), F.max("n").alias("N"), F.max("pos").alias("_pos"), F.sum("exceed").alias("exceedances"), F.sum("perms").alias("n_perms"))
+    out = met.where("gene IS NOT NULL").groupBy("gene").agg(F.nanvl(F.max("rho"), F.lit(None).cast("double")).alias("Rho"), F.max("n").alias("N"), F.max("pos").alias("_pos"), F.sum("exceed").alias("exceedances"), F.sum("perms").alias("n_perms"))
     out = out.where((F.col("N") >= min_branches) & ((F.col("_pos") >= min_positive) if binary else F.lit(True)))
     known = F.col("Rho").isNotNull()
     return out.select(F.col("gene").cast(kind_of).alias("gene"), "Rho", "N", F.when(known, F.col("exceedances")).alias("exceedances"), "n_perms",

@@ -70,8 +70,7 @@ def contrast_stage(inputs: Inputs, s: Settings) -> DataFrame:
     one = contrasts.thresholds(inputs.traits, s.method)
     with_counts = {"n_population", "n_cases"} <= set(inputs.traits.columns)
     table = contrasts.discrete(inputs.traits, one)
-    tree = lifting(inputs.tree)
-    chosen = contrasts.select_pairs(contrasts.candidates(table, tree, "n_population" if with_counts else None), tree)
+    chosen = contrasts.select_pairs(table, lifting(inputs.tree), "n_population" if with_counts else None)
     return contrasts.trait_config(inputs.sequences.sparkSession, chosen)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sitewise.operators import coordinates as G
 from sitewise.operators import disambiguation as D
 from sitewise.operators import scan as S
 from sitewise.plans import q_scan as QS
@@ -233,6 +234,72 @@ def src20(t):
     return out.groupBy("kind", "position").agg(F.count(F.lit(1)).alias("n"))
 
 
+# A part's lines are the exons of a protein: sorted by order, on the minus strand for odd parts.
+EXON = """ex AS (SELECT l_partkey AS pk, l_orderkey AS ok, min(l_linenumber) AS ln, CAST(max(l_quantity) AS BIGINT) AS q FROM {lineitem} GROUP BY 1, 2),
+    xo AS (SELECT concat('P', pk) AS protein, concat('chr', 1 + pk % 22) AS chrom, CASE WHEN pk % 2 = 1 THEN '-' ELSE '+' END AS strand, ok * 100 AS st, ok * 100 + q - 1 AS en, q,
+      sum(q) OVER (PARTITION BY pk ORDER BY CASE WHEN pk % 2 = 1 THEN -ok ELSE ok END) AS upto FROM ex)"""
+
+
+def exon_lines(t):
+    ex = t.lineitem.groupBy("l_partkey", "l_orderkey").agg(F.max("l_quantity").cast("long").alias("q"))
+    pk, start = F.col("l_partkey").cast("string"), F.col("l_orderkey").cast("long") * 100
+    strand = F.when(F.col("l_partkey") % 2 == 1, "-").otherwise("+")
+    fields = lambda kind: F.concat_ws("\t", F.concat(F.lit("chr"), (1 + F.col("l_partkey") % 22).cast("string")), F.lit("src"), F.lit(kind), start.cast("string"), (start + F.col("q") - 1).cast("string"),
+                                      F.lit("."), strand, F.lit("0"), F.concat(F.lit("ID=CDS:P"), pk, F.lit(";protein_id=P"), pk, F.lit(";x=1")))
+    return ex.select(F.col("l_orderkey").alias("line_no"), F.explode(F.array(fields("CDS"), fields("exon"), F.lit("# note"))).alias("line"))
+
+
+@query("src20_cds", "WITH " + EXON + " SELECT protein, chrom, strand, CAST(upto - q AS BIGINT) AS first, CAST(upto - 1 AS BIGINT) AS last, st AS start, en AS end FROM xo")
+def src20_cds(t):
+    """Coding offsets of the exons of all proteins."""
+    return G.exon_offsets(G.coding_exons(exon_lines(t)))
+
+
+@query("src20_map", "WITH " + EXON + """, bs AS (SELECT protein, chrom, strand, upto - q + unnest(range(q)) AS o, st, en, upto - q AS f FROM xo),
+    pl AS (SELECT protein, chrom, strand, o, CASE WHEN strand = '-' THEN en - (o - f) ELSE st + (o - f) END AS place, f FROM bs),
+    rs AS (SELECT DISTINCT concat('P', substr(Gene, 2)) AS protein, Position AS residue FROM {sites} WHERE Position > 0)
+    SELECT r.protein, r.residue, chrom, strand, CAST(min(place) AS BIGINT) AS start, CAST(max(place) AS BIGINT) AS end, count(DISTINCT f) AS parts, count(*) AS bases,
+      concat(any_value(chrom), ':g.', min(place), CASE WHEN min(place) = max(place) THEN '' ELSE concat('_', max(place)) END) AS coord
+    FROM rs r JOIN pl ON pl.protein = r.protein AND o >= 3 * (residue - 1) AND o < 3 * residue GROUP BY 1, 2, 3, 4""")
+def src20_map(t):
+    """Genomic place of residues of all proteins, codons over several exons included."""
+    want = t.sites.select(F.concat(F.lit("P"), F.substring("Gene", 2, 20)).alias("protein"), F.col("Position").alias("residue"))
+    return G.codon_places(want, G.exon_offsets(G.coding_exons(exon_lines(t)))).withColumn("coord", G.place_text("chrom", "start", "end"))
+
+
+CODON = """cd AS (SELECT l_partkey AS pk, l_orderkey AS ok, l_linenumber AS ln, CAST(l_quantity AS BIGINT) % 9 AS q FROM {lineitem}),
+    ck AS (SELECT concat('G', pk) AS gene, pk, row_number() OVER (PARTITION BY pk ORDER BY ok, ln, least(q, 2)) AS codon, count(*) OVER (PARTITION BY pk) AS n, q > 1 AS good FROM cd),
+    cn AS (SELECT *, CAST(sum(CASE WHEN good THEN 1 ELSE 0 END) OVER (PARTITION BY pk ORDER BY codon) AS BIGINT) AS residue, count(*) FILTER (good) OVER (PARTITION BY pk) - 1 + pk % 3 AS full_n FROM ck),
+    cr AS (SELECT gene, codon, residue FROM cn WHERE good AND residue <= full_n OR (codon = n AND residue < full_n AND residue > 0))"""
+
+
+def aligned_codons(t):
+    q = F.col("l_quantity").cast("long") % 9
+    codon = F.when(q == 0, "---").when(q == 1, "ANG").otherwise("ATG")
+    parts = F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", codon.alias("c"))))
+    seq = t.lineitem.groupBy("l_partkey").agg(F.array_join(F.transform(parts, lambda x: x["c"]), "").alias("seq"), F.count_if(q > 1).alias("k"))
+    gene = F.concat(F.lit("G"), F.col("l_partkey").cast("string")).alias("gene")
+    full = G.fasta_lengths(seq.select(gene, F.repeat(F.lit("ATG"), (F.col("k") - 1 + F.col("l_partkey") % 3).cast("int")).alias("seq")))
+    return seq.select(gene, "seq").join(full, "gene")
+
+
+@query("src20_residues", "WITH " + CODON + " SELECT gene, codon, residue FROM cr")
+def src20_residues(t):
+    """Residues of aligned codons, gaps and masked codons skipped."""
+    return G.codon_residues(aligned_codons(t))
+
+
+@query("src20_positions", "WITH " + CODON + """, tk AS (SELECT p_partkey AS pk, unnest(list_concat(range(1, 4 + p_size % 9), [30], range(12, 15))) AS codon, unnest(range(3 + p_size % 9 + 1 + 3)) AS position FROM {part})
+    SELECT c.gene, CAST(tk.position AS BIGINT) AS position, c.codon, residue, concat(c.gene, ':p.', residue) AS query FROM tk JOIN cr c ON c.gene = concat('G', tk.pk) AND c.codon = tk.codon
+    JOIN (SELECT DISTINCT Gene, Position FROM {sites}) s ON s.Gene = c.gene AND s.Position = tk.position""")
+def src20_positions(t):
+    """Filtered positions of all genes led back to residues."""
+    line = F.concat(F.lit("columns kept selected: 1-"), (3 + F.col("p_size") % 9).cast("string"), F.lit(" 30 x 12-14 9-8"))
+    lines = t.part.select(F.concat(F.lit("G"), F.col("p_partkey").cast("string")).alias("gene"), line.alias("line"))
+    sites = t.sites.select(F.col("Gene").alias("gene"), F.col("Position").alias("position"))
+    return G.protein_positions(sites, G.tracked(lines), G.codon_residues(aligned_codons(t)))
+
+
 @query("src22", "SELECT DISTINCT set_name, gene FROM {gene_sets}")
 def src22(t):
     """GMT lines."""

@@ -164,7 +164,7 @@ def ps07(t):
     FROM ct a JOIN ct b ON a.category = 'top' AND b.category = 'bottom' JOIN dk da ON da.species = a.species JOIN dk db ON db.species = b.species WHERE round(a.value - b.value, 4) > 0""")
 def jn10(t):
     """Candidate pairs: distance x trait x trait."""
-    return C.candidates(cat(t), A.lifting(t.tree), "n_population").drop("node1", "node2", "exact")
+    return C.candidates(cat(t), A.lifting(t.tree), "n_population")
 
 
 def _greedy() -> str:
@@ -185,8 +185,7 @@ def _greedy() -> str:
 @query("tr09", _greedy())
 def tr09(t):
     """Greedy independent pair selection."""
-    tree = A.lifting(t.tree)
-    rows = C.select_pairs(C.candidates(cat(t), tree, "n_population"), tree)
+    rows = C.select_pairs(cat(t), A.lifting(t.tree), "n_population")
     return t.spark.createDataFrame([(r["species1"], r["species2"], r["cluster"], r["dunn"]) for r in rows],
                                    "species1 string, species2 string, cluster int, dunn double")
 
