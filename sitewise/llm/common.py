@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +40,38 @@ _RESIDENT: dict = {}
 def resident(key: tuple, make: Callable):
     """``make()``, kept for the next tasks of this Python worker; another key lets go of it, so a worker holds one model."""
     if key not in _RESIDENT:
-        _RESIDENT.clear()
+        if _RESIDENT:
+            _RESIDENT.clear()
+            hand_back()
         _RESIDENT[key] = make()
     return _RESIDENT[key]
 
 
+def hand_back() -> None:
+    """Give memory that nothing holds any more back to the system: cycles, Arrow's pool, free pages of the C library where it can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def shielded(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``df`` without columns of the given working names, their new names, and what names them back in a result."""
+    own, taken = {n.lower() for n in names}, {c.lower() for c in df.columns}
+    moved: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in own:
+            new = f"{c}_"
+            while new.lower() in own | taken:
+                new += "_"
+            taken.add(new.lower())
+            moved[c] = new
+    back = {v: k for k, v in moved.items()}
+    return df.withColumnsRenamed(moved), moved, lambda out: out.withColumnsRenamed(back)
+
+
 class Recent:
     """A bounded memo for ``make(key)``: two generations of at most ``size`` entries each."""
 

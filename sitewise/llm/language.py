@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import resident
+from sitewise.llm.common import hand_back, resident
 
 CHAIN, BUCKETS, KEEP, WORDS, PART = 64, 1 << 16, 200_000, 200_000, 20_000
 #: The bound of the training sample: about so many documents of each language and at most so many chains of each document.
@@ -231,7 +231,10 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
             return
         every = pd.concat(some, ignore_index=True)
         every = every.sort_values(["k", "text", "lang"], na_position="first")
-        yield pd.DataFrame({"model": [fit(every["text"].tolist(), every["lang"].tolist()).dump()]})
+        model = fit(every["text"].tolist(), every["lang"].tolist()).dump()
+        del every, some
+        hand_back()
+        yield pd.DataFrame({"model": [model]})
 
     found = sample.repartition(1).mapInPandas(run, "model binary").collect()  # one model
     return bytes(found[0]["model"]) if found else None

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewise.llm.common import WORD
+from sitewise.llm.common import WORD, shielded
 from sitewise.operators.ordering import cumulative_counts
 from sitewise.session import checkpoint
 
@@ -51,7 +51,9 @@ def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, see
     table gives an empty one.  Columns with the added names are replaced.
     """
     added = ["source_size", "target", "whole", "extra", "taken"]
-    df = df.drop(*added).withColumn("_size", F.coalesce(F.col(size).cast("long"), F.lit(0)))
+    df, moved, named_back = shielded(df.drop(*(c for c in added if c not in (doc_id, source, size))), ("_size", "_hash", "_point", "_bucket", "_salt", "_edge", "_left", "_run", "_name"))
+    doc_id, source, size = (moved.get(c, c) for c in (doc_id, source, size))
+    df = df.withColumn("_size", F.coalesce(F.col(size).cast("long"), F.lit(0)))
     hashed = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
     df = df.withColumn("_hash", hashed).withColumn("_point", F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long"))
     thin = checkpoint(df.select(F.col(source).alias("_source"), "_size", "_point"))
@@ -85,16 +87,18 @@ def mix(df: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, see
     part = part.withColumn("extra", F.greatest(F.lit(0), F.least("_size", F.col("_left") - F.col("_run")))).drop("_run")
     rest = rows.where(~at_edge).withColumn("extra", F.when(F.col("_bucket") < F.col("_edge"), F.col("_size")).otherwise(0))
     both = rest.unionByName(part).withColumn("taken", F.col("whole") * F.col("_size") + F.col("extra"))
-    return both.select(*[c for c in df.columns if c not in ("_size", "_hash", "_point")], *added)
+    return named_back(both.select(*[c for c in df.columns if c not in ("_size", "_hash", "_point")], *added))
 
 
 def repeated(mixed: DataFrame, text: str = "text", size: str = "size") -> DataFrame:
     """One row for each repetition that ``mix`` decided, the last one cut after ``extra`` words where it is a part."""
+    mixed, moved, named_back = shielded(mixed, ("_copy",))
+    text, size = moved.get(text, text), moved.get(size, size)
     copies = F.col("whole") + F.when(F.col("extra") > 0, 1).otherwise(0)
     rows = mixed.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     cut = (F.col("_copy") > F.col("whole")) & (F.col("extra") < F.col(size))
     head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("extra").cast("int")), "")
-    return rows.withColumn(text, F.when(cut, head).otherwise(F.col(text))).drop("_copy")
+    return named_back(rows.withColumn(text, F.when(cut, head).otherwise(F.col(text))).drop("_copy"))
 
 
 def oracle(table: str = "documents") -> str:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from sitewise.llm.common import shielded
 from sitewise.llm.components import components
 from sitewise.session import checkpoint
 
@@ -196,6 +197,8 @@ def _first_rows(df: DataFrame, groups: DataFrame, doc_id: str, text: str, nulls_
 
     A null id comes last; with ``nulls_apart`` the rows with a null id are a group of their own.
     """
+    df, moved, named_back = shielded(df, ("_h", "_none", "_first", "_f"))
+    doc_id, text = moved.get(doc_id, doc_id), moved.get(text, text)
     none = F.col(doc_id).isNull() if nulls_apart else F.lit(False)
     first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.xxhash64(*df.columns).alias("row"), F.col("_h").alias("h"))
     rows = df.withColumn("_h", F.xxhash64(text)).withColumn("_none", none)
@@ -205,7 +208,7 @@ def _first_rows(df: DataFrame, groups: DataFrame, doc_id: str, text: str, nulls_
     grouped = checkpoint(named.select("g", "_none", "_h").distinct().join(firsts, ["g", "_none"]).select("_h", "_none", "_f"))
     single = rows.join(grouped, ["_h", "_none"], "left_anti")
     best = rows.withColumn("_first", first).join(grouped, ["_h", "_none"]).where("_first <=> _f").dropDuplicates(["_f"])
-    return single.select(df.columns).unionByName(best.select(df.columns))
+    return named_back(single.select(df.columns).unionByName(best.select(df.columns)))
 
 
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:

@@ -34,6 +34,7 @@ SECOND = frozenset("you your yours yourself du dich dir dein deine ihr euch tu t
 SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "*": ""})
 STRONGLY, SOMEWHAT, PERSON = 1, 2, 4
 _WORD = re.compile(r"[^\W_]+")
+_BEYOND = re.compile(r"[^\x00-\x7f]+")
 _SIGN = re.compile(r"[0-9@$*](?=[^\W\d_])")
 _MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$*]+[^\W\d_]+)+")
 
@@ -92,9 +93,13 @@ def features(text: str | None, lexicon: Lexicon) -> list[float]:
         near = int((np.minimum(left, right) <= NEAR).sum())
     mixed = _MIXED.findall(low) if _SIGN.search(low) else []
     hidden = sum(lexicon.kind(m.translate(SIGNS)) & STRONGLY > 0 for m in mixed)
-    byte = np.bincount(np.frombuffer(text.encode("latin-1", "replace"), np.uint8), minlength=256)
-    upper = byte[65:91].sum() + byte[192:223].sum() - byte[215]
-    letters = max(1, upper + byte[97:123].sum() + byte[223:256].sum() - byte[247])
+    byte = np.bincount(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), minlength=256)  # below 128 the characters themselves
+    upper, letters = byte[65:91].sum(), byte[65:91].sum() + byte[97:123].sum()
+    if not text.isascii():
+        codes, times = np.unique(np.frombuffer("".join(_BEYOND.findall(text)).encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
+        for c, k in zip(map(chr, codes.tolist()), times.tolist()):
+            upper, letters = upper + k * c.isupper(), letters + k * c.isalpha()
+    letters = max(1, letters)
     marks = byte[33:48].sum() + byte[58:65].sum() + byte[91:97].sum() + byte[123:127].sum()
     held = {words[i] for i in hits.tolist()}
     return [float(len(hits)), float(len(held)), len(hits) / n, len(some) / n, float(len({words[i] for i in some.tolist()})), float(near), len(you) / n, upper / letters,
