@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sitewise.operators.columns import species_names
@@ -13,6 +15,8 @@ from sitewise.operators import scan as S
 from sitewise.operators import permutation as P
 from sitewise.operators import selection as X
 from sitewise.plans.registry import query
+from sitewise.session import shared_folder
+from sitewise.sinks.store import ResultStore, master_table, write_master
 
 
 def rnd(*cols, digits=6):
@@ -199,13 +203,13 @@ def sc04(t):
     return t.sites.select("Gene", "Position", "CAAP_Group", pattern_class(a, b).alias("pattern"))
 
 
-@query("sc05", f"SELECT Gene, Position, CAAP_Group, CAST(least(3 - length(translate({_FG}, {_BG}, '')), 3 - length(translate({_BG}, {_FG}, ''))) AS INT) AS overlap, CAST(length(translate({_FG}, {_BG}, '')) AS INT) AS non_fg FROM {{sites}}")
+@query("sc05", f"SELECT Gene, Position, CAAP_Group, CAST(least(3 - length(translate({_FG}, {_BG}, '')), 3 - length(translate({_BG}, {_FG}, ''))) AS INT) AS overlap, CAST(length(translate({_FG}, {_BG}, '')) AS INT) AS non_fg, CAST(length(translate({_BG}, {_FG}, '')) AS INT) AS non_bg FROM {{sites}}")
 def sc05(t):
     """Overlap and exclusive counts."""
     from sitewise.functions.patterns import outside, overlap
 
     a, b = (F.split_part("caas", F.lit("/"), F.lit(i)) for i in (1, 2))
-    return t.sites.select("Gene", "Position", "CAAP_Group", overlap(a, b).alias("overlap"), outside(a, b).alias("non_fg"))
+    return t.sites.select("Gene", "Position", "CAAP_Group", overlap(a, b).alias("overlap"), outside(a, b).alias("non_fg"), outside(b, a).alias("non_bg"))
 
 
 @query("sc06", "SELECT Gene, Position, CAAP_Group, conserved_pair AS ids FROM {sites}")
@@ -215,6 +219,16 @@ def sc06(t):
     return t.sites.select("Gene", "Position", "CAAP_Group", L.conserved_pair_ids(raw).alias("ids"))
 
 
+@query("sc06_build", f"""SELECT Gene, Position, CAAP_Group, concat(CAST(least(3 - length(translate({_FG}, {_BG}, '')), 3 - length(translate({_BG}, {_FG}, ''))) AS VARCHAR), ':',
+    array_to_string(['p' || i FOR i IN [1, 2, 3] IF substr({_FG}, i, 1) = substr({_BG}, i, 1)], ',')) AS pairs FROM {{{{sites}}}}""".replace("{{", "{").replace("}}", "}"))
+def sc06_build(t):
+    """Conserved pair list built from the two sides."""
+    from sitewise.functions.patterns import conserved_pairs
+
+    a, b = (F.split_part("caas", F.lit("/"), F.lit(i)) for i in (1, 2))
+    return t.sites.select("Gene", "Position", "CAAP_Group", conserved_pairs(a, b, F.array(F.lit("p1"), F.lit("p2"), F.lit("p3"))).alias("pairs"))
+
+
 @query("sc03", f"SELECT gene, site, concat(string_agg(top_tip, '' ORDER BY pair_id), '/', string_agg(bottom_tip, '' ORDER BY pair_id)) AS packed FROM {{pair_states}} GROUP BY 1, 2")
 def sc03(t):
     """Packed pattern in pair order."""
@@ -251,6 +265,42 @@ def snk08(t):
     return D.pivot_pairs(ps, ["state", "posterior"], 3)
 
 
+_MASTER_SQL = """WITH mp AS (SELECT gene, site, """ + ", ".join(
+    f"max(CAST(99 + pair_id AS INT)) FILTER (pair_id = {k}) AS n{k}, max(focal_state) FILTER (pair_id = {k}) AS s{k}, max(posterior) FILTER (pair_id = {k}) AS p{k}" for k in (1, 2, 3)) + """ FROM {pair_states} GROUP BY 1, 2)
+    SELECT s.Gene AS gene, CAST(s.Position AS VARCHAR) AS msa_pos, '' AS tag, caas, CASE WHEN Pvalue <= 5e-2 THEN 'True' ELSE 'False' END AS is_significant, CAST(CAST(floor(Pvalue * 1000) AS BIGINT) AS VARCHAR) AS pvalue,
+      '' AS pvalue_boot, '' AS pattern_type, CAAP_Group AS caap_group, amino_encoded, is_conserved_meta, coalesce(conserved_pair, '') AS conserved_pair, '' AS sig_hyp, '' AS sig_perm, '' AS sig_both, change_top, change_bottom,
+      change_side, coalesce(parallel_top, '') AS parallel_top, coalesce(parallel_bottom, '') AS parallel_bottom, parallel_type, concat(change_side, ',', caas) AS low_confidence_nodes, asr_is_conserved, asr_root_conserved,
+      '' AS comments, '' AS all_mrca_state, coalesce(CAST(CAST(floor(all_mrca_posterior * 10) AS BIGINT) AS VARCHAR), '') AS all_mrca_posterior, '' AS all_mrca_node, """ + ", ".join(
+    f"coalesce(CAST(n{k} AS VARCHAR), '') AS mrca_{k}_node, coalesce(s{k}, '') AS mrca_{k}_state, coalesce(CAST(CAST(floor(p{k} * 100) AS BIGINT) AS VARCHAR), '') AS mrca_{k}_posterior" for k in (1, 2, 3)) + """
+    FROM {sites} s LEFT JOIN mp ON mp.gene = s.Gene AND mp.site = s.Position"""
+
+
+@query("snk08_master", _MASTER_SQL)
+def snk08_master(t):
+    """Master table: every fixed field and the columns of as many pairs as there are, written and read back."""
+    s = t.sites.select(F.col("Gene").alias("gene"), F.col("Position").alias("msa_pos"), "caas", (F.col("Pvalue") <= 0.05).alias("is_significant"), F.floor(F.col("Pvalue") * 1000).alias("pvalue"),
+                       F.col("CAAP_Group").alias("caap_group"), "amino_encoded", "is_conserved_meta", "conserved_pair", "change_top", "change_bottom", "change_side", "parallel_top", "parallel_bottom",
+                       "parallel_type", F.array("change_side", "caas").alias("low_confidence_nodes"), "asr_is_conserved", "asr_root_conserved", F.floor(F.col("all_mrca_posterior") * 10).alias("all_mrca_posterior"))
+    pairs = t.pair_states.select("gene", F.col("site").alias("msa_pos"), "pair_id", (F.col("pair_id") + 99).cast("int").alias("node"), F.col("focal_state").alias("state"), F.floor(F.col("posterior") * 100).alias("posterior"))
+    path = f"{shared_folder(t.spark)}/master-{uuid.uuid4().hex}"
+    table = master_table(s, pairs)
+    write_master(table, path)
+    return t.spark.read.schema(table.schema).option("header", True).csv(path).na.fill("")
+
+
+@query("snk07", """SELECT gene, site, pair_id, focal_state, posterior FROM {pair_states} WHERE CAST(substr(gene, 2) AS BIGINT) % 3 <> 0
+    UNION ALL SELECT gene, site, pair_id, focal_state, posterior + 1 FROM {pair_states} WHERE CAST(substr(gene, 2) AS BIGINT) % 3 = 0 AND pair_id = 1""")
+def snk07(t):
+    """Result store: all genes written, a third of them written anew twice, everything read."""
+    rows = t.pair_states.select("gene", "site", "pair_id", "focal_state", "posterior")
+    store = ResultStore(t.spark, f"{shared_folder(t.spark)}/store-{uuid.uuid4().hex}", 16)
+    store.put(rows)
+    again = rows.where("CAST(substr(gene, 2) AS BIGINT) % 3 = 0 AND pair_id = 1").withColumn("posterior", F.col("posterior") + 1)
+    store.put(again)
+    store.put(again)
+    return store.read()
+
+
 @query("jn26", "WITH " + MET + ", pr AS (SELECT gene, site, pair_id, CAST(99 + pair_id AS INT) AS node_id FROM {pair_states}) SELECT p.gene, p.site, " + ", ".join(
     f"round(avg({v}) FILTER (pair_id = {i}), 6) AS {v}{i}" for v in ("margin", "entropy") for i in (1, 2, 3)) + " FROM pr p LEFT JOIN mt ON mt.gene = p.gene AND mt.site = p.site AND mt.node_id = p.node_id GROUP BY 1, 2")
 def jn26(t):
@@ -456,6 +506,22 @@ def flt04(t):
     return df.select("o_orderkey", S.testable(S.Limits(fg_gaps=3, bg_gaps=1, all_gaps=5)).alias("keep"))
 
 
+@query("flt04_missing", "WITH c AS (SELECT gene, position, " + ", ".join(
+    f"count(*) FILTER (c.residue = '-' AND g.grp = {g}) AS g{g}, (SELECT count(*) FROM {{config}} WHERE grp = {g}) - count(g.species) FILTER (g.grp = {g}) AS m{g}, count(*) FILTER (c.residue <> '-' AND g.grp = {g}) AS s{g}" for g in (1, 0)) +
+    " FROM {cells} c LEFT JOIN {config} g ON g.species = c.species GROUP BY 1, 2) SELECT gene, position, CAST(m1 AS INT) AS fg_missing, CAST(m0 AS INT) AS bg_missing, s1 > 0 AND s0 > 0 AND g1 <= 1 AND m1 <= 3 AND m0 <= 2 AND m1 + m0 <= 4 AS keep FROM c")
+def flt04_missing(t):
+    """Gap and missing caps on counts of absent species."""
+    cfg = t.config.select("species", "grp")
+    n = {r["grp"]: r["count"] for r in cfg.groupBy("grp").count().collect()}  # two numbers
+    j = t.cells.join(cfg, "species", "left")
+    is_in = lambda g: F.coalesce(F.col("grp") == g, F.lit(False))
+    held = lambda g: F.array_join(F.collect_list(F.when(is_in(g), F.col("residue"))), "")
+    per = j.groupBy("gene", "position").agg(*[x for g, s in ((1, "F"), (0, "B")) for x in (
+        F.count_if(is_in(g) & (F.col("residue") == "-")).alias(f"G{s}G"), (F.lit(n.get(g, 0)) - F.count_if(is_in(g))).cast("int").alias(f"M{s}G"), held(g).alias("fg_seen" if g else "bg_seen"))])
+    limits = S.Limits(fg_gaps=1, fg_miss=3, bg_miss=2, all_miss=4)
+    return per.select("gene", "position", F.col("MFG").alias("fg_missing"), F.col("MBG").alias("bg_missing"), S.testable(limits).alias("keep"))
+
+
 @query("flt05", "SELECT count(DISTINCT sid - sid % 2) AS n_pairs, CAST(floor(count(DISTINCT sid - sid % 2) * 3e-1) AS BIGINT) AS cap, CAST(floor(count(DISTINCT sid - sid % 2) * 5e-1) AS BIGINT) AS max_conserved FROM {traits}")
 def flt05(t):
     """Fraction thresholds from the pair count of a configuration over all trait species."""

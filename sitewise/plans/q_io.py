@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,10 @@ from sitewise.operators import scan as S
 from sitewise.plans import q_scan as QS
 from sitewise.plans.q_asr import SEQ, _CL_OUT, classify_sql, sequences
 from sitewise.plans.registry import query
+from sitewise.session import shared_folder
 from sitewise.sinks import tables as K
 from sitewise.sources import alignments as A
+from sitewise.sources import archives as ARC
 from sitewise.sources import tables as R
 from sitewise.sources import trees as N
 
@@ -131,6 +135,13 @@ def src09(t):
     return R.caas_metadata(df, "G1").select("GenePos", "isSignificant", "CAAP_Group", "IsConserved")
 
 
+@query("src09_all", "SELECT concat(Gene, '_', CAST(Position AS VARCHAR)) AS GenePos, Pvalue <= 5e-2 AS isSignificant, 'US' AS CAAP_Group, false AS IsConserved FROM {sites}")
+def src09_all(t):
+    """Metadata normalisation of all genes."""
+    df = t.sites.select(F.concat_ws("_", "Gene", F.col("Position").cast("string")).alias("Gene_Pos"), F.lit("t").alias("Tag"), F.col("caas").alias("AminoConv"), (F.col("Pvalue") <= 0.05).alias("sig_both"))
+    return R.caas_metadata(df).select("GenePos", "isSignificant", "CAAP_Group", "IsConserved")
+
+
 @query("src11", "SELECT Gene, chr, start_bp, end_bp, Length FROM {genes}")
 def src11(t):
     """Annotation reader with case-insensitive headers."""
@@ -234,6 +245,44 @@ def src20(t):
     return out.groupBy("kind", "position").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("src23", "WITH " + SEQ + ", ln AS (SELECT gene, concat('>', species, chr(10), seq) AS body FROM sq) SELECT concat('in/', gene, '.fa') AS member, CAST(row_number() OVER (PARTITION BY gene ORDER BY body) AS INT) AS n, body AS record FROM ln")
+def src23(t):
+    """Alignments packed into archives, one a partition, and read back without unpacking."""
+    record = F.concat(F.lit(">"), "species", F.lit("\n"), "seq")
+    texts = sequences(t).groupBy("gene").agg(F.array_join(F.array_sort(F.collect_list(record)), "\n").alias("text"))
+    path = f"{shared_folder(t.spark)}/archives-{uuid.uuid4().hex}"
+    ARC.write_archives(texts.repartition(8, "gene").select(F.concat(F.lit("in/"), "gene", F.lit(".fa")).alias("member"), F.col("text").cast("binary").alias("content")), path)
+    lines = ARC.archive_lines(ARC.read_archives(t.spark, path, ".fa"))
+    odd = lines.where("line_no % 2 = 1").select("member", (F.col("line_no") - 1).alias("line_no"), F.col("line").alias("seq"))
+    return lines.where("line_no % 2 = 0").join(odd, ["member", "line_no"]).select("member", (F.col("line_no") / 2 + 1).cast("int").alias("n"), F.concat("line", F.lit("\n"), "seq").alias("record"))
+
+
+@query("snk01", "SELECT Gene, Position, CAAP_Group, Pvalue FROM {sites} WHERE Pvalue <= 2e-2")
+def snk01(t):
+    """Discovery table, written because it has rows, and read back."""
+    out = t.sites.where("Pvalue <= 0.02").select("Gene", "Position", "CAAP_Group", F.col("Pvalue").cast("double").alias("Pvalue"))
+    path = f"{shared_folder(t.spark)}/discovery-{uuid.uuid4().hex}"
+    if not K.write_if_any(out, path):
+        return out
+    return t.spark.read.schema(out.schema).option("sep", "\t").option("header", True).csv(path)
+
+
+@query("snk11", "SELECT query, caas, coord FROM {queries}")
+def snk11(t):
+    """Compressed CSV with quoted fields, written and read back."""
+    out = t.queries.select("query", "caas", "coord")
+    path = f"{shared_folder(t.spark)}/csv-{uuid.uuid4().hex}"
+    K.write_csv(out, path, compress=True)
+    return t.spark.read.schema(out.schema).option("header", True).csv(path)
+
+
+@query("src03", "SELECT concat(c_name, '.x.', CASE c_custkey % 5 WHEN 0 THEN 'fa' WHEN 1 THEN 'FASTA' WHEN 2 THEN 'phy' WHEN 3 THEN 'aln' ELSE 'fas' END) AS path, CASE WHEN c_custkey % 5 < 2 THEN 'fasta' ELSE 'phylip-relaxed' END AS format FROM {customer}")
+def src03(t):
+    """Alignment format by the end of the name."""
+    end = F.element_at(F.array(*[F.lit(x) for x in ("fa", "FASTA", "phy", "aln", "fas")]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    return t.customer.select(F.concat("c_name", F.lit(".x."), end).alias("path")).withColumn("format", A.format_of(F.col("path")))
+
+
 # A part's lines are the exons of a protein: sorted by order, on the minus strand for odd parts.
 EXON = """ex AS (SELECT l_partkey AS pk, l_orderkey AS ok, min(l_linenumber) AS ln, CAST(max(l_quantity) AS BIGINT) AS q FROM {lineitem} GROUP BY 1, 2),
     xo AS (SELECT concat('P', pk) AS protein, concat('chr', 1 + pk % 22) AS chrom, CASE WHEN pk % 2 = 1 THEN '-' ELSE '+' END AS strand, ok * 100 AS st, ok * 100 + q - 1 AS en, q,

@@ -26,6 +26,12 @@ def infer_format(path: str, fmt: str = "auto") -> str:
     return "fasta" if PurePath(path).suffix.lower() in (".fa", ".fasta") else "phylip-relaxed"
 
 
+def format_of(path: Column) -> Column:
+    """``infer_format`` for a column of paths."""
+    suffix = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
+    return F.when(suffix.isin("fa", "fasta"), "fasta").otherwise("phylip-relaxed")
+
+
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """``path, gene, text`` for every alignment file below ``path``."""
     df = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tarfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -236,11 +234,3 @@ def wide_traits(df: DataFrame, taxon: str, trait: str, n_col: str | None = None,
 
 def read_wide_traits(spark: SparkSession, path: str, **cols) -> DataFrame:
     return wide_traits(spark.read.csv(path, header=True, sep="\t" if path.endswith((".tsv", ".tab", ".txt")) else ","), **cols)
-
-
-def extract_archive(path: str, target: str) -> str:
-    """Unpack a ``.tar.gz`` input next to the data; members cannot leave ``target``."""
-    Path(target).mkdir(parents=True, exist_ok=True)
-    with tarfile.open(path, "r:*") as tar:
-        tar.extractall(target, filter="data")
-    return target

@@ -1,4 +1,3 @@
-import tarfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,14 +61,6 @@ def test_alignment_folder(spark, tmp_path):
     assert A.infer_format("x.fasta") == "fasta" and A.infer_format("x.aln") == "phylip-relaxed"
 
 
-def test_archive(tmp_path):
-    (tmp_path / "f.txt").write_text("x")
-    with tarfile.open(tmp_path / "a.tar.gz", "w:gz") as tar:
-        tar.add(tmp_path / "f.txt", "in/f.txt")
-    out = B.extract_archive(str(tmp_path / "a.tar.gz"), str(tmp_path / "out"))
-    assert open(f"{out}/in/f.txt").read() == "x"
-
-
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("g1", [3, 1]), ("g2", None)], "gene string, positions array<int>")
     K.write_tsv(K.render_background(df), str(tmp_path / "bg"), header=False)
