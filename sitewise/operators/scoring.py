@@ -316,3 +316,60 @@ def principal_component(df: DataFrame, cols: list[str], align: str) -> tuple[Dat
         "variable string, loading double, variance_explained double",
     )
     return df.withColumn("pc1", z), loadings
+
+
+#: Least uniqueness of a variable, steps of the fit, and the change at which it ends.
+UNIQUE, STEPS, SETTLED = 0.005, 20_000, 1e-13
+
+
+def one_factor(correlation, steps: int = STEPS):
+    """(loadings, uniquenesses) of the maximum-likelihood factor model with one factor, by expectation-maximisation on a small matrix.
+
+    The first loadings are the square roots of the largest correlations.
+    """
+    import numpy as np
+
+    s = np.asarray(correlation, float)
+    loading = np.sqrt(np.abs(s - np.eye(len(s))).max(1))
+    unique = np.maximum(UNIQUE, 1 - loading**2)
+    for _ in range(steps):
+        beta = loading / unique
+        beta = beta / (1 + loading @ beta)
+        toward = s @ beta
+        new = toward / (1 - beta @ loading + beta @ toward)
+        left = np.maximum(UNIQUE, np.diag(s) - new * toward)
+        moved = max(np.abs(new - loading).max(), np.abs(left - unique).max())
+        loading, unique = new, left
+        if moved < SETTLED:
+            break
+    return loading, unique
+
+
+def single_factor(df: DataFrame, cols: list[str], align: str) -> tuple[DataFrame, DataFrame]:
+    """Regression scores and loadings of one factor over the complete rows (``factor1``; ``variable, loading, uniqueness``).
+
+    Two aggregations give the moments; only the correlation matrix reaches the driver.  Rows
+    with a null in a column or in ``align`` have a null score.  Constant columns are left out,
+    the sign follows the correlation with ``align``; fewer than three columns or too few rows
+    for them are an error.
+    """
+    import numpy as np
+
+    df = checkpoint(df)
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*cols, align]])
+    full = df.where(complete)
+    stats = full.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{t}_{c}") for c in cols for t, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
+    used = [c for c in cols if stats[f"s_{c}"]]
+    if len(used) < 3 or stats["n"] <= len(used) + 2:
+        raise ValueError("one factor needs three variable columns and more rows than those and two")
+    pairs = [(a, b) for a in used for b in used]
+    row = full.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)], *[F.corr(c, align).alias(f"y_{c}") for c in used]).first()
+    matrix = np.array([row[f"c{i}"] for i in range(len(pairs))], float).reshape(len(used), len(used))
+    np.fill_diagonal(matrix, 1.0)
+    loading, unique = one_factor(matrix)
+    weight = np.linalg.solve(matrix, loading)
+    if float(weight @ [row[f"y_{c}"] or 0.0 for c in used]) < 0:
+        loading, weight = -loading, -weight
+    z = sum(((F.col(c) - stats[f"m_{c}"]) / stats[f"s_{c}"] * float(w) for c, w in zip(used, weight)), F.lit(0.0))
+    loadings = df.sparkSession.createDataFrame([(c, float(w), float(u)) for c, w, u in zip(used, loading, unique)], "variable string, loading double, uniqueness double")
+    return df.withColumn("factor1", F.when(complete, z)), loadings

@@ -339,7 +339,29 @@ def ps10(t):
     return rounded(out, ["pearson_r", "spearman_r"], 6)
 
 
-@query("ps17")
+# Moments of the five components over complete rows, then the leading direction by repeated products and the factor by its fixed point, in SQL.
+_N5 = range(1, 6)
+_MOM = POS + ", fl AS (SELECT " + ", ".join(f"{c} AS x{k}" for k, c in zip(_N5, COMP)) + ", CAAS_score AS y, Gene, Position FROM pos), cm AS (SELECT * FROM fl WHERE y IS NOT NULL" + "".join(f" AND x{k} IS NOT NULL" for k in _N5) + "), mo AS (SELECT " + ", ".join(
+    [f"avg(x{k}) AS m{k}, stddev_samp(x{k}) AS s{k}, corr(x{k}, y) AS y{k}" for k in _N5] + [f"corr(x{i}, x{j}) AS c{i}{j}" for i in _N5 for j in _N5 if i < j]) + " FROM cm)"
+_C = lambda i, j: "1e0" if i == j else f"c{min(i, j)}{max(i, j)}"
+_AS5 = ", ".join(f"a{k}" for k in _N5)
+_DOT = lambda i, v: "(" + " + ".join(f"{_C(i, j)} * {v}{j}" for j in _N5) + ")"
+_POWER = _MOM.replace("WITH base", "WITH RECURSIVE base", 1) + f""", pw AS (SELECT 0 AS k, 1e0 AS a1, 9e-1 AS a2, 8e-1 AS a3, 7e-1 AS a4, 6e-1 AS a5
+    UNION ALL SELECT k + 1, {", ".join(f"b{i} / sqrt({' + '.join(f'b{j} * b{j}' for j in _N5)})" for i in _N5)} FROM (SELECT k, {", ".join(f"{_DOT(i, 'a')} AS b{i}" for i in _N5)} FROM pw, mo WHERE k < 3000) z),
+    ld AS (SELECT *, CASE WHEN {" + ".join(f"a{k} * y{k}" for k in _N5)} < 0 THEN -1e0 ELSE 1e0 END AS sg FROM pw, mo WHERE k = 3000)"""
+_FACTOR = _MOM.replace("WITH base", "WITH RECURSIVE base", 1) + f""", em AS (SELECT 0 AS k, {", ".join(f"sqrt(greatest({', '.join(f'abs({_C(i, j)})' for j in _N5 if j != i)})) AS a{i}, greatest(5e-3, 1 - greatest({', '.join(f'abs({_C(i, j)})' for j in _N5 if j != i)})) AS u{i}" for i in _N5)} FROM mo
+    UNION ALL SELECT k + 1, {", ".join(f"l{i}, greatest(5e-3, 1 - l{i} * t{i})" for i in _N5)} FROM (SELECT *, {", ".join(f"t{i} / (1 - ({' + '.join(f'b{j} * a{j}' for j in _N5)}) + ({' + '.join(f'b{j} * t{j}' for j in _N5)})) AS l{i}" for i in _N5)}
+      FROM (SELECT *, {", ".join(f"{_DOT(i, 'b')} AS t{i}" for i in _N5)} FROM (SELECT *, {", ".join(f"a{i} / u{i} / (1 + {' + '.join(f'a{j} * a{j} / u{j}' for j in _N5)}) AS b{i}" for i in _N5)} FROM em, mo WHERE k < 20000) q) r) z),
+    fa AS (SELECT em.*, mo.*, CASE WHEN {" + ".join(f"a{k} / u{k} * y{k}" for k in _N5)} < 0 THEN -1e0 ELSE 1e0 END AS sg FROM em, mo WHERE k = 20000)"""
+
+
+@query("ps17_factor", _FACTOR + " SELECT v.variable, round(sg * v.a, 4) AS loading, round(v.u, 4) AS uniqueness FROM fa, LATERAL (SELECT unnest([" + ", ".join(f"'{c}'" for c in COMP) + f"]) AS variable, unnest([{_AS5}]) AS a, unnest([{', '.join(f'u{k}' for k in _N5)}]) AS u) v")
+def ps17_factor(t):
+    """Loadings of one factor behind the five components."""
+    return rounded(S.single_factor(pos(t), COMP, "CAAS_score")[1], ["loading", "uniqueness"], 4)
+
+
+@query("ps17", _POWER + " SELECT Gene, Position, round(sg * (" + " + ".join(f"(x{k} - m{k}) / s{k} * a{k}" for k in _N5) + "), 6) AS pc1 FROM fl, ld")
 def ps17(t):
     """First principal component of the five components, aligned with the composite."""
     scored, _ = S.principal_component(pos(t), COMP, "CAAS_score")
