@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sitewise.operators import clusters, gene_filter, resampling, scan, significance
 from sitewise.operators.columns import SpeciesIndex, column_filter, columns_from_sequences
-from sitewise.operators.trees import root_paths
 from sitewise.sinks import tables as K
 from sitewise.sources import alignments as A
 from sitewise.sources import tables as R
@@ -45,7 +44,7 @@ def resample(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.strategy == "tree":
         values = spark.read.csv(a.values, sep="\t", schema="species string, value double")
         text = "".join(r["line"] for r in R.read_lines(spark, a.tree).orderBy("line_no").collect())
-        out = resampling.permulated_labels(cycles, root_paths(edge_frame(spark, text)), values, config, a.seed)
+        out = resampling.permulated_labels(cycles, edge_frame(spark, text), values, config, a.seed)
     elif a.strategy == "family":
         fam = spark.read.csv(a.families, sep="\t", schema="species string, family string")
         out = resampling.family_labels(cycles, config, fam, a.seed)

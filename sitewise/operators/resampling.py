@@ -1,48 +1,57 @@
 """Label resampling: random, family-restricted and trait-permutation on a tree.
 
-Every cycle is drawn inside its own row from a hash of (seed, cycle, species), so the
-work is narrow, repeatable after task loss, and grows with cycles only.
+Every draw is a hash of (seed, cycle, species or edge), so it is repeatable after task loss.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitewise.operators.columns import MAX_SPECIES, species_names
+from sitewise.operators.columns import MAX_SPECIES
+from sitewise.operators.ordering import cumulative_counts
+from sitewise.operators.trees import closure
+from sitewise.session import checkpoint
 
 
 def cycles(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(1, n + 1).select(F.concat(F.lit("b_"), F.col("id").cast("string")).alias("cycle"))
 
 
-def _bounded(df: DataFrame) -> list:
-    """Rows of a species-sized table; more than the species bound is an error, never a cut."""
-    rows = df.limit(MAX_SPECIES + 1).collect()
-    if len(rows) > MAX_SPECIES:
-        raise ValueError(f"more than {MAX_SPECIES} species rows")
-    return rows
+def _bounded(species: DataFrame) -> None:
+    """More species than the bound is an error, never a cut."""
+    if species.count() > MAX_SPECIES:
+        raise ValueError(f"more than {MAX_SPECIES} species")
 
 
-def _shuffled(names: Column, seed: int) -> Column:
+def _first(names: Column, k: Column, seed: int) -> Column:
+    """The ``k`` names with the smallest hashes of (seed, cycle, name), in that order.
+
+    Only names below a threshold that ``k`` of them almost surely pass are sorted; where they
+    do not, all are.
+    """
     keyed = F.transform(names, lambda s: F.struct(F.xxhash64(F.lit(seed), F.col("cycle"), s).alias("h"), s.alias("s")))
-    return F.transform(F.array_sort(keyed), lambda x: x["s"])
+    share = F.least(F.lit(1.0), (k + 6 * F.sqrt(k.cast("double")) + 12) / F.greatest(F.size(names), F.lit(1)))
+    limit = ((2 * share - 1) * float(1 << 63)).cast("long")
+    few = F.filter(keyed, lambda x: x["h"] <= limit)
+    return F.transform(F.slice(F.array_sort(F.when(F.size(few) >= k, few).otherwise(keyed)), F.lit(1), k), lambda x: x["s"])
 
 
 def random_labels(cycle_df: DataFrame, species: DataFrame, n_fg: int, n_bg: int, seed: int = 1) -> DataFrame:
     """Foreground and background drawn without replacement from all species.
 
-    Fewer species than labels are an error; no species at all give empty draws.
+    The names are one row of data, at most the species bound.  Fewer species than labels are an
+    error; no species at all give empty draws.
     """
-    found = species_names(species)
-    if found and n_fg + n_bg > len(found):
-        raise ValueError(f"{n_fg} + {n_bg} labels asked of {len(found)} species")
-    names = F.array(*[F.lit(s) for s in found])
-    drawn = cycle_df.withColumn("_o", _shuffled(names, seed))
+    names = checkpoint(species.select("species").where("species IS NOT NULL").distinct())
+    _bounded(names)
+    one = checkpoint(names.agg(F.array_sort(F.collect_list("species")).alias("_names")))
+    found = one.select(F.size("_names")).first()[0]
+    if found and n_fg + n_bg > found:
+        raise ValueError(f"{n_fg} + {n_bg} labels asked of {found} species")
+    drawn = cycle_df.join(F.broadcast(one)).withColumn("_o", _first(F.col("_names"), F.lit(n_fg + n_bg), seed))  # one row
     return drawn.select("cycle", F.array_sort(F.slice("_o", 1, n_fg)).alias("fg"), F.array_sort(F.slice("_o", n_fg + 1, n_bg)).alias("bg"))
 
 
@@ -50,66 +59,67 @@ def family_labels(cycle_df: DataFrame, template: DataFrame, families: DataFrame,
     """Each template species replaced by a random member of its family, never reused.
 
     ``template`` is ``species, grp``; ``families`` is ``species, family``.  A family too
-    small for its template raises instead of looping.
+    small for its template raises instead of looping.  The families that the template needs
+    are one row of data, and one expression draws from each.
     """
-    members = families.groupBy("family").agg(F.array_sort(F.collect_set("species")).alias("members"))
-    want = template.join(families, "species").groupBy("family").agg(
-        F.count_if(F.col("grp") == 1).alias("n_fg"), F.count_if(F.col("grp") == 0).alias("n_bg"))
-    rows = _bounded(want.join(members, "family"))
-    short = [r["family"] for r in rows if r["n_fg"] + r["n_bg"] > len(r["members"])]
+    wanted = template.join(families, "species").groupBy("family").agg(
+        F.count_if(F.col("grp") == 1).cast("int").alias("n_fg"), F.count_if(F.col("grp") == 0).cast("int").alias("n_bg"))
+    known = checkpoint(families.where("species IS NOT NULL").join(wanted.select("family"), "family", "left_semi").select("family", "species").distinct())
+    _bounded(known)
+    rows = checkpoint(wanted.join(known.groupBy("family").agg(F.array_sort(F.collect_list("species")).alias("members")), "family"))
+    short = rows.where(F.col("n_fg") + F.col("n_bg") > F.size("members")).agg(F.array_sort(F.collect_list("family"))).first()[0]
     if short:
-        raise ValueError(f"families too small for the template: {', '.join(sorted(short))}")
-    fg, bg = [], []
-    for r in sorted(rows, key=lambda r: r["family"]):
-        order = _shuffled(F.array(*[F.lit(m) for m in r["members"]]), seed)
-        fg.append(F.slice(order, 1, r["n_fg"]))
-        bg.append(F.slice(order, r["n_fg"] + 1, r["n_bg"]))
-    return cycle_df.select("cycle", F.array_sort(F.flatten(F.array(*fg))).alias("fg"), F.array_sort(F.flatten(F.array(*bg))).alias("bg"))
+        raise ValueError(f"families too small for the template: {', '.join(short)}")
+    one = checkpoint(rows.agg(F.array_sort(F.collect_list(F.struct("family", "members", "n_fg", "n_bg"))).alias("_families")))
+    drawn = F.transform("_families", lambda f: F.struct(_first(f["members"], f["n_fg"] + f["n_bg"], seed).alias("o"), f["n_fg"].alias("a"), f["n_bg"].alias("b")))
+    df = cycle_df.join(F.broadcast(one)).withColumn("_d", drawn)  # one row
+    side = lambda take: F.array_sort(F.flatten(F.transform("_d", take)))
+    return df.select("cycle", side(lambda d: F.slice(d["o"], F.lit(1), d["a"])).alias("fg"), side(lambda d: F.slice(d["o"], d["a"] + 1, d["b"])).alias("bg"))
+
 
+def _normal(*keys: Column) -> Column:
+    """A standard normal number from hashes of the keys."""
+    uniform = lambda salt: (F.pmod(F.xxhash64(F.lit(salt), *keys), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+    return F.sqrt(-2 * F.ln(uniform("radius"))) * F.cos(2 * math.pi * uniform("angle"))
 
-def permulated_labels(cycle_df: DataFrame, paths: DataFrame, values: DataFrame, config: DataFrame, seed: int = 1) -> DataFrame:
+
+def permulated_labels(cycle_df: DataFrame, edges: DataFrame, values: DataFrame, config: DataFrame, seed: int = 1) -> DataFrame:
     """Brownian simulation on the tree, real values reassigned by rank, labels resampled.
 
-    ``paths`` are root paths of the tips, ``values`` is ``species, value``.  Only ranks
-    of the simulated values are used, so the rate constant does not matter.  Foreground
-    labels go to species now holding a foreground value, background likewise.
+    ``values`` is ``species, value``.  Every (cycle, edge) has a normal number from a hash,
+    times the root of its length; a tip's value in a cycle is their sum over its ancestors,
+    added up before the shuffle.  Tips are ranked within the cycle and take the real value of
+    their rank.  Only ranks are used, so the rate constant does not matter.  Foreground labels
+    go to species now holding a foreground value, by smallest hashes, background likewise.
+    Species without a value or outside the tree take no part; equal simulated values, and
+    equal real ones, go by name.  Negative lengths count as 0.
     """
-    rows = _bounded(paths.join(values.where("value IS NOT NULL"), F.col("name") == F.col("species")).select("species", "value", "path"))
-    rows = sorted(rows, key=lambda r: r["species"])
-    names = np.array([r["species"] for r in rows], dtype=object)
-    real = np.sort(np.array([r["value"] for r in rows], dtype=float))
-    own = {r["species"]: float(r["value"]) for r in rows}
-    edges: dict[int, float] = {}
-    for r in rows:
-        for up, down in zip(r["path"][:-1], r["path"][1:]):
-            edges[down["node"]] = max(float(down["dist"]) - float(up["dist"]), 0.0)
-    ids = sorted(edges)
-    col = {e: i for i, e in enumerate(ids)}
-    load = np.zeros((len(rows), len(ids)))
-    for i, r in enumerate(rows):
-        for step in r["path"][1:]:
-            load[i, col[step["node"]]] = edges[step["node"]] ** 0.5
-    cfg = _bounded(config.select("species", "grp"))
-    fg_values = np.array([own[r["species"]] for r in cfg if r["grp"] == 1 and r["species"] in own])
-    bg_values = np.array([own[r["species"]] for r in cfg if r["grp"] == 0 and r["species"] in own])
-    if not len(fg_values) or not len(bg_values):
+    real = values.where("value IS NOT NULL AND species IS NOT NULL").groupBy("species").agg(F.max("value").cast("double").alias("value"))
+    lines = closure(edges).join(real.withColumnRenamed("species", "name"), "name", "left_semi")
+    length = edges.where("parent_id IS NOT NULL").select(F.col("node_id").alias("ancestor"), F.sqrt(F.greatest(F.col("branch_length").cast("double"), F.lit(0.0))).alias("_w"))
+    lines = checkpoint(lines.select("name", "ancestor").join(length, "ancestor", "left").select("name", "ancestor", F.coalesce("_w", F.lit(0.0)).alias("_w")))
+    tips = checkpoint(real.join(lines.select(F.col("name").alias("species")).distinct(), "species"))
+    _bounded(tips)
+    own = config.select("species", "grp").distinct().join(tips, "species")
+    sides = {r["grp"]: r["n"] for r in own.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a group
+    if not sides.get(1) or not sides.get(0):
         raise ValueError("foreground or background is empty after removing species without a value")
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for cycle, key in zip(pdf["cycle"], pdf["key"]):
-                rng = np.random.default_rng(abs(int(key)))
-                order = np.argsort(load @ rng.standard_normal(len(ids)), kind="stable")
-                held = np.empty(len(names))
-                held[order] = real
-                fg = rng.choice(names[np.isin(held, fg_values)], len(fg_values), replace=False)
-                bg = rng.choice(names[np.isin(held, bg_values)], len(bg_values), replace=False)
-                out.append((cycle, sorted(fg), sorted(bg)))
-            yield pd.DataFrame(out, columns=["cycle", "fg", "bg"])
-
-    keyed = cycle_df.select("cycle", F.xxhash64(F.lit(seed), "cycle").alias("key"))
-    return keyed.mapInPandas(draw, "cycle string, fg array<string>, bg array<string>")
+    one = checkpoint(lines.groupBy("name").agg(F.collect_list(F.struct("ancestor", "_w")).alias("_line")))
+    salts = max(1, -(-one.count() // 256))
+    dealt = one.withColumn("_salt", F.pmod(F.xxhash64("name"), F.lit(salts)).cast("int"))
+    keyed = cycle_df.select("cycle", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    shift = F.aggregate("_line", F.lit(0.0), lambda a, e: a + e["_w"] * _normal(F.lit(seed), F.col("cycle"), e["ancestor"]))
+    moved = keyed.join(dealt, "_salt").select("cycle", F.col("name").alias("species"), shift.alias("_x"))
+    ranked = moved.withColumn("_r", F.row_number().over(Window.partitionBy("cycle").orderBy("_x", "species")))
+    order = cumulative_counts(tips, [], ["value", "species"]).select((F.col("before") + 1).cast("int").alias("_r"), "value")
+    held = checkpoint(ranked.join(order, "_r").select("cycle", "species", "value"))
+    sets = checkpoint(own.select("grp", "value").distinct())
+    named = held.join(sets, "value").withColumn("_h", F.xxhash64(F.lit(seed), F.lit("label"), "cycle", "species", "grp"))
+    place = F.row_number().over(Window.partitionBy("cycle", "grp").orderBy("_h", "species"))
+    n = F.when(F.col("grp") == 1, sides[1]).otherwise(sides[0])
+    drawn = named.withColumn("_k", place).where(F.col("_k") <= n)
+    pick = lambda g: F.array_sort(F.collect_list(F.when(F.col("grp") == g, F.col("species"))))
+    return drawn.groupBy("cycle").agg(pick(1).alias("fg"), pick(0).alias("bg"))
 
 
 def with_observed(resamples: DataFrame, config: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from sitewise.operators.columns import species_names
 from sitewise.operators import accumulation, clusters, contrasts, disambiguation, gene_filter, postproc, resampling, scan, scoring, significance
 from sitewise.operators.columns import SpeciesIndex, columns_from_sequences
 from sitewise.operators.ancestry import lifting
-from sitewise.operators.trees import root_paths
 from sitewise.session import checkpoint
 from sitewise.sinks.tables import empty
 
@@ -80,7 +79,7 @@ def resample_stage(inputs: Inputs, config: DataFrame, s: Settings) -> DataFrame:
     spark = inputs.sequences.sparkSession
     cycle_df = resampling.cycles(spark, s.cycles)
     if s.resample_strategy == "tree":
-        out = resampling.permulated_labels(cycle_df, root_paths(inputs.tree), inputs.traits.select("species", "value"), config, s.seed)
+        out = resampling.permulated_labels(cycle_df, inputs.tree, inputs.traits.select("species", "value"), config, s.seed)
     elif s.resample_strategy == "family":
         if inputs.families is None:
             raise ValueError("resampling by family needs a table of families")

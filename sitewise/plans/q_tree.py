@@ -384,9 +384,21 @@ def ps05(t):
     return long.join(t.species, "species").groupBy("cycle", "taxon").agg(F.count_if(F.col("grp") == 1).alias("n_fg"), F.count_if(F.col("grp") == 0).alias("n_bg"))
 
 
+@query("ps06_values", """WITH g AS (SELECT *, CASE WHEN value > 5e3 THEN 1 WHEN value < -5e2 THEN 0 END AS grp FROM {traits})
+    SELECT grp, count(*) AS species_in_group, (SELECT count(*) FROM {supplier}) AS cycles, count(*) * (SELECT count(*) FROM {supplier}) AS drawn, 0 AS outside FROM g WHERE grp IS NOT NULL GROUP BY grp""")
+def ps06_values(t):
+    """Trait permutation: labels drawn for each group over all cycles, none twice in a cycle and none unknown."""
+    cfg = t.traits.where("value > 5000 OR value < -500").select("species", (F.col("value") > 0).cast("int").alias("grp"))
+    r = R.permulated_labels(_cycles(t), t.tree, t.traits.select("species", "value"), cfg)
+    long = r.select("cycle", F.explode("fg").alias("species"), F.lit(1).alias("grp")).union(r.select("cycle", F.explode("bg"), F.lit(0))).distinct()
+    known = long.join(t.traits.select("species", F.lit(True).alias("_in")), "species", "left")
+    out = known.groupBy("grp").agg(F.countDistinct("cycle").alias("cycles"), F.count(F.lit(1)).alias("drawn"), F.count_if(F.col("_in").isNull()).cast("int").alias("outside"))
+    return out.join(cfg.groupBy("grp").agg(F.count(F.lit(1)).alias("species_in_group")), "grp")
+
+
 @query("ps06", "WITH c AS (SELECT count(*) FILTER (value > 5e3) AS f, count(*) FILTER (value < -5e2) AS b FROM {traits}) SELECT concat('b_', CAST(s_suppkey AS VARCHAR)) AS cycle, CAST(f AS INT) AS n_fg, CAST(b AS INT) AS n_bg, 0 AS n_shared FROM {supplier} CROSS JOIN c")
 def ps06(t):
     """Trait permutation on the tree: group sizes and disjointness per cycle."""
     cfg = t.traits.where("value > 5000 OR value < -500").select("species", (F.col("value") > 0).cast("int").alias("grp"))
-    r = R.permulated_labels(_cycles(t), T.root_paths(t.tree), t.traits.select("species", "value"), cfg)
+    r = R.permulated_labels(_cycles(t), t.tree, t.traits.select("species", "value"), cfg)
     return r.select("cycle", F.size("fg").alias("n_fg"), F.size("bg").alias("n_bg"), F.size(F.array_intersect("fg", "bg")).alias("n_shared"))

@@ -83,7 +83,7 @@ def test_resampling_properties(spark):
     values = spark.createDataFrame([(s, float(i)) for i, s in enumerate("abcdefgh")], "species string, value double")
     cfg = spark.createDataFrame([("a", 1), ("b", 1), ("g", 0), ("h", 0)], "species string, grp int")
     cyc = R.cycles(spark, 200)
-    for out in (R.random_labels(cyc, values, 2, 2), R.permulated_labels(cyc, T.root_paths(e), values, cfg),
+    for out in (R.random_labels(cyc, values, 2, 2), R.permulated_labels(cyc, e, values, cfg),
                 R.family_labels(cyc, cfg, spark.createDataFrame([(s, "x" if s < "e" else "y") for s in "abcdefgh"], "species string, family string"))):
         rows = out.collect()
         assert len(rows) == 200 and all(len(set(r["fg"])) == 2 and len(set(r["bg"])) == 2 and not set(r["fg"]) & set(r["bg"]) for r in rows)
