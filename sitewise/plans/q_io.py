@@ -165,20 +165,26 @@ def src13(t):
 
 @query("src14", "SELECT replace(coalesce(c.name, ''), ' ', '') AS name, c.branch_length, replace(p.name, ' ', '') AS parent FROM {tree} c LEFT JOIN {tree} p ON p.node_id = c.parent_id WHERE c.node_id IN (SELECT node_id FROM {tree} WHERE parent_id IS NOT NULL)")
 def src14(t):
-    """Newick text of the species tree parsed back to edges."""
+    """Newick texts, one for each clade, parsed back to edges in tasks."""
     tr = t.tree.withColumn("txt", F.concat("name", F.lit(":"), F.col("branch_length").cast("string")))
-    kids = tr.where("node_id >= 1000").groupBy("parent_id").agg(F.array_join(F.array_sort(F.collect_list("txt")), ",").alias("k"))
-
-    def level(lo, hi, below):
-        own = tr.where((F.col("node_id") >= lo) & (F.col("node_id") < hi)).join(below.withColumnRenamed("parent_id", "node_id"), "node_id", "left")
-        text = F.when(F.col("k").isNull(), F.col("txt")).otherwise(F.concat(F.lit("("), "k", F.lit(") "), "txt"))
-        return own.groupBy("parent_id").agg(F.array_join(F.array_sort(F.collect_list(text)), ",").alias("k"))
-
-    # One tree is one text by definition; its tips are the species dimension.
-    newick = level(1, 100, level(100, 1000, kids)).collect()[0]["k"]
-    e = N.edge_frame(t.spark, f"({newick})root;").withColumn("nm", F.coalesce("name", "label"))
-    p = e.select(F.col("node_id").alias("parent_id"), F.col("nm").alias("parent"))
-    return e.where("parent_id IS NOT NULL").join(p, "parent_id").select(F.col("nm").alias("name"), "branch_length", "parent")
+    above = t.tree.select(F.col("node_id").alias("parent_id"), F.col("name").alias("above"))
+    kids = tr.where("node_id >= 1000").groupBy(F.col("parent_id").alias("node_id")).agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list("txt")), ","), F.lit(") ")).alias("k"))
+    clades = tr.where("node_id BETWEEN 1 AND 999").join(kids, "node_id", "left").join(above, "parent_id")
+    e = N.parse_newick(clades.select("above", F.concat(F.coalesce("k", F.lit("")), "txt", F.lit(";")).alias("text")), "above")
+    return e.select(F.coalesce("name", "label").alias("name"), "branch_length", F.replace(F.coalesce("parent", "above"), F.lit(" "), F.lit("")).alias("parent"))
+
+
+@query("src14_genes", """WITH l AS (SELECT DISTINCT l_partkey AS pk, l_suppkey AS sk FROM {lineitem}), c AS (SELECT DISTINCT pk, sk % 3 AS m FROM l)
+    SELECT concat('G', pk) AS gene, concat('S', sk) AS name, CAST(sk % 7 AS DOUBLE) / 4 AS branch_length, concat('c', sk % 3) AS parent FROM l
+    UNION ALL SELECT concat('G', pk), concat('c', m), CAST(m AS DOUBLE) / 2, 'top' FROM c UNION ALL SELECT DISTINCT concat('G', pk), 'top', 0e0, NULL FROM l""")
+def src14_genes(t):
+    """A Newick text for each gene, parsed in tasks."""
+    sk = F.col("l_suppkey")
+    tip = F.concat(F.lit("S"), sk.cast("string"), F.lit(":"), (sk % 7 / 4).cast("string"))
+    l = t.lineitem.select("l_partkey", "l_suppkey").distinct().groupBy("l_partkey", (sk % 3).alias("m")).agg(F.array_join(F.array_sort(F.collect_list(tip)), ", ").alias("tips"))
+    clade = F.concat(F.lit("("), "tips", F.lit(")c"), F.col("m").cast("string"), F.lit(":"), (F.col("m") / 2).cast("string"))
+    texts = l.groupBy(F.concat(F.lit("G"), F.col("l_partkey").cast("string")).alias("gene")).agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list(clade)), ","), F.lit(")top;")).alias("text"))
+    return N.parse_newick(texts).select("gene", F.coalesce("name", "label").alias("name"), "branch_length", "parent")
 
 
 @query("src15", """SELECT concat('G', CAST(l_partkey AS VARCHAR)) AS gene, CAST(n AS INT) AS node_id, CAST(l_orderkey % 500 AS INT) AS site, substr('ACDEFGHIKLMNPQRSTVWY', CAST(1 + (min(l_suppkey) + n) % 20 AS INT), 1) AS aa, round(min(l_discount), 3) AS p

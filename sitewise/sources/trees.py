@@ -1,7 +1,7 @@
 """Newick text to edge tables, and reconstruction files to posteriors.
 
-A tree file is one small species dimension, read on the driver; reconstruction files
-are one per gene and are parsed inside tasks.
+Tree texts, one a clade or gene, and reconstruction files, one a gene, are parsed inside
+tasks; the one species tree of a command is a small file read on the driver.
 """
 
 from __future__ import annotations
@@ -67,6 +67,28 @@ def newick_edges(text: str) -> list[tuple[int, int | None, str | None, float, st
 EDGE_SCHEMA = "node_id int, parent_id int, name string, branch_length double, label string"
 
 
+def parse_newick(texts: DataFrame, key: str = "gene", text: str = "text") -> DataFrame:
+    """``key``, the edges of ``EDGE_SCHEMA`` and ``parent``, the name or label above, of many Newick texts, each parsed in a task.
+
+    Node ids count within a text, so a key with several texts should have a column to tell them
+    apart in the key.  A null text has no edges, an empty one a nameless root.
+    """
+    kind = dict(texts.dtypes)[key]
+    names = ["node_id", "parent_id", "name", "branch_length", "label"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for k, t in zip(pdf["k"], pdf["t"]):
+                if t is not None:
+                    edges = newick_edges(t)
+                    called = {e[0]: e[2] if e[2] is not None else e[4] for e in edges}
+                    yield pd.DataFrame([(k, *e, called.get(e[1])) for e in edges], columns=["k", *names, "parent"]).astype({"parent_id": "Int64", "name": object, "label": object, "parent": object})
+
+    rows = texts.select(texts[key].alias("k"), texts[text].alias("t"))
+    out = rows.mapInPandas(run, f"k {kind}, {EDGE_SCHEMA}, parent string")
+    return out.withColumnRenamed("k", key)
+
+
 def edge_frame(spark: SparkSession, text: str) -> DataFrame:
     return spark.createDataFrame(newick_edges(text), EDGE_SCHEMA)
 
