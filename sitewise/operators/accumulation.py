@@ -156,7 +156,8 @@ def individual_draws(rows: DataFrame, hits: DataFrame, n_rands: int, pick: Colum
         hits.select("global_pos", "tag").withColumn("rand_id", F.explode(F.sequence(F.lit(0), F.lit(n_rands - 1)))), size
     )
     work = work.withColumn("before", F.pmod(pick, F.col("pool_size")))
-    target = order.select("before", F.col("global_pos").alias("randomized_position"), F.col("gene").alias("randomized_gene"))
+    # Equal rows are one key of several places: each place is drawn.
+    target = order.select(F.explode(F.sequence(F.col("before"), F.col("before") + F.col("cnt") - 1)).alias("before"), F.col("global_pos").alias("randomized_position"), F.col("gene").alias("randomized_gene"))
     return work.join(target, "before").select(
         F.col("rand_id").cast("string").alias("rand_id"), F.col("global_pos").alias("caas_position"), "tag",
         "randomized_position", "randomized_gene")

@@ -106,6 +106,27 @@ def confirm_conserved(pairs: DataFrame, sites: DataFrame, threshold: float = 0.7
     return j.select("gene", "site", F.coalesce("asr_is_conserved", F.lit(False)).alias("asr_is_conserved"), F.coalesce(root, F.lit(False)).alias("asr_root_conserved"))
 
 
+def conserved_flags(sites: DataFrame, pair_states: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """``sites`` with ``is_conserved_meta``, ``conserved_pair``, ``asr_is_conserved`` and ``asr_root_conserved``, the flags as text.
+
+    A hit of the scan is conserved where its ``ConservedPairs`` (``overlap:pair,pair``) count an
+    overlap; without that column none is.  Confirmation is by site, over the pairs that any
+    of its schemes names, against the states of ``pair_states``; the root is the site's
+    ``mrca_state`` where those have one.
+    """
+    text = F.col("ConservedPairs") if "ConservedPairs" in sites.columns else F.lit(None).cast("string")
+    some = F.coalesce(F.split_part(text, F.lit(":"), F.lit(1)).try_cast("int") > 0, F.lit(False))
+    rows = sites.withColumns({"is_conserved_meta": some, "conserved_pair": F.when(some, F.split_part(text, F.lit(":"), F.lit(2))).otherwise("")})
+    named = rows.where("is_conserved_meta").select(F.col("Gene").alias("gene"), F.col("Position").alias("site"), F.explode(F.split("conserved_pair", ",")).alias("pair"))
+    per = named.groupBy("gene", "site").agg(F.array_join(F.array_sort(F.collect_set("pair")), ",").alias("conserved_pair"), F.lit(True).alias("is_conserved_meta"))
+    has_root = {"mrca_state", "posterior"} <= set(pair_states.columns)
+    root = pair_states.groupBy("gene", "site").agg((F.max("mrca_state") if has_root else F.lit(None).cast("string")).alias("root_state"), (F.max("posterior") if has_root else F.lit(None).cast("double")).alias("root_prob"))
+    seen = confirm_conserved(pair_states, per.join(root, ["gene", "site"], "left"), threshold)
+    seen = seen.withColumnsRenamed({"gene": "Gene", "site": "Position"})
+    words = lambda c: F.when(F.coalesce(F.col(c), F.lit(False)), "true").otherwise("false")
+    return rows.join(seen, ["Gene", "Position"], "left").withColumns({c: words(c) for c in ("is_conserved_meta", "asr_is_conserved", "asr_root_conserved")})
+
+
 def merge_hypotheses(results: DataFrame) -> DataFrame:
     """One row per (gene, position): sorted distinct tags, schemes, codes and patterns; flags or-ed."""
     def uniq(c: str, sep: str) -> Column:

@@ -132,6 +132,7 @@ def run(inputs: Inputs, s: Settings | None = None) -> dict[str, DataFrame]:
         on = labels.select(F.col("gene").alias("Gene"), F.col("site").alias("Position"), "change_top", "change_bottom", "change_side", "pattern_type", "parallel_top", "parallel_bottom", "parallel_type")
         sites = sites.join(on, ["Gene", "Position"], "left").na.fill(
             {"change_top": "no_change", "change_bottom": "no_change", "change_side": "none", "pattern_type": "no_change", "parallel_type": "none"})
+        sites = checkpoint(disambiguation.conserved_flags(sites, inputs.pair_states))
     flags = clusters.clustered_positions(sites, [(s.cluster_minlen, s.cluster_maxcaas)]).drop("minlen", "maxcaas")
     out["cluster_flags"] = flags
     filtered = sites.join(flags.where("ClusteringFlag = 'Discarded'").drop("ClusteringFlag"), ["Gene", "CAAP_Group", "Position"], "left_anti")
@@ -147,9 +148,8 @@ def run(inputs: Inputs, s: Settings | None = None) -> dict[str, DataFrame]:
 
     if inputs.genes is not None and inputs.pair_states is not None:
         target = index.symbols(species_names(config))
-        usable = filtered.withColumn("is_conserved_meta", F.lit("false")).withColumn("asr_is_conserved", F.lit("true"))
-        grid = accumulation.grid(columns, inputs.genes, usable, target)
-        law = accumulation.expected_draws(accumulation.eligible_rows(grid, usable), F.array(F.lit("all"), F.lower("CAAP_Group")))
+        grid = accumulation.grid(columns, inputs.genes, filtered, target)
+        law = accumulation.expected_draws(accumulation.eligible_rows(grid, filtered), F.array(F.lit("all"), F.lower("CAAP_Group")))
         out["accumulation"] = accumulation.monte_carlo(law, s.n_randomizations, s.seed)
         out["accumulation_exact"] = accumulation.exact_test(law)
     return out

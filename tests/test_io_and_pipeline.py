@@ -150,3 +150,28 @@ def test_command_line(spark, tmp_path):
     cli.main(["signify", "--output", str(tmp_path / "out"), "--discovery", str(tmp_path / "out/discovery"), "--bootstrap", str(tmp_path / "out/bootstrap")])
     meta = spark.read.csv(str(tmp_path / "out/meta"), sep="\t", header=True)
     assert meta.count() == spark.read.csv(str(tmp_path / "out/discovery"), sep="\t", header=True).count() > 0
+
+
+def test_conserved_flags(spark):
+    from sitewise.operators import disambiguation
+
+    sites = spark.createDataFrame([("g", 1, "US", "1:1"), ("g", 1, "GS1", "2:1,2"), ("g", 2, "US", "1:2"), ("g", 3, "US", "0:"), ("g", 4, "US", None), ("g", 5, "US", "1:1")],
+                                  "Gene string, Position int, CAAP_Group string, ConservedPairs string")
+    pairs = spark.createDataFrame([("g", p, k, top, "A", "A", "A", 0.9) for p, k, top in ((1, 1, "A"), (1, 2, "A"), (2, 1, "A"), (2, 2, "V"), (3, 1, "A"), (5, 1, None))],
+                                  "gene string, site int, pair_id int, top_tip string, bottom_tip string, focal_state string, mrca_state string, posterior double")
+    got = {(r.Position, r.CAAP_Group): (r.is_conserved_meta, r.conserved_pair, r.asr_is_conserved, r.asr_root_conserved) for r in disambiguation.conserved_flags(sites, pairs).collect()}
+    assert got == {(1, "US"): ("true", "1", "true", "true"), (1, "GS1"): ("true", "1,2", "true", "true"), (2, "US"): ("true", "2", "false", "false"),
+                   (3, "US"): ("false", "", "false", "false"), (4, "US"): ("false", "", "false", "false"), (5, "US"): ("true", "1", "false", "false")}
+    plain = disambiguation.conserved_flags(sites.drop("ConservedPairs"), pairs.drop("mrca_state", "posterior")).collect()
+    assert len(plain) == 6 and {r.is_conserved_meta for r in plain} == {"false"}
+
+
+def test_draws_of_equal_rows(spark):
+    from pyspark.sql import functions as F
+
+    from sitewise.operators import accumulation
+
+    rows = spark.createDataFrame([("g", 5, "US", False)] * 3 + [("g", 9, "US", False)], "gene string, global_pos int, CAAP_Group string, masked boolean")
+    hits = spark.createDataFrame([(1, "t")], "global_pos int, tag string")
+    got = accumulation.individual_draws(rows, hits, 8, F.col("rand_id")).collect()
+    assert sorted((int(r.rand_id), r.randomized_position) for r in got) == [(k, 9 if k % 4 == 3 else 5) for k in range(8)]
