@@ -87,6 +87,21 @@ def full_gene_stats(stats: DataFrame, removed: DataFrame, percentile: float = 0.
     ).drop("_removed")
 
 
+def categorised(stats: DataFrame, cluster_flags: DataFrame, percentile: float = 0.99, multiplier: float = 3.0, keys: list[str] = KEYS) -> DataFrame:
+    """``full_gene_stats`` and the removed genes in one: every gene with both thresholds and ``Extreme``, ``Dubious``, ``Both`` or ``Normal``.
+
+    Each threshold is found once for each key and both meet the genes in one join.
+    """
+    th = density_thresholds(stats, percentile, keys).withColumnRenamed("threshold", "threshold_extreme").join(
+        iqr_thresholds(stats, multiplier, keys).withColumnRenamed("iqr_threshold", "threshold_dubious"), keys)
+    on = ["Gene", "CAAP_Group"] if "CAAP_Group" in cluster_flags.columns and "CAAP_Group" in keys else ["Gene"]
+    hit = cluster_flags.where("ClusteringFlag = 'Discarded'").select(*on).distinct().withColumn("_hit", F.lit(True))
+    out = _with_thresholds(stats, th, keys).join(hit, on, "left")
+    extreme, dubious = F.col("n_CAAS_per_length") > F.col("threshold_extreme"), (F.col("n_CAAS") > F.col("threshold_dubious")) & F.coalesce("_hit", F.lit(False))
+    category = F.when(extreme & dubious, "Both").when(extreme, "Extreme").when(dubious, "Dubious").otherwise("Normal")
+    return out.select(*stats.columns, "threshold_extreme", "threshold_dubious", category.alias("Category"))
+
+
 def drop_removed(sites: DataFrame, removed: DataFrame) -> DataFrame:
     """Sites whose (gene, scheme) was not removed; by gene alone without a scheme."""
     on = ["Gene", "CAAP_Group"] if "CAAP_Group" in removed.columns else ["Gene"]

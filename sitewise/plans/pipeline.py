@@ -138,10 +138,9 @@ def run(inputs: Inputs, s: Settings | None = None) -> dict[str, DataFrame]:
     filtered = sites.join(flags.where("ClusteringFlag = 'Discarded'").drop("ClusteringFlag"), ["Gene", "CAAP_Group", "Position"], "left_anti")
     if inputs.genes is not None:
         stats = checkpoint(gene_filter.gene_density(sites, inputs.genes))
-        removed = gene_filter.merge_categories(
-            gene_filter.extreme_genes(stats, s.density_percentile), gene_filter.dubious_genes(stats, flags, s.iqr_multiplier))
+        out["gene_stats"] = checkpoint(gene_filter.categorised(stats, flags, s.density_percentile, s.iqr_multiplier))
+        removed = out["gene_stats"].where("Category <> 'Normal'").select(*stats.columns, "Category")
         out["removed_genes"] = removed
-        out["gene_stats"] = gene_filter.full_gene_stats(stats, removed, s.density_percentile, s.iqr_multiplier)
         out["background_main"] = gene_filter.cleaned_background_main(inputs.genes.select("Gene"), removed)
         filtered = gene_filter.drop_removed(filtered, removed)
     out["filtered"] = filtered

@@ -281,7 +281,7 @@ def ag07(t):
     LEFT JOIN rem r ON r.Trait = d.Trait AND r.CAAP_Group = d.CAAP_Group AND r.Gene = d.Gene""")
 def ag08(t):
     """Full gene statistics with thresholds and category."""
-    return G.full_gene_stats(dens(t), removed(t), multiplier=1.0).select(
+    return G.categorised(dens(t), one_flag(t), multiplier=1.0).select(
         "CAAP_Group", "Gene", "n_CAAS", *r("threshold_extreme", "threshold_dubious"), "Category")
 
 
