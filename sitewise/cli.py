@@ -7,9 +7,10 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sitewise.operators import clusters, gene_filter, resampling, scan, significance
+from sitewise.operators import clusters, coordinates, disambiguation, gene_filter, permutation, resampling, scan, selection, significance
 from sitewise.operators.columns import SpeciesIndex, column_filter, columns_from_sequences
 from sitewise.sinks import tables as K
+from sitewise.sinks.store import ResultStore, master_table, write_master
 from sitewise.sources import alignments as A
 from sitewise.sources import tables as R
 from sitewise.sources.trees import edge_frame
@@ -81,6 +82,34 @@ def postproc(spark: SparkSession, a: argparse.Namespace) -> None:
     K.write_tsv(gene_filter.drop_removed(sites.join(bad, ["Gene", "CAAP_Group", "Position"], "left_anti"), removed), f"{a.output}/filtered")
 
 
+def disambiguate(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Labels of every site and its master table, the sites of rewritten genes replaced in the store."""
+    pairs = spark.read.csv(a.pairs, sep="\t", header=True, schema=a.pair_schema)
+    labels = disambiguation.classify(pairs, a.mode)
+    store = ResultStore(spark, f"{a.output}/store")
+    store.put(labels)
+    sites = store.read().withColumnRenamed("site", "msa_pos")
+    rows = pairs.select("gene", F.col("site").alias("msa_pos"), "pair_id", F.lit(None).cast("int").alias("node"), F.col("focal_state").alias("state"), "posterior")
+    write_master(master_table(sites, rows), f"{a.output}/master")
+
+
+def rates(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Relative rates, their correlation with a trait and its permutation p-value."""
+    lengths = spark.read.csv(a.lengths, sep="\t", header=True, schema="gene string, branch string, length double")
+    trait = spark.read.csv(a.trait_values, sep="\t", header=True, schema="branch string, value double")
+    perms = spark.read.csv(a.permutations, sep="\t", header=True, schema="perm string, branch string, value double")
+    residuals = permutation.winsorised(selection.relative_rates(lengths), a.winsorise)
+    K.write_tsv(permutation.permutation_test(residuals, trait, perms, a.kind, a.min_branches, a.min_positive), f"{a.output}/rates")
+
+
+def places(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Genomic places of protein residues."""
+    residues = spark.read.csv(a.residues, sep="\t", header=True, schema="protein string, residue long")
+    exons = coordinates.exon_offsets(coordinates.coding_exons(R.read_lines(spark, a.gff)))
+    out = coordinates.codon_places(residues, exons)
+    K.write_tsv(out.withColumn("coord", coordinates.place_text("chrom", "start", "end")), f"{a.output}/places")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sitewise")
     sub = p.add_subparsers(dest="tool", required=True)
@@ -107,6 +136,11 @@ def parser() -> argparse.ArgumentParser:
     tool("signify", signify, ("--discovery", req), ("--bootstrap", req), ("--alpha", {"type": float, "default": 0.05}))
     tool("postproc", postproc, ("--sites", req), ("--genes", req), ("--minlen", {"type": int, "default": 3}), ("--maxcaas", {"type": float, "default": 0.7}),
          ("--percentile", {"type": float, "default": 0.99}), ("--iqr", {"type": float, "default": 3.0}))
+    tool("disambiguate", disambiguate, ("--pairs", req), ("--mode", {"choices": ["focal_clade", "mrca"], "default": "focal_clade"}),
+         ("--pair-schema", {"default": "gene string, site int, pair_id int, focal_state string, mrca_state string, top_tip string, bottom_tip string, posterior double"}))
+    tool("rates", rates, ("--lengths", req), ("--trait-values", req), ("--permutations", req), ("--kind", {"choices": ["continuous", "binary"], "default": "continuous"}),
+         ("--min-branches", {"type": int, "default": 10}), ("--min-positive", {"type": int, "default": 2}), ("--winsorise", {"type": int, "default": 0}))
+    tool("places", places, ("--gff", req), ("--residues", req))
     return p
 
 

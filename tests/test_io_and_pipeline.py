@@ -152,6 +152,27 @@ def test_command_line(spark, tmp_path):
     assert meta.count() == spark.read.csv(str(tmp_path / "out/discovery"), sep="\t", header=True).count() > 0
 
 
+def test_more_commands(spark, tmp_path):
+    out = ["--output", str(tmp_path / "out")]
+    rows = [("g", 1, 1, "A", "A", "V", "A", 0.9), ("g", 1, 2, "A", "A", "V", "A", 0.8), ("h", 4, 1, "A", "A", "A", "A", 0.9), ("h", 4, 2, "A", "A", "A", "A", 0.7)]
+    head = "gene\tsite\tpair_id\tfocal_state\tmrca_state\ttop_tip\tbottom_tip\tposterior\n"
+    (tmp_path / "pairs.tsv").write_text(head + "".join("\t".join(map(str, r)) + "\n" for r in rows))
+    for _ in range(2):  # again: the store is the same
+        cli.main(["disambiguate", *out, "--pairs", str(tmp_path / "pairs.tsv")])
+    master = {r["gene"]: r for r in spark.read.csv(str(tmp_path / "out/master"), header=True).collect()}
+    assert sorted(master) == ["g", "h"] and master["g"]["change_side"] == "top" and master["h"]["change_side"] == "none" and master["g"]["mrca_2_posterior"] == "0.8"
+    (tmp_path / "len.tsv").write_text("gene\tbranch\tlength\n" + "".join(f"g{g}\tb{b}\t{(g * 7 + b * b * 3) % 11 / 10}\n" for g in range(4) for b in range(12)))
+    (tmp_path / "trait.tsv").write_text("branch\tvalue\n" + "".join(f"b{b}\t{b * 5 % 7}\n" for b in range(12)))
+    (tmp_path / "perm.tsv").write_text("perm\tbranch\tvalue\n" + "".join(f"{p}\tb{b}\t{(b * 5 + p) % 7 + b * p % 3}\n" for p in range(20) for b in range(12)))
+    cli.main(["rates", *out, "--lengths", str(tmp_path / "len.tsv"), "--trait-values", str(tmp_path / "trait.tsv"), "--permutations", str(tmp_path / "perm.tsv"), "--winsorise", "1"])
+    got = spark.read.csv(str(tmp_path / "out/rates"), sep="\t", header=True).collect()
+    assert len(got) == 4 and all(r["n_perms"] == "20" and 0 <= float(r["p_perm"]) <= 1 for r in got)
+    (tmp_path / "a.gff").write_text("#x\nchr1\ts\tCDS\t11\t14\t.\t-\t0\tprotein_id=p\nchr1\ts\tCDS\t21\t25\t.\t-\t0\tprotein_id=p\n")
+    (tmp_path / "res.tsv").write_text("protein\tresidue\np\t1\np\t2\np\t9\n")
+    cli.main(["places", *out, "--gff", str(tmp_path / "a.gff"), "--residues", str(tmp_path / "res.tsv")])
+    assert sorted(r["coord"] for r in spark.read.csv(str(tmp_path / "out/places"), sep="\t", header=True).collect()) == ["chr1:g.14_22", "chr1:g.23_25"]
+
+
 def test_conserved_flags(spark):
     from sitewise.operators import disambiguation
 
