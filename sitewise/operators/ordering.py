@@ -70,18 +70,27 @@ def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, flo
 
 
 def tile_bounds(df: DataFrame, order: list[str], tiles: int) -> tuple[list[str], list]:
-    """Last key of every tile but the final one (at most ``tiles - 1`` rows reach the driver)."""
+    """Last key of every tile but those that are empty (at most ``tiles`` rows reach the driver); ascending order.
+
+    The leading column is counted first, one row a distinct value; only rows of the values that
+    a tile ends in are ordered by the other columns.
+    """
     names = _names(order)
-    cond = F.lit(True)
-    for n in names[:1]:
-        cond = cond & F.col(n).isNotNull()
-    keys = cumulative_counts(df.where(cond), [], order)
-    size, rem = F.floor(F.col("total") / tiles), F.col("total") % tiles
-    big = rem * (size + 1)
-    idx = F.col("before")
-    tile = F.when(idx < big, F.floor(idx / (size + 1))).otherwise(rem + F.floor((idx - big) / F.greatest(size, F.lit(1))))
-    best = keys.select(tile.alias("tile"), F.struct(*names).alias("k")).groupBy("tile").agg(F.max("k").alias("k"))
-    rows = best.orderBy("tile").limit(tiles).collect()
+    lead, known = names[0], df.where(F.col(names[0]).isNotNull())
+    values = checkpoint(cumulative_counts(known, [], [lead]))
+    total = values.agg(F.max("total")).first()[0] or 0
+    size, rem = divmod(total, tiles)
+    ends = {t: min(t + 1, rem) * (size + 1) + max(0, t + 1 - rem) * size - 1 for t in range(tiles) if size or t < rem}
+    if not ends:
+        return names, []
+    holds = lambda at, first: (first <= at) & (at < first + F.col("cnt"))
+    cuts = values.select(lead, "before", "cnt", F.explode(F.array(*[F.struct(F.lit(t).alias("tile"), F.lit(e).cast("long").alias("end")) for t, e in ends.items()])).alias("e"))
+    cuts = checkpoint(cuts.where(holds(F.col("e.end"), F.col("before"))).select(lead, "e.tile", (F.col("e.end") - F.col("before")).alias("place")))
+    if len(names) > 1:
+        tied = known.join(F.broadcast(cuts.select(lead).distinct()), lead, "left_semi")  # at most a row a tile
+        keys = cumulative_counts(tied, [lead], order[1:])
+        cuts = keys.join(F.broadcast(cuts), lead).where(holds(F.col("place"), F.col("before")))
+    rows = cuts.select("tile", F.struct(*names).alias("k")).orderBy("tile").limit(tiles).collect()
     return names, [(r["tile"], tuple(r["k"])) for r in rows]
 
 

@@ -86,3 +86,19 @@ def test_ranks_of_heavy_light_and_null_values(spark, frame, monkeypatch, heavy):
         vals = [r[1] for r in rows if r[0] == g]
         below, ties = sum(x < v for x in vals), vals.count(v)
         assert got[i] == (below + (ties + 1) / 2, below + 1)
+
+
+def test_tiles_of_ties_and_few_rows(spark):
+    import random
+
+    rng = random.Random(6)
+    for n in (0, 1, 3, 10, 11, 97):
+        rows = [(rng.choice([0.0, 0.0, 1.5, 2.0, None]), rng.choice("abc"), k) for k in range(n)]
+        df = spark.createDataFrame(rows, "v double, s string, i int")
+        order = sorted((r for r in rows if r[0] is not None))
+        size, rem = divmod(len(order), 10)
+        want = {r[2]: None for r in rows}
+        for at, r in enumerate(order):
+            big = rem * (size + 1)
+            want[r[2]] = at // (size + 1) + 1 if at < big else rem + (at - big) // size + 1
+        assert {r["i"]: r["t"] for r in O.ntile(df, ["v", "s", "i"], 10, "t").collect()} == want
