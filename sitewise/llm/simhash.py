@@ -227,6 +227,8 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius:
 WIDTH, SIMILAR, HALF_APART, APART = 5, 0.8, 44, 64
 #: Distinct texts at home in a leaf: the least, and the part of all; pairs compared at once.
 PART, PARTS, BLOCK = 1024, 48, 1 << 20
+#: Texts of a large group that are compared in a task, and of small groups that share one.
+MEMBERS, PACK = 256, 1024
 SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 BITS = [f"w{k}" for k in range(len(SALTS))]
 
@@ -287,27 +289,83 @@ def _stars(part: pd.DataFrame) -> pd.DataFrame:
     label = local_groups(len(part), (p for run in runs for p in similar_prints(points, size, runs[0], run)))
     moved = label != np.arange(len(part))
     h = part["h"].to_numpy()
-    return pd.DataFrame({"band": part["band"][moved], "part": part["part"][moved], "a": h[moved], "b": h[label[moved]]})
+    return pd.DataFrame({"a": h[moved], "b": h[label[moved]]})
 
 
-def _all_pairs(part: pd.DataFrame) -> pd.DataFrame:
-    """All pairs of the texts that are not like the first of their local group."""
-    part, points, size = _leaf(part)
-    order = np.argsort(size, kind="stable")
-    found = list(similar_prints(points, size, order, order[part["open"].to_numpy(bool)[order]]))
+class _Sets:
+    """Sorted hashes of the distinct shingles of texts, made when first asked for."""
+
+    def __init__(self, texts: list[str | None]):
+        self.texts, self.made = texts, {}
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        import xxhash
+
+        if k not in self.made:
+            self.made[k] = np.unique(np.array([xxhash.xxh64_intdigest(x, SEED) for x in shingles(self.texts[k])], np.uint64))
+        return self.made[k]
+
+    def alike(self, a: int, b: int) -> bool:
+        x, y = self[a], self[b]
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both >= SIMILAR * (len(x) + len(y) - both) - 1e-9
+
+
+def joined(part: pd.DataFrame, asking: np.ndarray) -> np.ndarray:
+    """The first of each row's group: rows of ``asking``, in turn, are linked with all others that their prints allow and their texts confirm.
+
+    Two rows that are in one group already are not compared again, so a group of copies costs
+    a comparison for each.
+    """
+    points, size, sets = np.ascontiguousarray(part[BITS].to_numpy(np.int64)).view(np.uint64), part["n"].to_numpy(np.int64), _Sets(part["text"].tolist())
+    label = np.arange(len(part))
+    done = np.zeros(len(part), bool)
+    for a in asking.tolist():
+        done[a] = True
+        ok = ~done & (label != label[a]) & (np.minimum(size, size[a]) >= SIMILAR * np.maximum(size, size[a]) - 1e-6)
+        b = np.flatnonzero(ok)
+        b = b[distance(points[b], points[a]).sum(1, dtype=np.int64) <= APART]
+        for k in b.tolist():
+            if label[k] != label[a] and sets.alike(a, k):
+                one, two = sorted((label[a], label[k]))
+                label[label == two] = one
+    return label
+
+
+def _within(part: pd.DataFrame) -> pd.DataFrame:
+    """Links among the texts of each group of a pack, or of a block of a large group and that group's first text."""
+    out = []
+    for comp, own in part.groupby("comp", sort=True):
+        own = own.sort_values(["h"], ignore_index=True)
+        first = np.flatnonzero(own["h"].to_numpy() == comp)
+        order = np.concatenate([first, np.setdiff1d(np.arange(len(own)), first)])
+        own = own.iloc[order].reset_index(drop=True)
+        label = joined(own, np.arange(len(own)))
+        h, alone = own["h"].to_numpy(), own["blocks"].to_numpy() == 1
+        out.append(pd.DataFrame({"comp": comp, "h": h, "to": h[label], "settled": alone | (label == 0)}))
+    got = pd.concat(out, ignore_index=True)
+    return got[(got["h"] != got["to"]) | ~got["settled"]]
+
+
+def _across(part: pd.DataFrame) -> pd.DataFrame:
+    """Links of a block's open texts with the texts of another block."""
+    part = part.sort_values(["open", "h"], ascending=[False, True], ignore_index=True).drop_duplicates("h", ignore_index=True)
+    label = joined(part, np.arange(int(part["open"].sum())))
     h = part["h"].to_numpy()
-    i, j = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
-    return pd.DataFrame({"band": part["band"].iloc[0], "part": part["part"].iloc[0], "a": h[i], "b": h[j]})
+    moved = label != np.arange(len(h))
+    return pd.DataFrame({"a": h[moved], "b": h[label[moved]]})
 
 
 def near_copies(df: DataFrame, text: str = "text") -> DataFrame:
     """(h, component) of the distinct texts, by ``xxhash64``, that are linked: Jaccard of the five-word sets at least ``SIMILAR``.
 
     Texts are dealt by the number of their shingles, since sizes more than ``SIMILAR`` apart
-    can't be linked; within that every pair of prints is compared, as at this radius a vantage
-    point rules out none.  Candidates are verified on the texts: first each with the first of its
-    local group, then those that are unlike it with all others.  So a large group costs a row for
-    each member, and no link among the candidates is lost.
+    can't be linked; within that prints are compared, as at this radius a vantage point rules
+    out none.  Links lie within the groups that prints form, so texts are sent to their group,
+    each once, and verified there on the hashes of their shingles; small groups share a task.  A
+    large group is cut into blocks of ``MEMBERS`` that each hold its first text too; only
+    texts that are not joined with that one then meet the other blocks.  A task returns a row
+    for each text, and no link among the candidates is lost.
     """
 
     @F.pandas_udf("n int, w0 long, w1 long, w2 long, w3 long")
@@ -315,11 +373,6 @@ def near_copies(df: DataFrame, text: str = "text") -> DataFrame:
         for texts in batches:
             yield pd.DataFrame([(n, *w.tolist()) for n, w in map(wide_print, texts)], columns=["n", *BITS])
 
-    @F.pandas_udf("double")
-    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for x, y in batches:
-            yield pd.Series([jaccard(a, b) for a, b in zip(x, y)], dtype=float)
-
     keyed = df.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     one = keyed.select("h", prints("text").alias("p")).groupBy("h").agg(F.min("p").alias("p"))
     size = F.floor(F.log(F.greatest(F.col("p.n"), F.lit(1)).cast("double")) / F.lit(math.log(1 / SIMILAR + 1e-7)))
@@ -339,24 +392,29 @@ def near_copies(df: DataFrame, text: str = "text") -> DataFrame:
     above = F.coalesce(F.try_element_at(number, F.col("band") + 1), F.lit(0))
     dealt = classes.withColumn("own", own).withColumn("to", F.explode(F.concat(leaves(0, F.col("own") + 1, 0), leaves(0, above, 1))))
     dealt = dealt.select("to.*", "h", "n", *BITS)
-    kind = "band int, part int, a long, b long"
-
-    def judged(pairs: DataFrame) -> DataFrame:
-        pairs = checkpoint(pairs)
-        named = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-        texts = checkpoint(keyed.join(named, "h", "left_semi").dropDuplicates(["h"]))
-        full = pairs.join(texts.select(F.col("h").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("h").alias("b"), F.col("text").alias("y")), "b")
-        return checkpoint(full.select("band", "part", "a", "b", (alike("x", "y") >= SIMILAR).alias("like")))
-
-    stars = judged(dealt.groupBy("band", "part").applyInPandas(_stars, kind))
-    unlike = stars.where("NOT like").select("band", "part", F.col("a").alias("h")).distinct()
-    found = stars.where("like").select("a", "b")
-    if not unlike.isEmpty():
-        leaf = dealt.join(unlike.select("band", "part").distinct(), ["band", "part"], "left_semi")
-        marked = leaf.join(unlike.withColumn("open", F.lit(True)), ["band", "part", "h"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
-        rest = marked.groupBy("band", "part").applyInPandas(_all_pairs, kind)
-        rest = rest.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("band").alias("band"), F.min("part").alias("part"))
-        found = found.unionByName(judged(rest).where("like").select("a", "b"))
+    close = checkpoint(dealt.groupBy("band", "part").applyInPandas(_stars, "a long, b long"))
+    groups = components(close).select(F.col("node").alias("h"), F.col("component").alias("comp"))
+    groups = checkpoint(groups)
+    sizes = groups.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("blocks"))
+    packs = max(1, math.ceil(groups.count() / PACK))
+    alone = F.col("blocks") == 1
+    member = groups.join(sizes, "comp").withColumn("pack", F.when(alone, F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(-1 - F.pmod(F.col("comp"), F.lit(1 << 40))))
+    member = checkpoint(member.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
+    texts = keyed.groupBy("h").agg(F.any_value("text").alias("text"))
+    rows = member.join(classes.select("h", "n", *BITS), "h").join(texts, "h")
+    blocks = F.when(F.col("h") == F.col("comp"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))  # the first text is in each
+    judged = rows.withColumn("block", F.explode(blocks)).groupBy("pack", "block").applyInPandas(_within, "comp long, h long, to long, settled boolean")
+    judged = checkpoint(judged)
+    found = judged.where("h <> to").select(F.col("h").alias("a"), F.col("to").alias("b"))
+    left = judged.where("NOT settled").select("comp", "h").distinct()
+    if not left.isEmpty():
+        turns = checkpoint(left.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("turns")))
+        every = rows.join(turns, "comp").drop("pack")
+        asking = every.join(left, ["comp", "h"], "left_semi").withColumns({"turn": F.pmod(F.xxhash64("h", F.lit("turn")), F.col("turns")).cast("int"), "open": F.lit(True)})
+        asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        others = every.withColumns({"turn": F.explode(F.sequence(F.lit(0), F.col("turns") - 1)), "open": F.lit(False)})
+        met = asking.unionByName(others).groupBy("comp", "turn", "block").applyInPandas(_across, "a long, b long")
+        found = found.unionByName(checkpoint(met))
     return components(found).select(F.col("node").alias("h"), "component")
 
 
