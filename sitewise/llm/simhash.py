@@ -229,6 +229,8 @@ WIDTH, SIMILAR, HALF_APART, APART = 5, 0.8, 44, 64
 PART, PARTS, BLOCK = 1024, 48, 1 << 20
 #: Texts of a large group that are compared in a task, and of small groups that share one.
 MEMBERS, PACK = 256, 1024
+#: Texts that are compared two by two, and columns of the incidence matrix of more that are held at once.
+FEW, SLAB = 12, 8192
 SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 BITS = [f"w{k}" for k in range(len(SALTS))]
 
@@ -307,25 +309,48 @@ class _Sets:
 
     def alike(self, a: int, b: int) -> bool:
         x, y = self[a], self[b]
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return both >= SIMILAR * (len(x) + len(y) - both) - 1e-9
+        return self.enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y))
+
+    @staticmethod
+    def enough(both, one, two):
+        return both >= SIMILAR * (one + two - both) - 1e-9
+
+    def shared(self, asking: np.ndarray) -> np.ndarray:
+        """Common shingles of each row of ``asking`` with every row: products of slabs of the incidence matrix."""
+        every = [self[k] for k in range(len(self.texts))]
+        owner = np.repeat(np.arange(len(every)), [len(x) for x in every])
+        _, at, times = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+        at = (np.cumsum(times > 1) - 1)[at[(some := times[at] > 1)]]  # what only one text holds is shared by none
+        owner = owner[some]
+        order = np.argsort(at, kind="stable")
+        owner, at = owner[order], at[order]
+        out = np.zeros((len(asking), len(every)), np.float32)
+        for low in range(0, int(at[-1]) + 1 if len(at) else 0, SLAB):
+            a, b = np.searchsorted(at, [low, low + SLAB])
+            slab = np.zeros((len(every), SLAB), np.float32)
+            slab[owner[a:b], at[a:b] - low] = 1
+            out += slab[asking] @ slab.T
+        return out
 
 
 def joined(part: pd.DataFrame, asking: np.ndarray) -> np.ndarray:
-    """The first of each row's group: rows of ``asking``, in turn, are linked with all others that their prints allow and their texts confirm.
+    """The first of each row's group: rows of ``asking`` are linked with all others that their prints allow and their texts confirm.
 
-    Two rows that are in one group already are not compared again, so a group of copies costs
-    a comparison for each.
+    In a few rows each two are compared unless they are in one group already; in many, common
+    shingles of all are counted at once.
     """
     points, size, sets = np.ascontiguousarray(part[BITS].to_numpy(np.int64)).view(np.uint64), part["n"].to_numpy(np.int64), _Sets(part["text"].tolist())
     label = np.arange(len(part))
+    allowed = lambda a: (np.minimum(size, size[a]) >= SIMILAR * np.maximum(size, size[a]) - 1e-6) & (distance(points, points[a]).sum(1, dtype=np.int64) <= APART)
+    if len(part) > FEW:
+        held = np.array([len(sets[k]) for k in range(len(part))])
+        links = sets.enough(sets.shared(asking), held[asking][:, None], held[None, :])
+        i, j = np.nonzero(np.array([allowed(a) for a in asking.tolist()]) & links)
+        return local_groups(len(part), [(asking[i], j)])
     done = np.zeros(len(part), bool)
     for a in asking.tolist():
         done[a] = True
-        ok = ~done & (label != label[a]) & (np.minimum(size, size[a]) >= SIMILAR * np.maximum(size, size[a]) - 1e-6)
-        b = np.flatnonzero(ok)
-        b = b[distance(points[b], points[a]).sum(1, dtype=np.int64) <= APART]
-        for k in b.tolist():
+        for k in np.flatnonzero(~done & allowed(a)).tolist():
             if label[k] != label[a] and sets.alike(a, k):
                 one, two = sorted((label[a], label[k]))
                 label[label == two] = one
