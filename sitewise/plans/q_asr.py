@@ -10,9 +10,9 @@ from sitewise.operators.columns import species_names
 from sitewise.functions import labels as L
 from sitewise.functions.schemes import PARTITIONS, RESIDUES, codes
 from sitewise.operators import disambiguation as D
+from sitewise.operators import permutation as PM
 from sitewise.operators import postproc as P
 from sitewise.operators import scan as S
-from sitewise.operators import permutation as P
 from sitewise.operators import selection as X
 from sitewise.plans.registry import query
 from sitewise.session import shared_folder
@@ -427,7 +427,7 @@ def permuted(t):
 @query("ps19_perm", RATES + ", " + PERM + ", " + _PP)
 def ps19_perm(t):
     """Rate correlation and its permutation p-value, continuous trait."""
-    return P.permutation_test(X.relative_rates(lengths(t)), *permuted(t), min_branches=5).select("gene", *rnd("Rho", digits=5), "N", "exceedances", "n_perms", *rnd("p_perm", digits=5))
+    return PM.permutation_test(X.relative_rates(lengths(t)), *permuted(t), min_branches=5).select("gene", *rnd("Rho", digits=5), "N", "exceedances", "n_perms", *rnd("p_perm", digits=5))
 
 
 # Tau-b by its definition, over pairs of branches; rates are rounded, so that ties are ties on both sides.
@@ -447,7 +447,7 @@ _KB = """rr AS (SELECT gene, branch, round(rer, 2) AS rer FROM rt), tb AS (SELEC
 def ps19_binary_perm(t):
     """Rank correlation with a 0/1 trait and its permutation p-value."""
     tv, pm = permuted(t)
-    out = P.permutation_test(X.relative_rates(lengths(t)).withColumn("rer", F.round("rer", 2)), tv.select("branch", (F.col("value") > 4000).cast("int").alias("value")),
+    out = PM.permutation_test(X.relative_rates(lengths(t)).withColumn("rer", F.round("rer", 2)), tv.select("branch", (F.col("value") > 4000).cast("int").alias("value")),
                              pm.select("perm", "branch", (F.col("value") > 150000).cast("int").alias("value")), "binary", 5, 2)
     return out.select("gene", *rnd("Rho", digits=5), "N", "exceedances", "n_perms", *rnd("p_perm", digits=5))
 
@@ -457,7 +457,7 @@ def ps19_binary_perm(t):
     SELECT rt.gene, branch, round(CASE WHEN lo IS NULL THEN rer ELSE greatest(least(rer, hi), lo) END, 5) AS rer FROM rt LEFT JOIN bd ON bd.gene = rt.gene""")
 def ps19_winsor(t):
     """Residuals whose two extremes on either side are drawn inwards."""
-    return P.winsorised(X.relative_rates(lengths(t)), 2).select("gene", "branch", *rnd("rer", digits=5))
+    return PM.winsorised(X.relative_rates(lengths(t)), 2).select("gene", "branch", *rnd("rer", digits=5))
 
 
 SEQ = "sq AS (SELECT gene, species, string_agg(residue, '' ORDER BY position) AS seq FROM {cells} GROUP BY 1, 2)"
