@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sitewise.operators.columns import MAX_SPECIES
 from sitewise.operators.ordering import cumulative_counts
-from sitewise.operators.trees import closure
+from sitewise.operators.trees import all_pairs, closure
 from sitewise.session import checkpoint
 
 
@@ -88,7 +88,7 @@ def permulated_labels(cycle_df: DataFrame, edges: DataFrame, values: DataFrame,
 
     ``values`` is ``species, value``.  Every (cycle, edge) has a normal number from a hash,
     times the root of its length; a tip's value in a cycle is their sum over its ancestors,
-    added up before the shuffle.  Tips are ranked within the cycle and take the real value of
+    added up before the shuffle.  There is a row for each cycle and tip, so any number of species is taken.  Tips are ranked within the cycle and take the real value of
     their rank.  Only ranks are used, so the rate constant does not matter.  Foreground labels
     go to species now holding a foreground value, by smallest hashes, background likewise.
     Species without a value or outside the tree take no part; equal simulated values, and
@@ -99,22 +99,17 @@ def permulated_labels(cycle_df: DataFrame, edges: DataFrame, values: DataFrame,
     length = edges.where("parent_id IS NOT NULL").select(F.col("node_id").alias("ancestor"), F.sqrt(F.greatest(F.col("branch_length").cast("double"), F.lit(0.0))).alias("_w"))
     lines = checkpoint(lines.select("name", "ancestor").join(length, "ancestor", "left").select("name", "ancestor", F.coalesce("_w", F.lit(0.0)).alias("_w")))
     tips = checkpoint(real.join(lines.select(F.col("name").alias("species")).distinct(), "species"))
-    _bounded(tips)
     own = config.select("species", "grp").distinct().join(tips, "species")
     sides = {r["grp"]: r["n"] for r in own.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a group
     if not sides.get(1) or not sides.get(0):
         raise ValueError("foreground or background is empty after removing species without a value")
-    one = checkpoint(lines.groupBy("name").agg(F.collect_list(F.struct("ancestor", "_w")).alias("_line")))
-    salts = max(1, -(-one.count() // 256))
-    dealt = one.withColumn("_salt", F.pmod(F.xxhash64("name"), F.lit(salts)).cast("int"))
-    keyed = cycle_df.select("cycle", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    one = checkpoint(lines.groupBy(F.col("name").alias("species")).agg(F.collect_list(F.struct("ancestor", "_w")).alias("_line")))
     shift = F.aggregate("_line", F.lit(0.0), lambda a, e: a + e["_w"] * _normal(F.lit(seed), F.col("cycle"), e["ancestor"]))
-    moved = keyed.join(dealt, "_salt").select("cycle", F.col("name").alias("species"), shift.alias("_x"))
+    moved = all_pairs(cycle_df.select("cycle"), one).select("cycle", "species", shift.alias("_x"))
     ranked = moved.withColumn("_r", F.row_number().over(Window.partitionBy("cycle").orderBy("_x", "species")))
     order = cumulative_counts(tips, [], ["value", "species"]).select((F.col("before") + 1).cast("int").alias("_r"), "value")
-    held = checkpoint(ranked.join(order, "_r").select("cycle", "species", "value"))
     sets = checkpoint(own.select("grp", "value").distinct())
-    named = held.join(sets, "value").withColumn("_h", F.xxhash64(F.lit(seed), F.lit("label"), "cycle", "species", "grp"))
+    named = ranked.join(checkpoint(order.join(sets, "value")), "_r").select("cycle", "species", "grp").withColumn("_h", F.xxhash64(F.lit(seed), F.lit("label"), "cycle", "species", "grp"))
     place = F.row_number().over(Window.partitionBy("cycle", "grp").orderBy("_h", "species"))
     n = F.when(F.col("grp") == 1, sides[1]).otherwise(sides[0])
     drawn = named.withColumn("_k", place).where(F.col("_k") <= n)
