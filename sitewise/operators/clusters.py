@@ -7,6 +7,11 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sitewise.session import checkpoint
+
+#: Positions, counted for each parameter pair, that a task sorts.
+ROWS = 100_000
+
 
 def clustered_positions(sites: DataFrame, params: list[tuple[int, float]], keys: tuple[str, ...] = ("Gene", "CAAP_Group")) -> DataFrame:
     """Flag positions inside any dense interval, for every ``(minlen, maxcaas)`` pair.
@@ -34,7 +39,10 @@ def clustered_positions(sites: DataFrame, params: list[tuple[int, float]], keys:
     )
     part = keys_l + ["minlen", "maxcaas"]
     g = Window.partitionBy(*part)
-    base = sites.select(*keys_l, "Position").distinct().select("*", F.inline(grid))
+    distinct = checkpoint(sites.select(*keys_l, "Position").na.drop(subset=keys_l).distinct())
+    # Groups stay whole and every window below keeps this deal, so a task's sorts hold about so many rows at any size.
+    tasks = max(distinct.sparkSession.sparkContext.defaultParallelism, -(-distinct.count() * len(params) // ROWS))
+    base = distinct.repartition(tasks, *keys_l).select("*", F.inline(grid))
     base = base.withColumn("i", F.row_number().over(g.orderBy("Position")).cast("long"))
     base = base.withColumn("n", F.count(F.lit(1)).over(g))
     base = base.withColumn("f", F.col("den") * F.col("i") - F.col("num") * F.col("Position"))
@@ -50,14 +58,12 @@ def clustered_positions(sites: DataFrame, params: list[tuple[int, float]], keys:
         )),
     )
     order = g.orderBy(F.desc("v"), "kind").rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumn("r", F.sum((F.col("kind") == 0).cast("long")).over(order))
-    left = both.where("kind = 1").select(*part, "Position", "i", "n", "r")
-    # Position of the r-th member: an ordered array per group is avoided by a self-lookup on the index.
-    ends = base.select(*part, F.col("i").alias("r"), F.col("Position").alias("end_pos"))
-    spans = left.join(ends, part + ["r"])
+    # The suffix maxima so far are those of members 1 to r, of which the r-th has the largest position.
+    member = F.col("kind") == 0
+    both = both.withColumns({"r": F.sum(member.cast("long")).over(order), "end_pos": F.max(F.when(member, F.col("Position"))).over(order)})
     reach = F.when(F.col("end_pos") - F.col("Position") + 1 >= F.col("minlen"), F.col("r"))
     cover = F.max("reach").over(g.orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
-    flagged = spans.withColumn("reach", reach).withColumn("cover", cover)
+    flagged = both.where("kind = 1").withColumn("reach", reach).withColumn("cover", cover)
     return flagged.select(
         *part, "Position",
         F.when((F.col("n") >= F.col("minlen")) & (F.coalesce("cover", F.lit(0)) >= F.col("i")), "Discarded")
