@@ -426,19 +426,20 @@ def near_copies(df: DataFrame, text: str = "text") -> DataFrame:
     member = groups.join(sizes, "comp").withColumn("pack", F.when(alone, F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(-1 - F.pmod(F.col("comp"), F.lit(1 << 40))))
     member = checkpoint(member.withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")))
     texts = keyed.groupBy("h").agg(F.any_value("text").alias("text"))
-    rows = member.join(classes.select("h", "n", *BITS), "h").join(texts, "h")
+    with_texts = lambda ids: ids.join(classes.select("h", "n", *BITS), "h").join(texts, "h")
     blocks = F.when(F.col("h") == F.col("comp"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))  # the first text is in each
-    judged = rows.withColumn("block", F.explode(blocks)).groupBy("pack", "block").applyInPandas(_within, "comp long, h long, to long, settled boolean")
+    judged = with_texts(member).withColumn("block", F.explode(blocks)).groupBy("pack", "block").applyInPandas(_within, "comp long, h long, to long, settled boolean")
     judged = checkpoint(judged)
     found = judged.where("h <> to").select(F.col("h").alias("a"), F.col("to").alias("b"))
     left = judged.where("NOT settled").select("comp", "h").distinct()
     if not left.isEmpty():
         turns = checkpoint(left.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("turns")))
-        every = rows.join(turns, "comp").drop("pack")
+        # Ids and blocks are laid out by group without the texts, which then meet them by text: no task takes all of a group's texts.
+        every = checkpoint(member.join(turns, "comp").drop("pack"))
         asking = every.join(left, ["comp", "h"], "left_semi").withColumns({"turn": F.pmod(F.xxhash64("h", F.lit("turn")), F.col("turns")).cast("int"), "open": F.lit(True)})
         asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         others = every.withColumns({"turn": F.explode(F.sequence(F.lit(0), F.col("turns") - 1)), "open": F.lit(False)})
-        met = asking.unionByName(others).groupBy("comp", "turn", "block").applyInPandas(_across, "a long, b long")
+        met = with_texts(asking.unionByName(others)).groupBy("comp", "turn", "block").applyInPandas(_across, "a long, b long")
         found = found.unionByName(checkpoint(met))
     return components(found).select(F.col("node").alias("h"), "component")
 
