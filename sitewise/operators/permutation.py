@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from sitewise.session import checkpoint
 
-#: Numbers in a block of genes or of permutations; correlations this close to the observed one reach it.
-CELLS, CLOSE = 1 << 20, 1e-9
+#: Numbers in a block of genes or of permutations, and correlations that a worker holds at once; correlations this close to the observed one reach it.
+CELLS, CLOSE = 1 << 18, 1e-9
 
 
 def winsorised(rates: DataFrame, extremes: int, group: str = "gene", value: str = "rer") -> DataFrame:
@@ -129,11 +129,16 @@ def permutation_test(rates: DataFrame, trait: DataFrame, permuted: DataFrame, ki
         _, y = matrix(2)
         if not genes or not len(seen):
             return pd.DataFrame({"gene": [None], "rho": [None], "n": [0], "pos": [0], "exceed": [0], "perms": [0]})
-        both = ~np.isnan(x) & ~np.isnan(seen[0])
-        rho = measure(x, seen)[:, 0]
-        null = np.abs(measure(x, y)) if len(y) else np.zeros((len(x), 0))
-        reach = null >= (np.abs(rho) - CLOSE)[:, None]
-        return pd.DataFrame({"gene": genes, "rho": rho, "n": both.sum(1), "pos": (both & (np.nan_to_num(seen[0]) == 1)).sum(1), "exceed": reach.sum(1), "perms": (~np.isnan(null)).sum(1)})
+        # Genes x permutations is the largest matrix of a block: it is made for some genes at a time.
+        step, parts = max(1, CELLS // max(len(columns), len(y))), []
+        for first in range(0, len(genes), step):
+            some = x[first:first + step]
+            both = ~np.isnan(some) & ~np.isnan(seen[0])
+            rho = measure(some, seen)[:, 0]
+            null = np.abs(measure(some, y)) if len(y) else np.zeros((len(some), 0))
+            reach = null >= (np.abs(rho) - CLOSE)[:, None]
+            parts.append(pd.DataFrame({"gene": genes[first:first + step], "rho": rho, "n": both.sum(1), "pos": (both & (np.nan_to_num(seen[0]) == 1)).sum(1), "exceed": reach.sum(1), "perms": (~np.isnan(null)).sum(1)}))
+        return pd.concat(parts, ignore_index=True)
 
     met = left.unionByName(right).unionByName(top).groupBy("gb", "pb").applyInPandas(meet, "gene string, rho double, n long, pos long, exceed long, perms long")
     # Rho, N and the positives are the same in every block.
