@@ -10,6 +10,7 @@ from sitewise.functions.numeric import binomial_sum_tail_udf, simulate_moments
 from sitewise.operators.columns import conservation, masked
 from sitewise.operators.genomic import gene_offsets, with_chromosome_order
 from sitewise.operators.ordering import attach_scalars, cumulative_counts, quantiles
+from sitewise.session import checkpoint
 
 POOL = ["US", "GS0", "GS1", "GS2", "GS3", "GS4"]
 
@@ -80,19 +81,21 @@ def expected_draws(rows: DataFrame, category: Column, direction: str = "all", bi
     """Per (gene, category): observed count, draws per bin and the gene's share of each bin's pool.
 
     ``category`` is an array column naming the pools a row counts for.  Everything is
-    aggregates: rows reduce to (gene, bin) and (category, gene, bin) counts at once.
+    aggregates: the rows are made once, reduced to counts of each gene, bin and set of
+    pools, and written; all sums below read those counts.
     """
     pool = F.upper(F.trim(F.coalesce("CAAP_Group", F.lit("")))).isin(*POOL)
     side = F.col("change_side").isin(direction, "both") if direction in ("top", "bottom") else F.coalesce("change_side", F.lit("")) != "none"
     dubious = as_bool(F.col("is_conserved_meta")) & ~as_bool(F.coalesce("asr_is_conserved", F.lit("true")))
     key = decile_key(F.col("cons_idx"), bins, compat) if bins else F.lit(0)
     rows = rows.withColumn("bin", key).where("bin IS NOT NULL")
-    elig = rows.where(~F.col("masked")) if use_mask else rows
-    per_gene = elig.groupBy("gene", "bin").agg(F.count(F.lit(1)).alias("e_g"))
-    per_bin = elig.groupBy("bin").agg(F.count(F.lit(1)).alias("e"))
-    hits = rows.where(pool & side & ~dubious).select("gene", "bin", F.explode(category).alias("category"))
-    drawn = hits.groupBy("category", "bin").agg(F.count(F.lit(1)).alias("n"))
-    observed = hits.groupBy("category", "gene").agg(F.count(F.lit(1)).alias("actual"))
+    eligible = ~F.col("masked") if use_mask else F.lit(True)
+    counts = checkpoint(rows.groupBy("gene", "bin", eligible.alias("eligible"), F.when(pool & side & ~dubious, category).alias("pools")).agg(F.count(F.lit(1)).alias("c")))
+    per_gene = counts.where("eligible").groupBy("gene", "bin").agg(F.sum("c").alias("e_g"))
+    per_bin = per_gene.groupBy("bin").agg(F.sum("e_g").alias("e"))
+    hits = counts.select("gene", "bin", "c", F.explode("pools").alias("category"))
+    drawn = hits.groupBy("category", "bin").agg(F.sum("c").alias("n"))
+    observed = hits.groupBy("category", "gene").agg(F.sum("c").alias("actual"))
     # One row a bin is broadcast; genes meet the draws of a bin by salt, for a bin is a hot key.
     salted = drawn.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     genes = per_gene.join(F.broadcast(per_bin), "bin").withColumn("_salt", F.pmod(F.xxhash64("gene"), F.lit(SALTS)).cast("int"))
