@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewise.llm.common import hand_back, resident
 from sitewise.session import checkpoint
 
 #: The dictionary, the forest, and the bound of the labelled findings, half for either label; hash bins by which they are bounded.
@@ -237,6 +238,7 @@ def redact(df: DataFrame, model: tuple[list[str], bytes | None], text: str = "te
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        resident(("secrets",), dict)  # what the worker held before goes
         judge = Judge(shared.value)
         for texts in batches:
             out = []
@@ -246,5 +248,7 @@ def redact(df: DataFrame, model: tuple[list[str], bytes | None], text: str = "te
                         t = t[:a] + mask + t[b:]
                 out.append(t)
             yield pd.Series(out, dtype=object)
+        del judge
+        hand_back()
 
     return df.withColumn(text, run(F.col(text)))

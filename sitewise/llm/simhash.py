@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from sitewise.llm.common import shielded
+from sitewise.llm.common import hand_back, resident, shielded
 from sitewise.llm.components import components
 from sitewise.session import checkpoint
 
@@ -395,8 +395,10 @@ def near_copies(df: DataFrame, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("n int, w0 long, w1 long, w2 long, w3 long")
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        resident(("prints",), dict)  # what the worker held before goes
         for texts in batches:
             yield pd.DataFrame([(n, *w.tolist()) for n, w in map(wide_print, texts)], columns=["n", *BITS])
+        hand_back()
 
     keyed = df.select(F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     one = keyed.select("h", prints("text").alias("p")).groupBy("h").agg(F.min("p").alias("p"))
