@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewise.session import checkpoint
+from sitewise.session import dealt
 
 #: Positions, counted for each parameter pair, that a task sorts.
 ROWS = 100_000
@@ -39,10 +39,9 @@ def clustered_positions(sites: DataFrame, params: list[tuple[int, float]], keys:
     )
     part = keys_l + ["minlen", "maxcaas"]
     g = Window.partitionBy(*part)
-    distinct = checkpoint(sites.select(*keys_l, "Position").na.drop(subset=keys_l).distinct())
-    # Groups stay whole and every window below keeps this deal, so a task's sorts hold about so many rows at any size.
-    tasks = max(distinct.sparkSession.sparkContext.defaultParallelism, -(-distinct.count() * len(params) // ROWS))
-    base = distinct.repartition(tasks, *keys_l).select("*", F.inline(grid))
+    rows = sites.select(*keys_l, "Position").na.drop(subset=keys_l)
+    # Groups stay whole and all that follows keeps this deal, so a task's maps and sorts hold about so many rows at any size.
+    base = dealt(rows, *keys_l, rows=rows.count() * len(params), each=ROWS).distinct().select("*", F.inline(grid))
     base = base.withColumn("i", F.row_number().over(g.orderBy("Position")).cast("long"))
     base = base.withColumn("n", F.count(F.lit(1)).over(g))
     base = base.withColumn("f", F.col("den") * F.col("i") - F.col("num") * F.col("Position"))
@@ -85,7 +84,7 @@ def cluster_sweep_summary(flags: DataFrame, groups: list[str]) -> DataFrame:
 def run_lengths(sites: DataFrame, keys: tuple[str, ...] = ("Gene",)) -> DataFrame:
     """Sizes of runs of consecutive positions, labelled Singlet, 2..5, 6+."""
     keys_l = list(keys)
-    pos = sites.select(*keys_l, "Position").distinct()
+    pos = dealt(sites.select(*keys_l, "Position"), *keys_l).distinct()
     island = F.col("Position") - F.row_number().over(Window.partitionBy(*keys_l).orderBy("Position"))
     runs = pos.withColumn("island", island).groupBy(*keys_l, "island").agg(F.count(F.lit(1)).alias("size"))
     return runs.withColumn(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.operators.ordering import quantiles
-from sitewise.session import checkpoint
+from sitewise.session import checkpoint, dealt
 
 KEYS = ["Trait", "CAAP_Group"]
 
@@ -18,13 +18,13 @@ SALTS = 64
 def gene_density(sites: DataFrame, genes: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Distinct sites per gene and their density per 100 positions.
 
-    Sites collapse to one row per key and gene before they meet the gene lengths, so
-    the join moves aggregates, not sites.  Rows with a NULL key or length drop out.
+    Sites are dealt by gene into counted tasks and collapse there to one row per key and
+    gene before they meet the gene lengths.  Rows with a NULL key or length drop out.
     Thresholds and every later step read the result again, so it is written once.
     """
     every = keys + ["Gene", "Position"]
     clean = sites.select(*every).na.drop(subset=every)
-    counts = clean.distinct().groupBy(*keys, "Gene").agg(F.count(F.lit(1)).alias("n_CAAS"))
+    counts = dealt(clean, "Gene").distinct().groupBy(*keys, "Gene").agg(F.count(F.lit(1)).alias("n_CAAS"))
     lengths = genes.select("Gene", "Length").where(F.col("Length").isNotNull())
     return checkpoint(counts.join(lengths, "Gene").select(
         *keys, "Gene", "Length", "n_CAAS", (F.col("n_CAAS") / F.col("Length") * 100).alias("n_CAAS_per_length")
@@ -41,8 +41,8 @@ def iqr_thresholds(stats: DataFrame, multiplier: float = 3.0, keys: list[str] =
 
 
 def _with_thresholds(stats: DataFrame, thresholds: DataFrame, keys: list[str]) -> DataFrame:
-    # One row per trait and scheme: the planner broadcasts it by its size estimate.
-    return stats.join(thresholds, keys)
+    # One row per trait and scheme; dealt by them, a scheme's genes would meet in one task.
+    return stats.join(F.broadcast(thresholds), keys)
 
 
 def extreme_genes(stats: DataFrame, percentile: float = 0.99, keys: list[str] = KEYS) -> DataFrame:
@@ -56,10 +56,15 @@ def iqr_outliers(stats: DataFrame, multiplier: float = 3.0, keys: list[str] = KE
     return out.where("n_CAAS > iqr_threshold").drop("iqr_threshold")
 
 
+def _hit(stats: DataFrame, cluster_flags: DataFrame, on: list[str]) -> DataFrame:
+    """Genes (of a scheme) with a clustered site, in as many tasks as ``stats`` (written) needs, which follow in a join."""
+    return dealt(cluster_flags.where("ClusteringFlag = 'Discarded'").select(*on), *on, rows=stats.count()).distinct()
+
+
 def dubious_genes(stats: DataFrame, cluster_flags: DataFrame, multiplier: float = 3.0, keys: list[str] = KEYS) -> DataFrame:
     """Count outliers that also hold a clustered site (same scheme when flags carry one)."""
     on = ["Gene", "CAAP_Group"] if "CAAP_Group" in cluster_flags.columns and "CAAP_Group" in keys else ["Gene"]
-    hit = cluster_flags.where("ClusteringFlag = 'Discarded'").select(*on).distinct()
+    hit = _hit(stats, cluster_flags, on)
     return iqr_outliers(stats, multiplier, keys).join(hit, on, "left_semi").select(
         *stats.columns, F.lit("Dubious").alias("Category")
     )
@@ -78,7 +83,7 @@ def merge_categories(extreme: DataFrame, dubious: DataFrame, keys: list[str] = K
 def full_gene_stats(stats: DataFrame, removed: DataFrame, percentile: float = 0.99, multiplier: float = 3.0,
                     keys: list[str] = KEYS) -> DataFrame:
     """Every gene with both thresholds and its category, ``Normal`` unless removed."""
-    cat = removed.select(*keys, "Gene", F.col("Category").alias("_removed")).distinct()
+    cat = dealt(removed.select(*keys, "Gene", F.col("Category").alias("_removed")), *keys, "Gene", rows=stats.count()).distinct()
     th_e = density_thresholds(stats, percentile, keys).withColumnRenamed("threshold", "threshold_extreme")
     th_d = iqr_thresholds(stats, multiplier, keys).withColumnRenamed("iqr_threshold", "threshold_dubious")
     out = _with_thresholds(_with_thresholds(stats, th_e, keys), th_d, keys)
@@ -95,7 +100,7 @@ def categorised(stats: DataFrame, cluster_flags: DataFrame, percentile: float =
     th = density_thresholds(stats, percentile, keys).withColumnRenamed("threshold", "threshold_extreme").join(
         iqr_thresholds(stats, multiplier, keys).withColumnRenamed("iqr_threshold", "threshold_dubious"), keys)
     on = ["Gene", "CAAP_Group"] if "CAAP_Group" in cluster_flags.columns and "CAAP_Group" in keys else ["Gene"]
-    hit = cluster_flags.where("ClusteringFlag = 'Discarded'").select(*on).distinct().withColumn("_hit", F.lit(True))
+    hit = _hit(stats, cluster_flags, on).withColumn("_hit", F.lit(True))
     out = _with_thresholds(stats, th, keys).join(hit, on, "left")
     extreme, dubious = F.col("n_CAAS_per_length") > F.col("threshold_extreme"), (F.col("n_CAAS") > F.col("threshold_dubious")) & F.coalesce("_hit", F.lit(False))
     category = F.when(extreme & dubious, "Both").when(extreme, "Extreme").when(dubious, "Dubious").otherwise("Normal")
@@ -110,7 +115,8 @@ def drop_removed(sites: DataFrame, removed: DataFrame) -> DataFrame:
 
 def filter_combo(stats: DataFrame, clustered: DataFrame) -> DataFrame:
     """Extreme / Dubious / Cluster flags per gene and their composite label."""
-    hit = clustered.select("Gene", "CAAP_Group").distinct().withColumn("Cluster_removed", F.lit(True))
+    stats = checkpoint(stats)  # counted
+    hit = dealt(clustered.select("Gene", "CAAP_Group"), "Gene", "CAAP_Group", rows=stats.count()).distinct().withColumn("Cluster_removed", F.lit(True))
     out = stats.join(hit, ["Gene", "CAAP_Group"], "left").withColumn(
         "Cluster_removed", F.coalesce("Cluster_removed", F.lit(False))
     )
@@ -141,6 +147,7 @@ def cleaned_background(background: DataFrame, removed: DataFrame) -> DataFrame:
     salted = background.select("Gene", F.pmod(F.xxhash64("Gene"), F.lit(SALTS)).cast("int").alias("_salt"))
     schemes = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     expanded = salted.join(schemes, "_salt").select("Gene", "CAAP_Group")
+    gone = dealt(gone, "CAAP_Group", "Gene", rows=background.count() * groups.count())
     return expanded.join(gone, ["CAAP_Group", "Gene"], "left_anti")
 
 

@@ -10,7 +10,7 @@ from sitewise.operators import gene_filter as G
 from sitewise.operators import postproc as P
 from sitewise.operators import significance as S
 from sitewise.plans.registry import query
-from sitewise.session import checkpoint
+from sitewise.session import checkpoint, dealt
 
 GROUPS = ["US", "GS0", "GS1", "GS2", "GS3", "GS4"]
 
@@ -115,6 +115,11 @@ def src09_meta(t):
         "Gene", "Position", "CAAP_Group", "GenePos", "sig_both", "SignificanceLevel", "IsConserved")
 
 
+def gene_stats(t):
+    """Statistics of the sites, dealt by what they are grouped by; they are no more than the rows of ``lineitem``."""
+    return S.gene_statistics(dealt(S.flag_levels(t.sites), "Gene", "CAAP_Group", rows=t.lineitem.count()))
+
+
 @query("ag14", """
     SELECT Gene, CAAP_Group, round(avg(CASE WHEN Pvalue <= 1e-1 AND coalesce(pvalue_boot <= 1e-1, false) THEN 1e0 ELSE 0e0 END), 6) AS frac_sig_both,
            quantile_cont(Pvalue, 0.5) AS median_pval_hyp, min(Pvalue) AS min_pval_hyp,
@@ -122,7 +127,7 @@ def src09_meta(t):
     FROM {sites} GROUP BY Gene, CAAP_Group""")
 def ag14(t):
     """Per-gene significance statistics."""
-    return S.gene_statistics(S.flag_levels(t.sites)).withColumn("frac_sig_both", F.round("frac_sig_both", 6))
+    return gene_stats(t).withColumn("frac_sig_both", F.round("frac_sig_both", 6))
 
 
 # ------------------------------------------------------------------ gene filter
@@ -140,8 +145,13 @@ DENS = """
     iqr AS (SELECT d.* FROM dens d JOIN th ON th.Trait = d.Trait AND th.CAAP_Group = d.CAAP_Group WHERE n_CAAS > iqr_threshold)"""
 
 
+def site_keys(t):
+    """Keys of all sites, written once for the density, the clusters and the joins of a query."""
+    return t.once("site_keys", lambda t: checkpoint(t.sites.select("Trait", "CAAP_Group", "Gene", "Position")))
+
+
 def dens(t):
-    return G.gene_density(t.sites, t.genes)
+    return t.once("dens", lambda t: G.gene_density(site_keys(t), t.genes))
 
 
 @query("ag03", DENS + "SELECT Trait, CAAP_Group, Gene, Length, n_CAAS, round(n_CAAS_per_length, 6) AS n_CAAS_per_length FROM dens")
@@ -197,17 +207,26 @@ PARAMS = [(2, 0.2), (3, 0.05), (2, 0.01)]
 
 
 def flags(t, params=PARAMS):
-    return C.clustered_positions(t.sites, params)
+    return C.clustered_positions(site_keys(t), params)
+
+
+def flag_rows(t):
+    return flags(t, [(3, 0.05)]).select("Gene", "CAAP_Group", "Position", "ClusteringFlag")
 
 
 def one_flag(t):
-    return checkpoint(flags(t, [(3, 0.05)]).select("Gene", "CAAP_Group", "Position", "ClusteringFlag"))
+    return checkpoint(flag_rows(t))
+
+
+def bad_genes(t):
+    """Genes and schemes with a discarded position, written once."""
+    return t.once("bad_genes", lambda t: checkpoint(flag_rows(t).where("ClusteringFlag = 'Discarded'").select("Gene", "CAAP_Group", "ClusteringFlag").distinct()))
 
 
 @query("ca09", "WITH " + CLUSTER + "SELECT Gene, CAAP_Group, Position, ClusteringFlag FROM flg WHERE minlen = 3")
 def ca09(t):
     """Positional cluster filter."""
-    return one_flag(t)
+    return flag_rows(t)
 
 
 @query("ca10", "WITH " + CLUSTER + "SELECT Gene, CAAP_Group, Position, minlen, maxcaas, ClusteringFlag FROM flg")
@@ -219,7 +238,7 @@ def ca10(t):
 @query("wn13", "WITH " + CLUSTER + "SELECT Gene, CAAP_Group, count(*) AS n_bad FROM flg WHERE ClusteringFlag = 'Discarded' AND minlen = 3 GROUP BY Gene, CAAP_Group")
 def wn13(t):
     """Cumulative cover flag: discarded positions per gene and scheme."""
-    return one_flag(t).where("ClusteringFlag = 'Discarded'").groupBy("Gene", "CAAP_Group").agg(F.count(F.lit(1)).alias("n_bad"))
+    return flag_rows(t).where("ClusteringFlag = 'Discarded'").groupBy("Gene", "CAAP_Group").agg(F.count(F.lit(1)).alias("n_bad"))
 
 
 @query("ag09", "WITH " + CLUSTER + "SELECT minlen, maxcaas, " + ", ".join(
@@ -240,7 +259,7 @@ RUNS = "WITH " + CLUSTER + """,
 @query("ag17", RUNS)
 def ag17(t):
     """Run-length classes of discarded positions."""
-    bad = one_flag(t).where("ClusteringFlag = 'Discarded'")
+    bad = checkpoint(flag_rows(t).where("ClusteringFlag = 'Discarded'"))
     return C.run_length_shares(bad, ("Gene", "CAAP_Group")).withColumn("pct", F.round("pct", 6))
 
 
@@ -253,20 +272,20 @@ CATS = DENS.replace("WITH dedup", "WITH " + CLUSTER + ", dedup") + """,
 
 def removed(t):
     d = dens(t)
-    return G.merge_categories(G.extreme_genes(d), G.dubious_genes(d, one_flag(t), 1.0))
+    return G.merge_categories(G.extreme_genes(d), G.dubious_genes(d, bad_genes(t), 1.0))
 
 
 @query("ag06", CATS + "SELECT CAAP_Group, Gene, n_CAAS, Category FROM dub")
 def ag06(t):
     """Dubious genes: count outliers with a clustered site."""
-    return G.dubious_genes(dens(t), one_flag(t), 1.0).select("CAAP_Group", "Gene", "n_CAAS", "Category")
+    return G.dubious_genes(dens(t), bad_genes(t), 1.0).select("CAAP_Group", "Gene", "n_CAAS", "Category")
 
 
 @query("jn05", CATS + "SELECT s.Gene, s.CAAP_Group, s.Position FROM {sites} s WHERE EXISTS (SELECT 1 FROM dub d WHERE d.Gene = s.Gene AND d.CAAP_Group = s.CAAP_Group)")
 def jn05(t):
     """Sites of dubious genes by tuple membership."""
-    dub = G.dubious_genes(dens(t), one_flag(t), 1.0)
-    return t.sites.join(dub, ["Gene", "CAAP_Group"], "left_semi").select("Gene", "CAAP_Group", "Position")
+    dub = G.dubious_genes(dens(t), bad_genes(t), 1.0)
+    return dealt(site_keys(t), "Gene", "CAAP_Group").join(dub, ["Gene", "CAAP_Group"], "left_semi").select("Gene", "CAAP_Group", "Position")
 
 
 @query("ag07", CATS + "SELECT CAAP_Group, Gene, Category FROM rem")
@@ -281,14 +300,14 @@ def ag07(t):
     LEFT JOIN rem r ON r.Trait = d.Trait AND r.CAAP_Group = d.CAAP_Group AND r.Gene = d.Gene""")
 def ag08(t):
     """Full gene statistics with thresholds and category."""
-    return G.categorised(dens(t), one_flag(t), multiplier=1.0).select(
+    return G.categorised(dens(t), bad_genes(t), multiplier=1.0).select(
         "CAAP_Group", "Gene", "n_CAAS", *r("threshold_extreme", "threshold_dubious"), "Category")
 
 
 @query("jn04", CATS + "SELECT d.CAAP_Group, coalesce(r.Category, 'Normal') AS Category, count(*) AS n FROM dens d LEFT JOIN rem r ON r.CAAP_Group = d.CAAP_Group AND r.Gene = d.Gene GROUP BY 1, 2")
 def jn04(t):
     """Category mapping by left join and coalesce."""
-    cat = removed(t).select("CAAP_Group", "Gene", F.col("Category").alias("c"))
+    cat = dealt(removed(t).select("CAAP_Group", "Gene", F.col("Category").alias("c")), "CAAP_Group", "Gene", rows=dens(t).count())
     out = dens(t).join(cat, ["CAAP_Group", "Gene"], "left").withColumn("Category", F.coalesce("c", F.lit("Normal")))
     return P.label_counts(out, "CAAP_Group", "Category")
 
@@ -296,7 +315,7 @@ def jn04(t):
 @query("jn06", CATS + "SELECT Gene, CAAP_Group, Position FROM {sites} s WHERE NOT EXISTS (SELECT 1 FROM rem r WHERE r.Gene = s.Gene AND r.CAAP_Group = s.CAAP_Group)")
 def jn06(t):
     """Sites outside removed (gene, scheme) tuples."""
-    return G.drop_removed(t.sites, removed(t)).select("Gene", "CAAP_Group", "Position")
+    return G.drop_removed(dealt(site_keys(t), "Gene", "CAAP_Group"), removed(t)).select("Gene", "CAAP_Group", "Position")
 
 
 @query("jn07", CATS + """, grp AS (SELECT DISTINCT CAAP_Group FROM rem)
@@ -329,15 +348,14 @@ COMBO = CATS + """,
 def combo_flags(t):
     d = dens(t)
     stats = G.full_gene_stats(d, removed(t), multiplier=1.0)
-    return G.filter_combo(stats, one_flag(t).where("ClusteringFlag = 'Discarded'"))
+    return G.filter_combo(stats, bad_genes(t))
 
 
 @query("jn13", COMBO + """ SELECT c.Gene, c.CAAP_Group, c.filter_combo, round(g.frac_sig_both, 6) AS frac_sig_both, g.median_pval_hyp
     FROM cmb c LEFT JOIN gst g ON g.Gene = c.Gene AND g.CAAP_Group = c.CAAP_Group""")
 def jn13(t):
     """Gene flags with cluster flags and significance statistics."""
-    stats = S.gene_statistics(S.flag_levels(t.sites))
-    return combo_flags(t).join(stats, ["Gene", "CAAP_Group"], "left").select(
+    return combo_flags(t).join(gene_stats(t), ["Gene", "CAAP_Group"], "left").select(
         "Gene", "CAAP_Group", "filter_combo", *r("frac_sig_both"), "median_pval_hyp")
 
 
@@ -348,8 +366,7 @@ def jn13(t):
     FROM cmb c LEFT JOIN gst g ON g.Gene = c.Gene AND g.CAAP_Group = c.CAAP_Group GROUP BY 1, 2""")
 def ag15(t):
     """Overlap summary: mean and deviation of five descriptors."""
-    stats = S.gene_statistics(S.flag_levels(t.sites))
-    return G.overlap_summary(combo_flags(t).join(stats, ["Gene", "CAAP_Group"], "left"))
+    return G.overlap_summary(combo_flags(t).join(gene_stats(t), ["Gene", "CAAP_Group"], "left"))
 
 
 # ------------------------------------------------------------------ post-processing

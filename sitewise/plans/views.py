@@ -8,9 +8,12 @@ renders the same text as a WITH chain for the oracle.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitewise.session import dealt
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
@@ -191,6 +194,9 @@ VIEWS: dict[str, str] = {
         GROUP BY l_partkey, CAST(l_orderkey % 500 AS INT), CAST(1 + l_linenumber % 3 AS INT)""",
 }
 
+#: Views that group a table into about as many rows as it has: the table, and the column its rows are dealt by before.
+DEALT = {"site_base": ("lineitem", "l_partkey")}
+
 _REF = re.compile(r"\{(\w+)\}")
 
 
@@ -234,11 +240,22 @@ class Tables:
                 cache[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
             elif name in VIEWS:
                 refs = {r: getattr(self, r) for r in set(_REF.findall(VIEWS[name]))}
+                if name in DEALT:
+                    table, key = DEALT[name]
+                    refs[table] = dealt(refs[table], key)
                 cache[name] = self.spark.sql(VIEWS[name], **refs)
             else:
                 raise AttributeError(name)
         return cache[name]
 
+    def once(self, name: str, make: Callable[[Tables], DataFrame]) -> DataFrame:
+        """What ``make`` returns, made at the first call under ``name`` and kept for the others."""
+        cache = self.__dict__["_cache"]
+        key = f"once {name}"
+        if key not in cache:
+            cache[key] = make(self)
+        return cache[key]
+
     def sql(self, body: str, **extra: DataFrame) -> DataFrame:
         refs = {r: extra.get(r) if r in extra else getattr(self, r) for r in set(_REF.findall(body))}
         return self.spark.sql(body, **refs)

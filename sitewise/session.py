@@ -8,6 +8,10 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows that a task groups, sorts or joins where rows are dealt by their number.
+ROWS = 400_000
+
+
 def local_session(cpus: int | None = None, app: str = "sitewise", **conf: str) -> SparkSession:
     """Build a local session; a cluster submits with its own configuration instead."""
     n = cpus or os.cpu_count() or 4
@@ -47,6 +51,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def dealt(df: DataFrame, *keys: str, rows: int | None = None, each: int | None = None) -> DataFrame:
+    """``df`` dealt by ``keys`` into tasks of about ``each`` rows, ``ROWS`` if not given.
+
+    What follows on these keys runs in the same tasks, so what one of them holds does not grow
+    with the input.  ``rows`` spares the count where the caller knows the number or more.
+    """
+    rows = df.count() if rows is None else rows
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // (each or ROWS))), *keys)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     shared_folder(df.sparkSession)
