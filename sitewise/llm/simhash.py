@@ -223,8 +223,11 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius:
 
 
 #: Near copies by their words: shingle width, least Jaccard of the shingle sets, and the widths in bits within which pairs are verified.
-#: At Jaccard 0.8 prints of 256 bits differ in 39 +- 6 and their halves in 19 +- 4; unrelated ones in 128 +- 8 and 64 +- 6.
-WIDTH, SIMILAR, HALF_APART, APART = 5, 0.8, 44, 64
+#: At Jaccard 0.8 prints of 256 bits differ in 31 to 41 +- 6 and their halves in half of that +- 4, those of four and five shingles in 48 +- 6;
+#: unrelated ones in 128 +- 8 and 64 +- 6.  The widths are 6.7 and more deviations off, so what they rule out is unlike.
+WIDTH, SIMILAR, HALF_APART, APART = 5, 0.8, 50, 82
+#: Size up to which prints scatter more, and the widths there.
+TINY, TINY_HALF, TINY_APART = 5, 58, 97
 #: Distinct texts at home in a leaf: the least, and the part of all; pairs compared at once.
 PART, PARTS, BLOCK = 1024, 48, 1 << 20
 #: Texts of a large group that are compared in a task, and of small groups that share one.
@@ -262,6 +265,11 @@ def wide_print(text: str | None) -> tuple[int, np.ndarray]:
     return len(hashes), np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")
 
 
+def apart(one, two):
+    """Bits in which the prints of sets of these sizes differ at most at Jaccard ``SIMILAR``."""
+    return np.where(np.maximum(one, two) <= TINY, TINY_APART, APART)
+
+
 def similar_prints(points: np.ndarray, size: np.ndarray, mine: np.ndarray, asking: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of (asking, mine) whose prints and sizes allow Jaccard ``SIMILAR``; both lists of indices rise with size."""
     own, step = size[mine], max(1, BLOCK // max(1, len(mine)))
@@ -270,10 +278,10 @@ def similar_prints(points: np.ndarray, size: np.ndarray, mine: np.ndarray, askin
         low, high = np.searchsorted(own, SIMILAR * size[part[0]] - 1), np.searchsorted(own, size[part[-1]] / SIMILAR + 1)
         some = mine[low:high]
         half = distance(points[part, 0][:, None], points[some, 0]) + distance(points[part, 1][:, None], points[some, 1])
-        i, j = np.nonzero(half <= HALF_APART)
+        i, j = np.nonzero(half <= np.where(size[part] <= TINY, TINY_HALF, HALF_APART).astype(half.dtype)[:, None])
         i, j = part[i], some[j]
         d = distance(points[i], points[j]).sum(1, dtype=np.int64)
-        ok = (i != j) & (d <= APART) & (np.minimum(size[i], size[j]) >= SIMILAR * np.maximum(size[i], size[j]) - 1e-6)
+        ok = (i != j) & (d <= apart(size[i], size[j])) & (np.minimum(size[i], size[j]) >= SIMILAR * np.maximum(size[i], size[j]) - 1e-6)
         if ok.any():
             yield i[ok], j[ok]
 
@@ -341,7 +349,7 @@ def joined(part: pd.DataFrame, asking: np.ndarray) -> np.ndarray:
     """
     points, size, sets = np.ascontiguousarray(part[BITS].to_numpy(np.int64)).view(np.uint64), part["n"].to_numpy(np.int64), _Sets(part["text"].tolist())
     label = np.arange(len(part))
-    allowed = lambda a: (np.minimum(size, size[a]) >= SIMILAR * np.maximum(size, size[a]) - 1e-6) & (distance(points, points[a]).sum(1, dtype=np.int64) <= APART)
+    allowed = lambda a: (np.minimum(size, size[a]) >= SIMILAR * np.maximum(size, size[a]) - 1e-6) & (distance(points, points[a]).sum(1, dtype=np.int64) <= apart(size, size[a]))
     if len(part) > FEW:
         held = np.array([len(sets[k]) for k in range(len(part))])
         links = sets.enough(sets.shared(asking), held[asking][:, None], held[None, :])
