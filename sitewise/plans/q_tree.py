@@ -396,9 +396,12 @@ def ps06_values(t):
     """Trait permutation: labels drawn for each group over all cycles, none twice in a cycle and none unknown."""
     cfg = t.traits.where("value > 5000 OR value < -500").select("species", (F.col("value") > 0).cast("int").alias("grp"))
     r = R.permulated_labels(_cycles(t), t.tree, t.traits.select("species", "value"), cfg)
-    long = r.select("cycle", F.explode("fg").alias("species"), F.lit(1).alias("grp")).union(r.select("cycle", F.explode("bg"), F.lit(0))).distinct()
-    known = long.join(t.traits.select("species", F.lit(True).alias("_in")), "species", "left")
-    out = known.groupBy("grp").agg(F.countDistinct("cycle").alias("cycles"), F.count(F.lit(1)).alias("drawn"), F.count_if(F.col("_in").isNull()).cast("int").alias("outside"))
+    # A cycle is one row, so it is made distinct there; species are counted before they meet the known ones.
+    side = lambda g, c: F.struct(F.lit(g).alias("grp"), F.array_distinct(c).alias("species"))
+    long = r.select("cycle", F.inline(F.array(side(1, "fg"), side(0, "bg")))).select("cycle", "grp", F.posexplode("species").alias("_k", "species"))
+    times = long.groupBy("grp", "species").agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("_k") == 0) & F.col("cycle").isNotNull()).alias("firsts"))
+    known = times.join(t.traits.groupBy("species").agg(F.count(F.lit(1)).alias("_in")), "species", "left")
+    out = known.groupBy("grp").agg(F.sum("firsts").alias("cycles"), F.sum(F.col("n") * F.coalesce("_in", F.lit(1))).alias("drawn"), F.coalesce(F.sum(F.when(F.col("_in").isNull(), F.col("n"))), F.lit(0)).cast("int").alias("outside"))
     return out.join(cfg.groupBy("grp").agg(F.count(F.lit(1)).alias("species_in_group")), "grp")
 
 
