@@ -9,14 +9,17 @@ thousandth of the rows are broadcast, so no task gathers a hot value.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewise.functions.arrays import entries
-from sitewise.session import checkpoint
+from sitewise.session import checkpoint, kept
 
 #: Rows of a slice of ``bh_adjust``; a value that holds over 1 / HEAVY of all rows is heavy, so there are fewer than HEAVY of them.
 SLICE, HEAVY = 100_000, 1000
+#: Rows sampled to bracket the ends of tiles, rows between the brackets that are ordered, and distinct values that ranks are broadcast with.
+SAMPLE, BETWEEN, BROADCAST = 20_000, 500_000, 500_000
 
 
 def _ordering(order: list[str]) -> list[Column]:
@@ -70,28 +73,57 @@ def quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, flo
 
 
 def tile_bounds(df: DataFrame, order: list[str], tiles: int) -> tuple[list[str], list]:
-    """Last key of every tile but those that are empty (at most ``tiles`` rows reach the driver); ascending order.
+    """Last key of every tile but those that are empty (at most ``tiles`` rows and ``SAMPLE`` sampled ones reach the driver at once); ascending order.
 
-    The leading column is counted first, one row a distinct value; only rows of the values that
-    a tile ends in are ordered by the other columns.
+    The end of a tile is bracketed by two keys of a sample; rows below the brackets are counted
+    without a shuffle, and a bracket that does not hold its end is taken back.  This is repeated
+    until few rows lie between; only those are ordered.
     """
     names = _names(order)
-    lead, known = names[0], df.where(F.col(names[0]).isNotNull())
-    values = checkpoint(cumulative_counts(known, [], [lead]))
-    total = values.agg(F.max("total")).first()[0] or 0
+    known = df.where(F.col(names[0]).isNotNull()).select(*names)
+    types = {f.name: f.dataType for f in known.schema.fields}
+    key = F.struct(*names)
+    at = lambda k: F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, k)])
+    total = known.count()
     size, rem = divmod(total, tiles)
     ends = {t: min(t + 1, rem) * (size + 1) + max(0, t + 1 - rem) * size - 1 for t in range(tiles) if size or t < rem}
     if not ends:
         return names, []
-    holds = lambda at, first: (first <= at) & (at < first + F.col("cnt"))
-    cuts = values.select(lead, "before", "cnt", F.explode(F.array(*[F.struct(F.lit(t).alias("tile"), F.lit(e).cast("long").alias("end")) for t, e in ends.items()])).alias("e"))
-    cuts = checkpoint(cuts.where(holds(F.col("e.end"), F.col("before"))).select(lead, "e.tile", (F.col("e.end") - F.col("before")).alias("place")))
-    if len(names) > 1:
-        tied = known.join(F.broadcast(cuts.select(lead).distinct()), lead, "left_semi")  # at most a row a tile
-        keys = cumulative_counts(tied, [lead], order[1:])
-        cuts = keys.join(F.broadcast(cuts), lead).where(holds(F.col("place"), F.col("before")))
-    rows = cuts.select("tile", F.struct(*names).alias("k")).orderBy("tile").limit(tiles).collect()
-    return names, [(r["tile"], tuple(r["k"])) for r in rows]
+    # Of each end: the brackets (exclusive below, inclusive above; None is open), rows before them and rows in them.
+    found = {t: (None, None, 0, total) for t in ends}
+
+    def inside(low, high):
+        return (F.lit(True) if low is None else key > at(low)) & (F.lit(True) if high is None else key <= at(high))
+
+    for _ in range(8):
+        if sum(n for *_, n in dict.fromkeys(found.values())) <= BETWEEN:
+            break
+        spans = list(dict.fromkeys(f[:2] for f in found.values()))
+        some = known.where(reduce(lambda a, b: a | b, [inside(*b) for b in spans]))
+        drawn = some.orderBy(F.rand(1)).limit(SAMPLE).orderBy(*names)
+        flags = [inside(*b).alias(f"_in{k}") for k, b in enumerate(spans)]
+        sample = [(tuple(r[: len(names)]), r[len(names) :]) for r in drawn.select(*names, *flags).collect()]
+        narrow = {}
+        for t, (low, high, before, n) in found.items():
+            keys = [k for k, own in sample if own[spans.index((low, high))]]
+            if not keys:
+                continue
+            share = (ends[t] - before + 0.5) / n
+            place, margin = share * len(keys), 4 * (len(keys) * share * (1 - share)) ** 0.5 + 2
+            a, b = int(place - margin) - 1, int(place + margin) + 1
+            narrow[t] = (keys[a] if a >= 0 else low, keys[b] if b < len(keys) else high)
+        counts = [c for t, (low, high) in narrow.items() for c in (F.count_if(~inside(low, None)) if low is not None else F.lit(0), F.count_if(inside(low, high)))]
+        got = known.agg(F.count(F.lit(1)), *[c.alias(f"c{k}") for k, c in enumerate(counts)]).first()[1:]
+        for k, (t, b) in enumerate(narrow.items()):
+            before, n = got[2 * k], got[2 * k + 1]
+            if before <= ends[t] < before + n:
+                found[t] = (*b, before, n)
+    tile = F.array(*[F.when(inside(low, high), F.lit(t)) for t, (low, high, *_) in found.items()])
+    rows = known.select(F.explode(F.filter(tile, lambda x: x.isNotNull())).alias("_tile"), *names)
+    keys = cumulative_counts(rows, ["_tile"], order)
+    place = F.create_map(*[F.lit(x) for t, (_, _, before, _) in found.items() for x in (t, ends[t] - before)])[F.col("_tile")]
+    cuts = keys.where((F.col("before") <= place) & (place < F.col("before") + F.col("cnt"))).select(F.col("_tile").alias("tile"), key.alias("k"))
+    return names, [(r["tile"], tuple(r["k"])) for r in cuts.orderBy("tile").limit(tiles).collect()]
 
 
 def ntile(df: DataFrame, order: list[str], tiles: int, out: str) -> DataFrame:
@@ -164,16 +196,23 @@ def rank_norm(df: DataFrame, value: str, out: str) -> DataFrame:
 def average_ranks(df: DataFrame, cols: list[str], prefix: str = "rank_", descending: bool = False) -> DataFrame:
     """Average ranks of several columns from one shared sort; NULL values keep a NULL rank.
 
-    Values go long once, meet their ranks in one join and return to rows in one
+    Values go long once, counted before the shuffle.  Up to ``BROADCAST`` distinct values return to
+    rows by broadcast, a column after the other; more meet the rows in one join and one
     aggregation, whatever the number of columns.
     """
-    rows = checkpoint(df.withColumn("_id", F.monotonically_increasing_id()))
-    cells = F.inline(entries(["col", "v"], *[(c, F.col(c).cast("double")) for c in cols]))
-    long = checkpoint(rows.select("_id", cells).where("v IS NOT NULL"))
+    rows = kept(df.withColumn("_id", F.monotonically_increasing_id()))
+    cells = F.inline(F.array(*[F.struct(F.lit(k).cast("byte").alias("col"), F.col(c).cast("double").alias("v")) for k, c in enumerate(cols)]))
+    long = rows.select("_id", cells).where("v IS NOT NULL")
     keys = cumulative_counts(long, ["col"], ["-v" if descending else "v"])
-    ranks = keys.select("col", "v", "cnt", (F.col("before") + (F.col("cnt") + 1) / 2).alias("r"))
+    ranks = kept(keys.select("col", "v", "cnt", (F.col("before") + (F.col("cnt") + 1) / 2).alias("r")))
+    if ranks.count() <= BROADCAST:
+        out = rows.drop("_id")
+        for k, c in enumerate(cols):
+            own = ranks.where(F.col("col") == k).select(F.col("v").alias("_v"), F.col("r").alias(prefix + c))
+            out = out.join(F.broadcast(own), F.col(c).cast("double") == F.col("_v"), "left").drop("_v")
+        return out
     wide = _attach(long, ranks, ["col", "v"], "v").groupBy("_id").agg(
-        *[F.max(F.when(F.col("col") == c, F.col("r"))).alias(prefix + c) for c in cols])
+        *[F.max(F.when(F.col("col") == k, F.col("r"))).alias(prefix + c) for k, c in enumerate(cols)])
     return rows.join(wide, "_id", "left").drop("_id")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewise.functions.arrays import entries
@@ -16,7 +16,7 @@ from sitewise.operators.ordering import (
     decile_score,
     quantiles,
 )
-from sitewise.session import checkpoint
+from sitewise.session import checkpoint, kept
 
 COMPONENTS = ["variability_score", "pattern_score", "asr_score", "convergence_score", "parallel_score"]
 # Score of one side by its change label; other labels are excluded.
@@ -29,7 +29,7 @@ def component_deciles(sites: DataFrame) -> DataFrame:
     Ties are ordered by gene, position and scheme so that tiles are reproducible.  Both
     tile passes and the result read the input, so it is written once first.
     """
-    df = checkpoint(sites.where("CAAP_Group <> 'GS0'"))
+    df = kept(sites.where("CAAP_Group <> 'GS0'"))
     df = decile_score(df, ["Pvalue", "Gene", "Position", "CAAP_Group"], "variability_score")
     return decile_score(df, ["pvalue_boot", "Gene", "Position", "CAAP_Group"], "pattern_score")
 
@@ -106,18 +106,31 @@ def asr_score(meta: Column, asr: Column, root: Column, pair_ids: Column, posteri
     )
 
 
-def position_scores(sites: DataFrame, n_pairs: int = 3) -> DataFrame:
-    """Position table with five components, their mean and the weighted composite."""
-    pos = positions(component_deciles(sites))
+def _label_scores(df: DataFrame, n_pairs: int) -> DataFrame:
     c = F.col
-    pos = pos.withColumns({
+    return df.withColumns({
         "asr_score": asr_score(c("is_conserved_meta"), c("asr_is_conserved"), c("asr_root_conserved"), c("conserved_pair"),
                                [c(f"mrca_{i}_posterior") for i in range(1, n_pairs + 1)], c("all_mrca_posterior")),
         "convergence_score": convergence_score(c("change_top"), c("change_bottom")),
         "parallel_score": parallel_score(c("parallel_top"), c("parallel_bottom"), c("change_top"), c("change_bottom")),
     })
-    pos = pos.withColumn("pre_score", row_mean(*[c(x) for x in COMPONENTS]))
-    return pos.withColumn("CAAS_score", c("pre_score") * c("biochem_weight_sum") / 10)
+
+
+def position_scores(sites: DataFrame, n_pairs: int = 3, keep: list[str] | None = None) -> DataFrame:
+    """Position table with five components, their mean and the weighted composite.
+
+    With ``keep`` the table holds these columns of the first row and the scores, which are then taken
+    from each row before rows meet, so that nothing else is written or shuffled; sites are told
+    apart by gene, position and scheme.  Without it the first row is returned whole.
+    """
+    if keep is None:
+        pos = _label_scores(positions(component_deciles(sites)), n_pairs)
+    else:
+        p_values = [c for c in ("Pvalue", "pvalue_boot") if c not in keep]
+        thin = _label_scores(sites, n_pairs).select("Gene", "Position", "CAAP_Group", *p_values, *keep, "asr_score", "convergence_score", "parallel_score")
+        pos = positions(component_deciles(thin).drop(*p_values))
+    pos = pos.withColumn("pre_score", row_mean(*[F.col(x) for x in COMPONENTS]))
+    return pos.withColumn("CAAS_score", F.col("pre_score") * F.col("biochem_weight_sum") / 10)
 
 
 def leave_one_out(pos: DataFrame) -> DataFrame:
@@ -147,7 +160,7 @@ def gene_scores(pos: DataFrame) -> DataFrame:
 
 def top_flags(pos: DataFrame) -> DataFrame:
     """Top 10/5/1 percent flags per direction, from that direction's own thresholds."""
-    pos = checkpoint(pos)
+    pos = kept(pos)
     for name, sides in (("top", ("top", "both")), ("bot", ("bottom", "both"))):
         inside = F.col("change_side").isin(*sides)
         thr = quantiles(pos.where(inside), [], "CAAS_score", {"_t10": 0.90, "_t5": 0.95, "_t1": 0.99})
@@ -225,20 +238,20 @@ def correlations(df: DataFrame, cols: list[str], ranks: bool = True) -> DataFram
 def top_sets(df: DataFrame, cols: list[str], thresholds: dict[str, float], n: int, ids: list[str]) -> DataFrame:
     """Long ``score, threshold, id`` membership of the top sets.
 
-    All score columns share one sort for their quantiles; the fixed-size sets keep
-    ``n`` rows per score, which Spark prunes inside each task before the shuffle.
+    All score columns share one sort for their quantiles, of values counted before the shuffle;
+    only members go long with their id.  The fixed-size sets are the first ``n`` rows of each score.
     """
-    ident = F.concat_ws("::", *[F.col(i).cast("string") for i in ids])
-    long = df.select(*ids, ident.alias("id"), F.inline(entries(["score", "v"], *[(c, F.col(c).cast("double")) for c in cols])))
-    long = checkpoint(long.where("v IS NOT NULL"))
-    cuts = quantiles(long, ["score"], "v", {name: 1 - share for name, share in thresholds.items()})
+    rows = kept(df.select(*ids, *cols))
+    scores = F.inline(entries(["score", "v"], *[(c, F.col(c).cast("double")) for c in cols]))
+    ident = F.concat_ws("::", *[F.col(i).cast("string") for i in ids]).alias("id")
+    cuts = quantiles(rows.select(scores).where("v IS NOT NULL"), ["score"], "v", {name: 1 - share for name, share in thresholds.items()})
     names = F.filter(
         F.array(*[F.when(F.col("v") >= F.col(name), F.lit(name)) for name in thresholds]), lambda x: x.isNotNull()
     )
-    pct = long.join(cuts, "score").select("score", F.explode(names).alias("threshold"), "id").distinct()
-    order = Window.partitionBy("score").orderBy(F.desc("v"), *ids)
-    best = long.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= n)
-    return pct.unionByName(best.select("score", F.lit("topN").alias("threshold"), "id"))
+    cuts = F.broadcast(checkpoint(cuts))  # a row a score
+    pct = rows.select(*ids, scores).where("v IS NOT NULL").join(cuts, "score").select("score", F.explode(names).alias("threshold"), ident).distinct()
+    best = [rows.where(F.col(c).isNotNull()).orderBy(F.desc(F.col(c).cast("double")), *ids).limit(n).select(F.lit(c).alias("score"), F.lit("topN").alias("threshold"), ident) for c in cols]
+    return reduce(DataFrame.unionByName, best, pct)
 
 
 def set_overlaps(members: DataFrame, set_col: str, item_col: str, within: list[str], names: list[str]) -> DataFrame:
@@ -273,7 +286,6 @@ def rank_shifts(df: DataFrame, base: str, variants: list[str]) -> DataFrame:
     shifts = ranked.select(F.inline(entries(
         ["variant", "shift"], *[(v, F.abs(F.col("_r_" + base) - F.col("_r_" + v))) for v in variants]
     )))
-    shifts = checkpoint(shifts)
     med = quantiles(shifts, ["variant"], "shift", {"median_abs_rank_shift": 0.5})
     agg = shifts.groupBy("variant").agg(
         F.avg("shift").alias("mean_abs_rank_shift"), F.max("shift").alias("max_abs_rank_shift"))
@@ -296,7 +308,7 @@ def principal_component(df: DataFrame, cols: list[str], align: str) -> tuple[Dat
     """
     import numpy as np
 
-    df = checkpoint(df)
+    df = kept(df)
     full = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*cols, align]]))
     stats = full.agg(*[f(c).alias(f"{t}_{c}") for c in cols for t, f in (("m", F.avg), ("s", F.stddev_samp))]).collect()[0]
     used = [c for c in cols if stats[f"s_{c}"]]
@@ -348,16 +360,16 @@ def one_factor(correlation, steps: int = STEPS):
 def single_factor(df: DataFrame, cols: list[str], align: str) -> tuple[DataFrame, DataFrame]:
     """Regression scores and loadings of one factor over the complete rows (``factor1``; ``variable, loading, uniqueness``).
 
-    Two aggregations give the moments; only the correlation matrix reaches the driver.  Rows
+    Two aggregations over the written columns give the moments; only the correlation matrix reaches the driver, and
+    ``df`` is read again for the scores.  Rows
     with a null in a column or in ``align`` have a null score.  Constant columns are left out,
     the sign follows the correlation with ``align``; fewer than three columns or too few rows
     for them are an error.
     """
     import numpy as np
 
-    df = checkpoint(df)
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*cols, align]])
-    full = df.where(complete)
+    full = kept(df.where(complete).select(*dict.fromkeys([*cols, align])))
     stats = full.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{t}_{c}") for c in cols for t, f in (("m", F.avg), ("s", F.stddev_samp))]).first()
     used = [c for c in cols if stats[f"s_{c}"]]
     if len(used) < 3 or stats["n"] <= len(used) + 2:

@@ -70,17 +70,17 @@ def rounded(df: DataFrame, cols: list[str], digits: int = 9) -> DataFrame:
 
 def pos(t) -> DataFrame:
     # The oracle rounds at the same places, so that ties rank alike in both engines.
-    return rounded(rounded(S.position_scores(t.sites), ["pre_score", "CAAS_score"]), ["asr_score"], 6)
+    return rounded(rounded(S.position_scores(t.sites, keep=["change_side"]), ["pre_score", "CAAS_score"]), ["asr_score"], 6)
 
 
 def loo(t) -> DataFrame:
-    return checkpoint(rounded(S.leave_one_out(pos(t)), VARIANTS))
+    return rounded(S.leave_one_out(pos(t)), VARIANTS)
 
 
 @query("wn01", POS + "SELECT Gene, Position, CAAP_Group, round(variability_score, 6) AS variability_score, round(pattern_score, 6) AS pattern_score FROM dd")
 def wn01(t):
     """Decile scores, lower is better; NULL stays NULL."""
-    return rounded(S.component_deciles(t.sites), ["variability_score", "pattern_score"], 6).select(
+    return rounded(S.component_deciles(t.sites.select("Gene", "Position", "CAAP_Group", "Pvalue", "pvalue_boot")), ["variability_score", "pattern_score"], 6).select(
         "Gene", "Position", "CAAP_Group", "variability_score", "pattern_score")
 
 
@@ -271,7 +271,7 @@ _ST5 = ", ".join(
 def st05(t):
     """Percentile flags per direction."""
     cols = [f"is_{n}_{k}pct" for n in ("top", "bot") for k in (10, 5, 1)]
-    return S.top_flags(pos(t)).select("Gene", "Position", *cols)
+    return S.top_flags(pos(t).select("Gene", "Position", "change_side", "CAAS_score")).select("Gene", "Position", *cols)
 
 
 @query("st01", "SELECT Gene, CASE chr WHEN 'chrX' THEN 23 WHEN 'chrY' THEN 24 WHEN 'chrMT' THEN 25 ELSE CAST(substr(chr, 4) AS INT) END AS chr_order FROM {genes}")
@@ -358,13 +358,13 @@ _FACTOR = _MOM.replace("WITH base", "WITH RECURSIVE base", 1) + f""", em AS (SEL
 @query("ps17_factor", _FACTOR + " SELECT v.variable, round(sg * v.a, 4) AS loading, round(v.u, 4) AS uniqueness FROM fa, LATERAL (SELECT unnest([" + ", ".join(f"'{c}'" for c in COMP) + f"]) AS variable, unnest([{_AS5}]) AS a, unnest([{', '.join(f'u{k}' for k in _N5)}]) AS u) v")
 def ps17_factor(t):
     """Loadings of one factor behind the five components."""
-    return rounded(S.single_factor(pos(t), COMP, "CAAS_score")[1], ["loading", "uniqueness"], 4)
+    return rounded(S.single_factor(pos(t).select(*COMP, "CAAS_score"), COMP, "CAAS_score")[1], ["loading", "uniqueness"], 4)
 
 
 @query("ps17", _POWER + " SELECT Gene, Position, round(sg * (" + " + ".join(f"(x{k} - m{k}) / s{k} * a{k}" for k in _N5) + "), 6) AS pc1 FROM fl, ld")
 def ps17(t):
     """First principal component of the five components, aligned with the composite."""
-    scored, _ = S.principal_component(pos(t), COMP, "CAAS_score")
+    scored, _ = S.principal_component(pos(t).select("Gene", "Position", *COMP, "CAAS_score"), COMP, "CAAS_score")
     return scored.select("Gene", "Position", F.round("pc1", 6).alias("pc1"))
 
 

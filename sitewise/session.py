@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,17 @@ def dealt(df: DataFrame, *keys: str, rows: int | None = None, each: int | None =
     return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // (each or ROWS))), *keys)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written as parquet in the shared checkpoint folder and read again.
+
+    For many rows: columns are packed and only those asked for are read, where a checkpoint holds
+    whole rows as they are in memory.  Partitions are not kept.
+    """
+    folder = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     shared_folder(df.sparkSession)
